@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from barloom.functions import iso_date_parts, symbol_key
@@ -53,25 +55,24 @@ def land_raw(documents: DataFrame, path: str, one_per_file: bool = True) -> None
         "symbol": symbol_key(F.col("symbol")),
         **iso_date_parts(F.col("ingest_ts")),
     })
-    if not one_per_file:
-        landed = landed.hint("rebalance", *[F.col(c) for c in RAW_PARTITIONS])
-    (
-        landed.write.mode("append")
-        .option("maxRecordsPerFile", 1 if one_per_file else 0)
-        .partitionBy(*RAW_PARTITIONS)
-        .json(path)
-    )
+    _append_json(landed, path, RAW_PARTITIONS, one_per_file)
 
 
-def write_dead_letters(letters: DataFrame, path: str) -> None:
-    """Append dead letters, one document per file, by symbol and UTC date of failure."""
+def write_dead_letters(letters: DataFrame, path: str, one_per_file: bool = True) -> None:
+    """Append dead letters by symbol and UTC date of failure, laid out as in ``land_raw``."""
     keyed = letters.withColumns({
         "symbol": symbol_key(F.col("symbol")), **iso_date_parts(F.col("failed_at")),
     })
+    _append_json(keyed, path, DEAD_LETTER_PARTITIONS, one_per_file)
+
+
+def _append_json(rows: DataFrame, path: str, folders: Sequence[str], one_per_file: bool) -> None:
+    if not one_per_file:
+        rows = rows.hint("rebalance", *[F.col(c) for c in folders])
     (
-        keyed.write.mode("append")
-        .option("maxRecordsPerFile", 1)
-        .partitionBy(*DEAD_LETTER_PARTITIONS)
+        rows.write.mode("append")
+        .option("maxRecordsPerFile", 1 if one_per_file else 0)
+        .partitionBy(*folders)
         .json(path)
     )
 

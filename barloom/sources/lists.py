@@ -23,11 +23,16 @@ def read_tickers(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_dead_letters(
-    spark: SparkSession, base: str, failed_date: date | str | None = None
+    spark: SparkSession,
+    base: str,
+    failed_date: date | str | None = None,
+    *,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Dead letters with partition strings; ``params_sent.symbol`` is the original symbol.
 
-    Day folders named ``day=DD`` and ``day/DD`` are both read.
+    Day folders named ``day=DD`` and ``day/DD`` are both read. ``multi_line`` fits one letter
+    per file; pass False for JSON Lines.
     """
     year, month, day = "*", "*", "*"
     if failed_date is not None:
@@ -35,7 +40,7 @@ def read_dead_letters(
     parent = f"symbol=*/year={year}/month={month}"
     found = []
     for pattern in (f"{parent}/day={day}", f"{parent}/day/{day}"):
-        reader = spark.read.schema(DEAD_LETTER).option("multiLine", True)
+        reader = spark.read.schema(DEAD_LETTER).option("multiLine", multi_line)
         letters = load_matching(spark, reader, "json", base, pattern)
         if letters is not None:
             folder_day = F.regexp_extract("_metadata.file_path", r"/day[=/](\d+)/", 1)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from barloom.functions import as_date, ingest_version
-from barloom.schema import RAW, RAW_TEXT
+from barloom.schema import ENVELOPE, RAW, RAW_TEXT
 from barloom.sources.files import empty_frame, load_matching
 
 
@@ -43,6 +43,17 @@ def read_raw(
     return documents.withColumn("ingest_ts", version)
 
 
+def parse_raw(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Documents held as text in a column, parsed as ``read_raw(text=True)`` reads files."""
+    body = [f for f in RAW_TEXT.fields if f.name in (ENVELOPE, "_corrupt_record")]
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
+    parsed = F.from_json(column, StructType(body), options)
+    return lines.select(
+        *[c for c in lines.columns if c != column],
+        *[parsed[f.name].alias(f.name) for f in body],
+    )
+
+
 def on_raw_date(raw: DataFrame, raw_date: date | str) -> DataFrame:
     """Documents landed on a date: a filter on the partition columns."""
     d = as_date(raw_date)

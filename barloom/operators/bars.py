@@ -86,7 +86,7 @@ def all_timeframes(
 ) -> DataFrame:
     """Bars of every width.
 
-    If all widths nest in the widest, rows are placed once by (series, widest bucket) and every
+    If all widths nest in the widest, rows are placed once by (symbol, widest bucket) and every
     width is aggregated from that placement without another shuffle; the result then also lies
     as the bar folders do. What is placed is bounded per group: either ``unique_ts`` promises at
     most one row per series and second, as after ``dedup_latest``, or the rows are first
@@ -107,7 +107,7 @@ def all_timeframes(
             "interval_start_epoch", "ts"
         )
     placed = base.withColumn("_home", interval_epoch(F.col("ts"), home, zone)).repartition(
-        *SERIES, "_home"
+        "symbol", "_home"
     )
     frames = F.array(*[
         F.struct(

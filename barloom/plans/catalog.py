@@ -14,7 +14,7 @@ from barloom.operators import branches
 from barloom.plans import feeds, oracle as o
 from barloom.plans.day_job import ALL_DATES, aggregate_day
 from barloom.schema import BAR_COLUMNS, CANDLE_FIELDS, CANDLE_KEY, TIMEFRAMES, Timeframe
-from barloom.session import scratch_folder
+from barloom.session import scratch_folder, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -372,7 +372,7 @@ _AGGREGATES_15M = f"agg as ({o.aggregates('15m')})"
 ))
 def join_opens(spark, sf):
     """JN-1: bucket aggregates with their opens joined on."""
-    bucketed = _bucketed(spark, sf)
+    bucketed = written(spark, _bucketed(spark, sf), "bucketed")
     return branches.attach(
         branches.bucket_aggregates(bucketed), branches.bucket_opens(bucketed)
     )
@@ -384,7 +384,7 @@ def join_opens(spark, sf):
 ))
 def join_closes(spark, sf):
     """JN-2: bucket aggregates with their closes joined on."""
-    bucketed = _bucketed(spark, sf)
+    bucketed = written(spark, _bucketed(spark, sf), "bucketed")
     return branches.attach(
         branches.bucket_aggregates(bucketed), branches.bucket_closes(bucketed)
     )
@@ -393,7 +393,8 @@ def join_closes(spark, sf):
 @query("bars_by_joins", o.with_(*EVENTS, body=o.bars("15m")))
 def bars_by_joins(spark, sf):
     """JN-1, JN-2, WIN-1, WIN-2, FLT-5: whole bars from the separate steps."""
-    return op.resample_by_joins(event_candles(spark, sf), M15)
+    candles = written(spark, event_candles(spark, sf), "candles")
+    return op.resample_by_joins(candles, M15)
 
 
 @query("agg_buckets", o.with_(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: list[tempfile.TemporaryDirectory] = []
 
@@ -32,3 +32,10 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
             _local_scratch.append(tempfile.TemporaryDirectory(prefix="barloom-"))
         base = _local_scratch[0].name
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def written(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    """Rows written once to a scratch folder and scanned from there, for several uses."""
+    folder = scratch_folder(spark, name)
+    rows.write.parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)

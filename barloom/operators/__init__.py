@@ -1,7 +1,7 @@
 """DataFrame operators."""
 
 from barloom.operators.bars import (
-    all_timeframes, as_bars, ohlcv, on_session_date, resample, union_timeframes,
+    all_timeframes, as_bars, common_home, ohlcv, on_session_date, resample, union_timeframes,
     with_date_parts, with_interval,
 )
 from barloom.operators.branches import (
@@ -21,7 +21,7 @@ from barloom.operators.quality import (
 
 __all__ = [
     "all_timeframes", "as_bars", "attach", "base_rows", "bucket_aggregates", "bucket_closes",
-    "bucket_opens", "cached", "candle_fields", "clean_candles", "complete_candles",
+    "bucket_opens", "cached", "candle_fields", "clean_candles", "common_home", "complete_candles",
     "dead_letters", "dedup_latest", "explode_candles", "failure_reasons", "failures",
     "first_of_group", "judged_candles", "nested_candles", "ohlcv", "on_session",
     "on_session_date", "rejected_candles", "resample", "resample_by_joins", "row_numbers",

@@ -77,12 +77,19 @@ def union_timeframes(parts: Sequence[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def common_home(timeframes: Sequence[Timeframe], zone: str = DEFAULT_ZONE) -> Timeframe | None:
+    """The widest width if all others nest in it, else None."""
+    home = max(timeframes, key=lambda t: t.seconds)
+    return home if all(nests(t, home, zone) for t in timeframes) else None
+
+
 def all_timeframes(
     rows: DataFrame,
     timeframes: Sequence[Timeframe] = TIMEFRAMES,
     zone: str = DEFAULT_ZONE,
     tie_break: Sequence[str] = (),
     unique_ts: bool = False,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Bars of every width.
 
@@ -92,12 +99,14 @@ def all_timeframes(
     most one row per series and second, as after ``dedup_latest``, or the rows are first
     combined into the narrowest bars by a map-side aggregation. Widths that do not nest are
     resampled one by one.
+
+    ``partitions`` fixes the number of tasks of the placement, which adaptive execution would
+    otherwise choose by size; see ``sinks.folder_writers``.
     """
-    home = max(timeframes, key=lambda t: t.seconds)
+    home = common_home(timeframes, zone)
     finest = min(timeframes, key=lambda t: t.seconds)
-    placeable = all(nests(t, home, zone) for t in timeframes)
     cascades = all(nests(finest, t, zone) for t in timeframes)
-    if not placeable or not (unique_ts or cascades):
+    if home is None or not (unique_ts or cascades):
         return union_timeframes([resample(rows, t, zone, tie_break) for t in timeframes])
 
     if unique_ts:
@@ -106,9 +115,8 @@ def all_timeframes(
         base = _aggregate(rows, finest, zone, tie_break).withColumnRenamed(
             "interval_start_epoch", "ts"
         )
-    placed = base.withColumn("_home", interval_epoch(F.col("ts"), home, zone)).repartition(
-        "symbol", "_home"
-    )
+    target = ("symbol", "_home") if partitions is None else (partitions, "symbol", "_home")
+    placed = base.withColumn("_home", interval_epoch(F.col("ts"), home, zone)).repartition(*target)
     frames = F.array(*[
         F.struct(
             F.lit(t.label).alias("timeframe"),

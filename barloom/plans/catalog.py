@@ -59,10 +59,6 @@ def landed_documents(spark: SparkSession, sf: str) -> str:
     return folder
 
 
-def event_bars(spark: SparkSession, sf: str) -> DataFrame:
-    return op.all_timeframes(event_candles(spark, sf), unique_ts=True)
-
-
 EVENTS = (o.EVENT_TICKS, o.CANDLES)
 DOCS = (o.DOCUMENTS, o.EXPLODED)
 ROWS = (*DOCS, o.DOCUMENT_ROWS)
@@ -141,7 +137,10 @@ def src_dead_letters(spark, sf):
 def src_bars_pruned(spark, sf):
     """SRC-5, SNK-2, SNK-3: write bars of all widths, scan one width and a range of dates."""
     folder = scratch_folder(spark, "bars")
-    sinks.write_bars(event_bars(spark, sf), folder, clustered=True)
+    bars = op.all_timeframes(
+        event_candles(spark, sf), unique_ts=True, partitions=sinks.folder_writers(spark)
+    )
+    sinks.write_bars(bars, folder, clustered=True)
     return sources.read_bars(
         spark, folder, timeframe="5m", exchange="NSE", start="2024-01-10", end="2024-01-20"
     )
@@ -586,7 +585,7 @@ def resample_ticks_with_ties(spark, sf):
 @query("all_timeframes", o.with_(*EVENTS, body=o.all_bars()))
 def all_timeframes(spark, sf):
     """OP-4: bars of every width from one placement of the candles."""
-    return event_bars(spark, sf)
+    return op.all_timeframes(event_candles(spark, sf), unique_ts=True)
 
 
 @query("all_timeframes_ticks", o.with_(
@@ -603,6 +602,13 @@ def all_timeframes_many_series(spark, sf):
     return op.all_timeframes(candles_of(feeds.lineitem_ticks(spark, sf)), unique_ts=True)
 
 
+@query("all_timeframes_by_joins", o.with_(o.LINEITEM_TICKS, o.CANDLES, body=o.all_bars()))
+def all_timeframes_by_joins(spark, sf):
+    """OP-4 from windows and joins, width by width: what one placement saves."""
+    candles = written(spark, candles_of(feeds.lineitem_ticks(spark, sf)), "candles")
+    return op.union_timeframes([op.resample_by_joins(candles, t) for t in TIMEFRAMES])
+
+
 @query("day_job_whole_archive", o.with_(
     *ROWS,
     o.DOCUMENT_CANDLES.replace("from document_rows", "from document_rows where status <> 'error'"),
@@ -617,6 +623,22 @@ def day_job_whole_archive(spark, sf):
     return sources.read_bars(spark, output)
 
 
+@query("day_job_one_date", o.with_(
+    *ROWS,
+    f"""day_rows as (
+    select * from document_rows where status <> 'error'
+        and substr(ingest_ts, 1, 10) = '{SAMPLE_DAY}'
+        and strftime({o.clock('ts')}, '%Y-%m-%d') = '{SAMPLE_DAY}')""",
+    o.DOCUMENT_CANDLES.replace("from document_rows", "from day_rows"),
+    body=o.all_bars(),
+))
+def day_job_one_date(spark, sf):
+    """OP-5, FLT-1, FLT-4: the scheduled run of one date, landing date and local date alike."""
+    output = scratch_folder(spark, "bars")
+    aggregate_day(spark, landed_documents(spark, sf), output, SAMPLE_DAY, multi_line=False)
+    return sources.read_bars(spark, output)
+
+
 @query("cached_resamples", o.with_(
     *EVENTS, body=f"({o.bars('5m')}) union all ({o.bars('1d')})",
 ))

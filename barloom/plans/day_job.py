@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from barloom.functions import as_date, local_date
 from barloom.operators import (
-    all_timeframes, base_rows, dedup_latest, on_session, on_session_date, salvaged_rows,
+    all_timeframes, base_rows, common_home, dedup_latest, on_session, on_session_date, salvaged_rows,
 )
 from barloom.schema import CANDLE_KEY, DEFAULT_ZONE, TIMEFRAMES, Timeframe
 from barloom.session import get_session
-from barloom.sinks import write_bars
+from barloom.sinks import folder_writers, write_bars
 from barloom.sources import read_raw
 
 ALL_DATES = "all"
@@ -39,8 +39,9 @@ def day_bars(
     timeframes: Sequence[Timeframe] = TIMEFRAMES,
     zone: str = DEFAULT_ZONE,
 ) -> DataFrame:
-    """Bars of unique candles, only those of one local date if it is given."""
-    bars = all_timeframes(candles, timeframes, zone, unique_ts=True)
+    """Bars of unique candles, only those of one local date if it is given, placed for writing."""
+    writers = folder_writers(candles.sparkSession)
+    bars = all_timeframes(candles, timeframes, zone, unique_ts=True, partitions=writers)
     return bars if session_date is None else on_session_date(bars, session_date)
 
 
@@ -82,7 +83,7 @@ def aggregate_day(
     count = F.count(F.lit(1)).alias("rows")
     candles = dedup_latest(rows, keys).observe(candle_count, count)
     bars = day_bars(candles, day, timeframes, zone).observe(bar_count, count)
-    write_bars(bars, output_path, mode, clustered=True)
+    write_bars(bars, output_path, mode, clustered=common_home(timeframes, zone) is not None)
     return DayReport(candle_count.get["rows"], bar_count.get["rows"])
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barloom.functions import iso_date_parts, symbol_key
 from barloom.schema import (
@@ -12,20 +12,29 @@ from barloom.schema import (
 )
 
 
+def folder_writers(spark: SparkSession) -> int:
+    """Tasks to spread many small folders over.
+
+    A bar folder holds one day of one series, so writing costs by folder and not by byte.
+    Merging small shuffle partitions by size would line thousands of folders up in a few tasks.
+    """
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def write_bars(
     bars: DataFrame, path: str, mode: str = "dynamic", clustered: bool = False
 ) -> None:
     """Write bars as snappy Parquet under their six partition folders.
 
     ``dynamic`` replaces only the folders present in ``bars``, so a rerun of a day leaves other
-    days alone; ``static`` replaces the whole target. Rows are brought together by folder first
-    (adaptive execution splits large folders and merges small ones); ``clustered`` says that
-    they already are, as after ``all_timeframes``.
+    days alone; ``static`` replaces the whole target. Rows are brought together by folder first,
+    which is safe as a folder holds at most one day of bars; ``clustered`` says that they
+    already are, as after ``all_timeframes``.
     """
     if mode not in ("dynamic", "static"):
         raise ValueError(f"unknown overwrite mode {mode!r}")
     if not clustered:
-        bars = bars.hint("rebalance", *[F.col(c) for c in BAR_PARTITIONS])
+        bars = bars.repartition(folder_writers(bars.sparkSession), *BAR_PARTITIONS)
     (
         # the writer needs this order by folder anyway; time last makes row-group ranges narrow
         bars.sortWithinPartitions(*BAR_PARTITIONS, "interval_start_epoch")
@@ -67,7 +76,7 @@ def write_dead_letters(letters: DataFrame, path: str, one_per_file: bool = True)
 
 
 def _append_json(rows: DataFrame, path: str, folders: Sequence[str], one_per_file: bool) -> None:
-    if not one_per_file:
+    if not one_per_file:  # folders may be hot here: adaptive execution splits the large ones
         rows = rows.hint("rebalance", *[F.col(c) for c in folders])
     (
         rows.write.mode("append")
@@ -77,4 +86,4 @@ def _append_json(rows: DataFrame, path: str, folders: Sequence[str], one_per_fil
     )
 
 
-__all__ = ["land_raw", "write_bars", "write_dead_letters"]
+__all__ = ["folder_writers", "land_raw", "write_bars", "write_dead_letters"]

@@ -7,8 +7,9 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from barloom import TIMEFRAMES, operators as op, sinks, sources
+from barloom import operators as op, sinks, sources
 from barloom.plans.day_job import aggregate_day, main
+from barloom.schema import OUTCOME
 from barloom.streaming.arrivals import rebuild_on_arrival
 
 B = 1736135100  # 2025-01-06 09:15 IST
@@ -220,7 +221,7 @@ def test_dead_letters_of_both_layouts(spark, tmp_path):
     outcomes = spark.createDataFrame(
         [("NSE:A-EQ", True, 1, 200, None), ("NSE:B-EQ", False, 5, None, "Exhausted 5 attempts"),
          ("NSE:C-EQ", False, 1, None, "missing_credentials"), (None, False, 0, None, "boom")],
-        "symbol string, ok boolean, attempts int, http_status int, error string",
+        OUTCOME,
     )
     letters = op.dead_letters(outcomes, F.lit("2025-01-07T04:00:00Z"), F.lit("2025-01-07"))
     sinks.write_dead_letters(letters, str(base))
@@ -242,7 +243,7 @@ def test_outcomes_and_tickers(spark, tmp_path):
     outcomes = spark.createDataFrame(
         [("NSE:A-EQ", True, 1, 200, None), ("NSE:B-EQ", False, 5, None, "Exhausted 5 attempts"),
          ("NSE:C-EQ", False, 1, None, "missing_credentials"), ("NSE:D-EQ", None, 1, None, None)],
-        "symbol string, ok boolean, attempts int, http_status int, error string",
+        OUTCOME,
     )
     assert tuple(op.run_summary(outcomes, tickers).first()) == (1, 3, 4)
     assert tuple(op.run_summary(outcomes.limit(0), tickers.limit(0)).first()) == (0, 0, 0)

@@ -8,9 +8,9 @@ from contextlib import contextmanager
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from barloom.functions import day_bounds, as_date, wall_clock
+from barloom.functions import as_date, day_bounds, wall_clock
 from barloom.schema import (
-    CANDLE_FIELDS, CANDLE_KEY, CANDLE_VERSION, DEFAULT_ZONE, ENVELOPE, Timeframe,
+    CANDLE_FIELDS, CANDLE_KEY, CANDLE_VERSION, DEFAULT_ZONE, ENVELOPE, TS_RANGE, Timeframe,
 )
 
 
@@ -43,12 +43,16 @@ def element(position: int, type_name: str) -> Column:
 
 
 def candle_fields(exploded: DataFrame) -> DataFrame:
-    """Name and type the elements: ``ts`` as whole epoch seconds, the rest as double."""
+    """Name and type the elements: ``ts`` as whole epoch seconds, the rest as double.
+
+    A ``ts`` no calendar can show, such as one in microseconds, becomes null.
+    """
     ts, *values = CANDLE_FIELDS
+    # via double: the element may be text such as 1.7361351E9
+    seconds = element(0, "double").try_cast("bigint")
     return exploded.select(
         *[c for c in exploded.columns if c != "candle"],
-        # via double: the element may be text such as 1.7361351E9
-        element(0, "double").try_cast("bigint").alias(ts),
+        F.when(seconds.between(*TS_RANGE), seconds).alias(ts),
         *[element(i, "double").alias(name) for i, name in enumerate(values, start=1)],
     )
 

@@ -7,9 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Fixed values of the data format
-MISSING_CREDENTIALS = "missing_credentials"
-REQUEST = {"resolution": "1", "date_format": "1", "cont_flag": "1"}
+from barloom.schema import EXHAUSTED, METRICS, REQUEST
 
 
 def is_success() -> Column:
@@ -22,7 +20,7 @@ def is_dead_letter() -> Column:
     return (
         ~is_success()
         & F.col("symbol").isNotNull()
-        & F.coalesce(F.col("error").startswith("Exhausted "), F.lit(False))
+        & F.coalesce(F.col("error").startswith(EXHAUSTED), F.lit(False))
     )
 
 
@@ -63,28 +61,26 @@ def failure_reasons(outcomes: DataFrame) -> DataFrame:
     )
 
 
+def _metric_rows(values: dict[str, Column]) -> Column:
+    return F.inline(F.array(*[
+        F.struct(F.lit(name).alias("metric"), value.alias("value"))
+        for name, value in values.items()
+    ]))
+
+
 def run_metrics(outcomes: DataFrame, tickers: DataFrame) -> DataFrame:
     """Counts as (metric, symbol, value) rows: per symbol, and per run with a null symbol.
 
     As a monitor would get them: a symbol's failure counts where it left a dead letter.
     """
-    per_symbol = symbol_counts(outcomes).select("symbol", F.inline(F.array(
-        F.struct(F.lit("IngestSuccess").alias("metric"), F.col("success").alias("value")),
-        F.struct(F.lit("IngestFailed").alias("metric"), F.col("dead_letters").alias("value")),
-    ))).where("value > 0")
+    symbol_success, symbol_failed, *run = METRICS
+    per_symbol = symbol_counts(outcomes).select(
+        "symbol",
+        _metric_rows({symbol_success: F.col("success"), symbol_failed: F.col("dead_letters")}),
+    ).where("value > 0")
     per_run = run_summary(outcomes, tickers).select(
         F.lit(None).cast("string").alias("symbol"),
-        F.inline(F.array(
-            F.struct(
-                F.lit("IngestRunSuccessCount").alias("metric"), F.col("success").alias("value")
-            ),
-            F.struct(
-                F.lit("IngestRunFailedCount").alias("metric"), F.col("failed").alias("value")
-            ),
-            F.struct(
-                F.lit("IngestRunSymbolsTotal").alias("metric"), F.col("total").alias("value")
-            ),
-        )),
+        _metric_rows(dict(zip(run, map(F.col, ("success", "failed", "total"))))),
     )
     return per_symbol.unionByName(per_run).select("metric", "symbol", "value")
 

@@ -28,8 +28,8 @@ def triage_counts(triaged: DataFrame) -> DataFrame:
 def judged_candles(raw_text: DataFrame) -> DataFrame:
     """Every candle read as text, typed, with the first ``reason`` to reject it or null.
 
-    An element counts as bad if it is there but is no number; a null price passes, a null
-    ``ts`` does not.
+    An element counts as bad if it is there but is no number, or no possible ``ts``; a null
+    price passes, a null ``ts`` does not.
     """
     exploded = explode_candles(nested_candles(raw_text))
     typed = candle_fields(exploded.withColumn("source", F.col("candle")))

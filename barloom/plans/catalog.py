@@ -13,7 +13,9 @@ from barloom.functions import (
 from barloom.operators import branches
 from barloom.plans import feeds, oracle as o
 from barloom.plans.day_job import ALL_DATES, aggregate_day
-from barloom.schema import BAR_COLUMNS, CANDLE_FIELDS, CANDLE_KEY, TIMEFRAMES, Timeframe
+from barloom.schema import (
+    BAR_COLUMNS, CANDLE_FIELDS, CANDLE_KEY, ENVELOPE, TIMEFRAMES, Timeframe,
+)
 from barloom.session import scratch_folder, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,7 +78,7 @@ ROWS = (*DOCS, o.DOCUMENT_ROWS)
 def src_raw_documents(spark, sf):
     """SRC-1, SRC-2, SNK-4: land payloads, scan them back with their folder columns."""
     raw = sources.read_raw(spark, landed_documents(spark, sf), multi_line=False)
-    size = F.coalesce(F.size(F.col("fyers_response.candles")), F.lit(-1)).cast("bigint")
+    size = F.coalesce(F.size(F.col(f"{ENVELOPE}.candles")), F.lit(-1)).cast("bigint")
     return raw.select(
         "symbol", "exchange", "ingest_ts", "year", "month", "day", size.alias("n_candles")
     )
@@ -283,7 +285,7 @@ def flt_raw_date(spark, sf):
     documents = feeds.event_documents(spark, sf)
     landed = documents.withColumns(iso_date_parts(F.col("ingest_ts")))
     return sources.on_raw_date(landed, SAMPLE_DAY).select(
-        "symbol", "ingest_ts", F.col("fyers_response.s").alias("status")
+        "symbol", "ingest_ts", F.col(f"{ENVELOPE}.s").alias("status")
     )
 
 
@@ -296,7 +298,7 @@ def flt_candles_present(spark, sf):
     """FLT-2: documents that hold candles."""
     documents = feeds.event_documents(spark, sf)
     lifted = documents.withColumns({
-        "candles": F.col("fyers_response.candles"), "status": F.col("fyers_response.s"),
+        "candles": F.col(f"{ENVELOPE}.candles"), "status": F.col(f"{ENVELOPE}.s"),
     })
     return op.with_candles(lifted).select(
         "symbol", "ingest_ts", "status", F.size("candles").cast("bigint").alias("n_candles")

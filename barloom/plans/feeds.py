@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barloom.functions import clock_epoch, iso_instant
 from barloom.operators.bars import VALUES
-from barloom.schema import DEFAULT_EXCHANGE, ENVELOPE
+from barloom.schema import DEFAULT_EXCHANGE, ENVELOPE, EXHAUSTED, MISSING_CREDENTIALS
 
 TICK_VERSION = ("ingest_seq", "row_id")
 
@@ -150,7 +150,7 @@ def event_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
         (value >= 10).alias("ok"),
         attempts.alias("attempts"),
         F.when(value >= 10, 200).cast("int").alias("http_status"),
-        F.when(value < 2, "missing_credentials").when(value < 9, "Exhausted 5 attempts")
+        F.when(value < 2, MISSING_CREDENTIALS).when(value < 9, f"{EXHAUSTED}5 attempts")
         .when(value < 10, "read timed out").alias("error"),
         iso_instant(F.col("ts")).alias("run_ts"),
     )

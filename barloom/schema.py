@@ -19,9 +19,19 @@ BAR_COLUMNS = (
 DEFAULT_EXCHANGE = "NSE"
 DEFAULT_ZONE = "Asia/Kolkata"
 DAY_SECONDS = 86_400
+METRICS = (
+    "IngestSuccess", "IngestFailed",  # per symbol
+    "IngestRunSuccessCount", "IngestRunFailedCount", "IngestRunSymbolsTotal",  # per run
+)
+REQUEST = {"resolution": "1", "date_format": "1", "cont_flag": "1"}  # sent with each fetch
+MISSING_CREDENTIALS = "missing_credentials"  # error text of a fetch without a token
+EXHAUSTED = "Exhausted "  # how the error text of a given-up fetch begins
 # ---------------------------------------------------------------------------
 
 SERIES = ("symbol", "exchange")  # one price series
+# Epoch seconds a wall clock can show in any zone: years 1 to 9999, less a day at either end.
+TS_RANGE = (-62_135_510_400, 253_402_214_400)
+
 # Identity of a base candle; exchange is not part of it. The number goes first because Spark
 # sorts by it faster than by text.
 CANDLE_KEY = ("ts", "symbol")

@@ -123,6 +123,16 @@ def test_tie_break_settles_open_and_close(spark):
         assert (bar.open, bar.close, bar.volume) == (3.0, 6.0, 3.0)
 
 
+def test_a_null_symbol_makes_whole_bars_except_by_joins(spark):
+    rows = [(None, "X", START + i, float(i), 9.0, 0.0, float(i), 1.0) for i in range(3)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    for bars in (op.resample(frame, M1), op.all_timeframes(frame, [M1], unique_ts=True)):
+        (bar,) = bars.collect()
+        assert (bar.symbol, bar.open, bar.close, bar.volume) == (None, 0.0, 2.0, 3.0)
+    (bar,) = branches.resample_by_joins(frame, M1).collect()
+    assert (bar.open, bar.close, bar.volume) == (None, None, 3.0)
+
+
 def test_same_bars_under_every_session_zone(spark, session_zone):
     frame = spark.createDataFrame(make_rows(200), SCHEMA)
     seen = []

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from barloom import operators as op, sinks, sources
 from barloom.plans.day_job import aggregate_day, main
-from barloom.schema import OUTCOME
+from barloom.schema import ENVELOPE, OUTCOME
 from barloom.streaming.arrivals import rebuild_on_arrival
 
 B = 1736135100  # 2025-01-06 09:15 IST
@@ -19,7 +19,7 @@ ZONES = ["UTC", "Asia/Kolkata", "America/New_York"]
 def land(base, symbol, name, text, day="06"):
     folder = base / f"symbol={symbol}" / "exchange=NSE" / "year=2025" / "month=01" / f"day={day}"
     folder.mkdir(parents=True, exist_ok=True)
-    text = text if isinstance(text, str) else json.dumps({"fyers_response": text}, indent=2)
+    text = text if isinstance(text, str) else json.dumps({ENVELOPE: text}, indent=2)
     # the local file system cannot read names with colons, object stores can
     (folder / f"ingest-{name}.json").write_text(text)
 
@@ -34,12 +34,12 @@ def landed(tmp_path):
     land(base, "NSE_A-EQ", "v1", {"s": "ok", "candles": [candle(B, 100), candle(B + 60, 101)]})
     land(base, "NSE_A-EQ", "v2", {"s": "ok", "candles": [
         candle(B, 100), candle(B + 60, 201, 7), candle(B + 300, 102), [B, 1, 2], None,
-        candle(None, 1), [B + 360, None, 9, 1, 5, 4],
+        candle(None, 1), [B + 360, None, 9, 1, 5, 4], candle(B * 10**6, 1),
     ]})
     land(base, "NSE_B-EQ", "v1", {"s": "no_data", "candles": []})
     land(base, "NSE_C-EQ", "v1", {"raw_text": "oops"})
     land(base, "NSE_D-EQ", "v1", {"candles": [candle(B, 50), [B + 60, "x", 1, 1, 1, 1]]})
-    land(base, "NSE_E-EQ", "v1", '{"fyers_response": {"candles": [[17361')
+    land(base, "NSE_E-EQ", "v1", '{"%s": {"candles": [[17361' % ENVELOPE)
     land(base, "NSE_F-EQ", "v1", {"s": "ok"})
     land(base, "NSE_A-EQ", "v1", {"candles": [candle(B + 86_400, 500)]}, day="07")
     return str(base)
@@ -88,6 +88,7 @@ def test_triage_and_rejects(spark, landed):
     }
     assert triples(op.rejected_candles(text), "symbol", "pos", "reason") == [
         ("NSE_A-EQ", 3, "short_candle"), ("NSE_A-EQ", 4, "null_candle"), ("NSE_A-EQ", 5, "null_ts"),
+        ("NSE_A-EQ", 7, "bad_ts"),
         ("NSE_D-EQ", 1, "bad_open"),
     ]
     saved = op.dedup_latest(op.salvaged_rows(text))
@@ -194,7 +195,7 @@ def test_landing_round_trip(spark, tmp_path, one_per_file):
          ("NSE:X/Y-BE", "2025-01-06T04:00:00Z", ([[float(B), 7.0, 8.0, 6.0, 7.0, 1.0]], None)),
          ("NSE:BAD-EQ", "2025-01-06T04:00:00Z", (None, "error"))],
         "symbol string, ingest_ts string, "
-        "fyers_response struct<candles: array<array<double>>, s: string>",
+        f"{ENVELOPE} struct<candles: array<array<double>>, s: string>",
     )
     sinks.land_raw(payloads.coalesce(1), base, one_per_file=one_per_file)
     files = list((tmp_path / "raw").rglob("*.json"))

@@ -3,15 +3,42 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barloom.functions import as_date
-from barloom.schema import BAR, BAR_COLUMNS
+from barloom.schema import BAR, BAR_COLUMNS, BAR_PARTITIONS
 from barloom.sources.files import empty_frame, load_matching
 
 _PLAIN_NAME = re.compile(r"[A-Za-z0-9_.&-]+")  # the same in a folder name as in the value
+_MOST_SYMBOLS_IN_A_GLOB = 1000  # beyond it the filter alone does the work
+
+
+def _any_of(values: Iterable[str]) -> str:
+    names = sorted(set(values))
+    return names[0] if len(names) == 1 else "{" + ",".join(names) + "}"
+
+
+def _date_globs(start: date, end: date) -> dict[str, str]:
+    """The narrowest year, month or day names that hold a range of dates."""
+    if start.year != end.year:
+        return {"year": _any_of(f"{y}" for y in range(start.year, end.year + 1))}
+    year = f"{start:%Y}"
+    if start.month != end.month:
+        months = range(start.month, end.month + 1)
+        return {"year": year, "month": _any_of(f"{m:02d}" for m in months)}
+    days = range(start.day, end.day + 1)
+    return {"year": year, "month": f"{start:%m}", "day": _any_of(f"{d:02d}" for d in days)}
+
+
+def _folder_pattern(names: dict[str, str]) -> str:
+    """Glob of the partition folders, down to the last level that is narrowed."""
+    if not names:
+        return ""
+    depth = 1 + max(BAR_PARTITIONS.index(n) for n in names)
+    return "/".join(f"{n}={names.get(n, '*')}" for n in BAR_PARTITIONS[:depth])
 
 
 def read_bars(
@@ -20,33 +47,46 @@ def read_bars(
     *,
     timeframe: str | None = None,
     exchange: str | None = None,
-    symbols: list[str] | None = None,
+    symbols: Iterable[str] | None = None,
     start: date | str | None = None,
     end: date | str | None = None,
     view: str | None = None,
 ) -> DataFrame:
     """Bars of a folder, pruned by partition; dates are local and inclusive.
 
-    Every argument filters partition columns only, so unwanted folders are never opened;
-    ``timeframe`` and ``exchange`` also keep them out of the listing. ``view`` registers the
-    result for SQL.
+    Every argument is a filter on partition columns, so unwanted files are never opened. Where
+    folder names allow it is also a glob, so that unwanted folders are never listed either:
+    one day of a long archive costs the listing of that day. ``view`` registers the result for
+    SQL.
     """
-    chosen = {"timeframe": timeframe, "exchange": exchange}
-    plain = {k: v for k, v in chosen.items() if v is not None and _PLAIN_NAME.fullmatch(v)}
-    pattern = "/".join(f"{k}={plain.get(k, '*')}" for k in chosen) if plain else ""
-    bars = load_matching(spark, spark.read.schema(BAR), "parquet", base, pattern)
+    wanted = {
+        "timeframe": None if timeframe is None else [timeframe],
+        "exchange": None if exchange is None else [exchange],
+        "symbol": None if symbols is None else sorted(set(symbols)),
+    }
+    wanted = {name: values for name, values in wanted.items() if values is not None}
+    first = None if start is None else as_date(start)
+    last = None if end is None else as_date(end)
+    if any(not values for values in wanted.values()) or (first and last and first > last):
+        bars = None
+    else:
+        globs = {
+            name: _any_of(values) for name, values in wanted.items()
+            if len(values) <= _MOST_SYMBOLS_IN_A_GLOB and all(map(_PLAIN_NAME.fullmatch, values))
+        }
+        if first and last:
+            globs.update(_date_globs(first, last))
+        reader = spark.read.schema(BAR)
+        bars = load_matching(spark, reader, "parquet", base, _folder_pattern(globs))
     if bars is None:
         bars = empty_frame(spark, BAR)
-    for name, value in chosen.items():
-        if value is not None:
-            bars = bars.where(F.col(name) == value)
-    if symbols is not None:
-        bars = bars.where(F.col("symbol").isin(list(symbols)))
+    for name, values in wanted.items():
+        bars = bars.where(F.col(name).isin(values))
     local_day = F.concat("year", "month", "day")
-    if start is not None:
-        bars = bars.where(local_day >= f"{as_date(start):%Y%m%d}")
-    if end is not None:
-        bars = bars.where(local_day <= f"{as_date(end):%Y%m%d}")
+    if first:
+        bars = bars.where(local_day >= f"{first:%Y%m%d}")
+    if last:
+        bars = bars.where(local_day <= f"{last:%Y%m%d}")
     bars = bars.select(*BAR_COLUMNS)
     if view:
         bars.createOrReplaceTempView(view)

@@ -176,14 +176,28 @@ def test_static_and_dynamic_overwrite(spark, tmp_path):
 def test_bar_scan_prunes(spark, landed, tmp_path):
     out = str(tmp_path / "bars")
     aggregate_day(spark, landed, out, "all", "all")
+    day = dict(start="2025-01-07", end="2025-01-07")
     bars = sources.read_bars(spark, out, timeframe="1m", exchange="NSE", symbols=["NSE_A-EQ"],
-                             start="2025-01-07", end="2025-01-07", view="bars")
+                             view="bars", **day)
     assert spark.sql("select count(*) from bars").first()[0] == 1
-    assert len(bars.inputFiles()) == 2  # the listing holds one width, both dates
+    assert len(bars.inputFiles()) == 1  # the listing holds nothing else
     plan = bars._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(timeframe" in plan
-    assert sources.read_bars(spark, out, timeframe="2h").isEmpty()
-    assert triples(sources.read_bars(spark, out, exchange="N*"), "symbol") == []
+    whole = sources.read_bars(spark, out)
+    assert len(whole.inputFiles()) == 8
+    assert len(sources.read_bars(spark, out, **day).inputFiles()) == 4
+    for start, end in [("2025-01-07", None), (None, "2025-01-06"), ("2025-01-01", "2025-01-06"),
+                       ("2024-12-31", "2025-01-06"), ("2025-01-07", "2025-03-01")]:
+        picked = sources.read_bars(spark, out, start=start, end=end)
+        expected = whole.where(
+            f"concat_ws('-', year, month, day) between '{start or '0'}' and '{end or '9'}'"
+        )
+        assert triples(picked, *sinks.BAR_PARTITIONS, "interval_start_epoch") == triples(
+            expected, *sinks.BAR_PARTITIONS, "interval_start_epoch"
+        ) != []
+    for nothing in (dict(timeframe="2h"), dict(exchange="N*"), dict(symbols=[]),
+                    dict(symbols=["NSE_{A}-EQ"]), dict(start="2025-01-07", end="2025-01-06")):
+        assert sources.read_bars(spark, out, **nothing).isEmpty()
 
 
 @pytest.mark.parametrize("one_per_file", [True, False])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from barloom import operators as op, sinks, sources
 from barloom.functions import (
-    date_parts, interval_epoch, iso_date_parts, symbol_key, utc_clock, wall_clock,
+    date_parts, ingest_version, interval_epoch, iso_date_parts, symbol_key, utc_clock, wall_clock,
 )
 from barloom.operators import branches
 from barloom.plans import feeds, oracle as o
@@ -97,6 +97,23 @@ def src_raw_on_date(spark, sf):
     return op.base_rows(raw).withColumn("pos", F.col("pos").cast("bigint"))
 
 
+@query("src_ingest_version", o.with_(
+    o.DOCUMENTS,
+    body="""select ticker as symbol, ingest_ts,
+        case when status = 'ok' then 'ingest-' || ingest_ts || '.json'
+            else 'part-' || ingest_ts || '.json' end as file_name,
+        case when status = 'ok' then ingest_ts end as version from docs""",
+))
+def src_ingest_version(spark, sf):
+    """SRC-6: the version of a document from its file name, none in other names."""
+    documents = feeds.event_documents(spark, sf)
+    kind = F.when(F.col(f"{ENVELOPE}.s") == "ok", "ingest-").otherwise("part-")
+    named = documents.withColumn("file_name", F.concat(kind, F.col("ingest_ts"), F.lit(".json")))
+    return named.select(
+        "symbol", "ingest_ts", "file_name", ingest_version(F.col("file_name")).alias("version")
+    )
+
+
 @query("src_ticker_list", o.with_(
     o.TICKERS, body="""select symbol, translate(symbol, ':/', '__') as symbol_key from tickers""",
 ))

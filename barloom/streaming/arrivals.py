@@ -18,7 +18,7 @@ from barloom.schema import DEFAULT_ZONE, RAW
 
 def touched_dates(documents: DataFrame) -> list[date]:
     """Landing dates present in a batch: one small row per date, not per document."""
-    rows = documents.select("year", "month", "day").distinct().collect()
+    rows = documents.select("year", "month", "day").dropna().distinct().collect()
     return sorted(date(int(r.year), int(r.month), int(r.day)) for r in rows)
 
 

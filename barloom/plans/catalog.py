@@ -684,7 +684,8 @@ def dq_triage_documents(spark, sf):
 
 @query("dq_triage_counts", o.with_(
     o.DOCUMENT_TEXT,
-    body=f'select {_VERDICT} as "class", cast(count(*) as bigint) as documents from texts group by 1',
+    body=f"""select {_VERDICT} as "class", cast(count(*) as bigint) as documents
+    from texts group by 1""",
 ))
 def dq_triage_counts(spark, sf):
     """DQ-1: documents per class."""

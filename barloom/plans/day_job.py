@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from barloom.functions import as_date, local_date
 from barloom.operators import (
-    all_timeframes, base_rows, common_home, dedup_latest, on_session, on_session_date, salvaged_rows,
+    all_timeframes, base_rows, common_home, dedup_latest, on_session, on_session_date,
+    salvaged_rows,
 )
 from barloom.schema import CANDLE_KEY, DEFAULT_ZONE, TIMEFRAMES, Timeframe
 from barloom.session import get_session

@@ -73,7 +73,8 @@ DOCUMENTS = f"""docs as (
         case when value < 0.5 then 'error' when value < 2 then 'no_data' else 'ok' end as status,
         case when value < 1 then null
             when value < 2 then cast([] as double[][])
-            when value < 3 then cast([[t, o, o + 1], [t, o, o + 1, o - 1, o + 0.25, v]] as double[][])
+            when value < 3 then cast([[t, o, o + 1],
+                [t, o, o + 1, o - 1, o + 0.25, v]] as double[][])
             else cast([[t, o, o + 1, o - 1, o + 0.25, v],
                 [t + 60, o, o + 1, o - 1, o + 0.25, v, 9]] as double[][]) end as candles
     from (select *, cast({epoch("ts")} as double) as t, value as o,

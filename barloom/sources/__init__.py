@@ -5,5 +5,6 @@ from barloom.sources.lists import parse_tickers, read_dead_letters, read_tickers
 from barloom.sources.raw import on_raw_date, parse_raw, read_raw
 
 __all__ = [
-    "on_raw_date", "parse_raw", "parse_tickers", "read_bars", "read_dead_letters", "read_raw", "read_tickers",
+    "on_raw_date", "parse_raw", "parse_tickers", "read_bars", "read_dead_letters", "read_raw",
+    "read_tickers",
 ]

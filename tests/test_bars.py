@@ -111,8 +111,11 @@ def test_invariants(spark):
 
 
 def test_tie_break_settles_open_and_close(spark):
-    rows = [("A", "X", START, 1.0, 9.0, 1.0, 2.0, 1.0, 2), ("A", "X", START, 3.0, 9.0, 1.0, 4.0, 1.0, 1),
-            ("A", "X", START, 5.0, 9.0, 1.0, 6.0, 1.0, 3)]
+    rows = [
+        ("A", "X", START, 1.0, 9.0, 1.0, 2.0, 1.0, 2),
+        ("A", "X", START, 3.0, 9.0, 1.0, 4.0, 1.0, 1),
+        ("A", "X", START, 5.0, 9.0, 1.0, 6.0, 1.0, 3),
+    ]
     frame = spark.createDataFrame(rows, SCHEMA + ", seq int").repartition(3)
     for bars in (
         op.resample(frame, M5, tie_break=["seq"]),
@@ -146,7 +149,8 @@ def test_two_shuffles_from_copies_to_all_widths(spark):
     frame = spark.createDataFrame([(*r, "v1", 0) for r in make_rows(100)],
                                   SCHEMA + ", ingest_ts string, pos int")
     candles = op.dedup_latest(frame)
-    plan = op.all_timeframes(candles, unique_ts=True)._jdf.queryExecution().executedPlan().toString()
+    bars = op.all_timeframes(candles, unique_ts=True)
+    plan = bars._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 2
     assert "Join" not in plan
 
@@ -155,8 +159,9 @@ def test_dedup_keeps_the_newest_whatever_the_layout(spark):
     rnd = random.Random(3)
     rows = []
     for ts in range(START, START + 600, 60):
-        for version in range(40):
-            rows.append(("A", rnd.choice(["NSE", "BSE"]), ts, *[float(rnd.randrange(9)) for _ in range(5)],
+        for _ in range(40):
+            values = [float(rnd.randrange(9)) for _ in range(5)]
+            rows.append(("A", rnd.choice(["NSE", "BSE"]), ts, *values,
                          f"2025-01-06T{rnd.randrange(3):02d}:00:00Z", rnd.randrange(2)))
     schema = SCHEMA + ", ingest_ts string, pos int"
     best = {}

@@ -242,7 +242,8 @@ def test_dead_letters_of_both_layouts(spark, tmp_path):
     sinks.write_dead_letters(letters, str(base))
     both = sources.read_dead_letters(spark, str(base))
     assert triples(both, "symbol", "year", "month", "day", "attempts", "params_sent.range_to") == [
-        ("NSE_B-EQ", "2025", "01", "07", 5, "2025-01-07"), ("NSE_Z-EQ", "2025", "01", "06", 5, None),
+        ("NSE_B-EQ", "2025", "01", "07", 5, "2025-01-07"),
+        ("NSE_Z-EQ", "2025", "01", "06", 5, None),
     ]
     assert sources.read_dead_letters(spark, str(base), "2025-01-06").count() == 1
     assert sources.read_dead_letters(spark, str(base), "2025-01-09").isEmpty()

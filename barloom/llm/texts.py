@@ -63,19 +63,22 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Word bytes are letters, digits and all bytes of other alphabets.
+NOT_LETTERS = np.ones(256, bool)
+NOT_LETTERS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 _PLACE = _RNG.integers(1, 1 << 63, 64, dtype=U64) | U64(1)
 
 
 class Words:
-    """Words of a run of texts: maximal runs of bytes other than white space, A-Z lowered.
+    """Words of a run of texts: maximal runs of bytes other than ``space``, A-Z lowered.
 
     ``hash``: one 64-bit hash a word; ``start``, ``end``: its bytes; ``first``: each text's first
     word, with one more at the end.
     """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, space: np.ndarray = _SPACE):
         self.data = lowered = _LOWER[data]
-        inside = ~_SPACE[lowered]
+        inside = ~space[lowered]
         before = np.zeros(len(data), bool)
         before[1:] = inside[:-1]
         begins = offsets[:-1][offsets[:-1] < len(data)]
@@ -100,6 +103,14 @@ class Words:
         terms = _BYTE[lowered[at]] * np.multiply.accumulate(powers)[place]
         self.hash = mix(np.add.reduceat(terms, word_first) + U64(0x632BE59BD9B4E019) * length.astype(U64))
 
+    def beginnings(self, size: int) -> np.ndarray:
+        """A hash of each word's first ``size`` bytes; 0 for words that are not longer."""
+        out = np.zeros(len(self.start), U64)
+        for k in range(size):
+            at = np.minimum(self.start + k, max(len(self.data) - 1, 0))
+            out += _BYTE[self.data[at]] * _PLACE[32 + k] if len(at) else U64(0)
+        return np.where(self.end - self.start > size, mix(out + U64(size)), U64(0))
+
     def shingles(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of each text's runs of ``n`` words, and each text's first.
 

@@ -184,7 +184,7 @@ def score_texts(docs: DataFrame, model: ToxicityModel, text: str = "text") -> Da
 
     from pyspark.sql.types import DoubleType, StringType, StructType
 
-    schema = StructType(docs.schema.fields).add("score", DoubleType()).add("worst_score", DoubleType()).add("worst_sentence", StringType())
+    schema = StructType([*docs.schema.fields]).add("score", DoubleType()).add("worst_score", DoubleType()).add("worst_sentence", StringType())
     return docs.mapInArrow(run, schema)
 
 

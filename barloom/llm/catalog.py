@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from barloom.llm.bpe import op1_bpe
 from barloom.llm.containment import op7_decontamination
 from barloom.llm.jaccard import op4_ngram_jaccard
+from barloom.llm.lm import op6_lm_scores
 from barloom.llm.token_counts import op8_token_counts
 from barloom.llm.toxicity import op5_toxicity
 
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_toxicity": op5_toxicity,
+    "op6_lm_scores": op6_lm_scores,
     "op7_decontamination": op7_decontamination,
     "op8_token_counts": op8_token_counts,
 }

@@ -109,8 +109,8 @@ def fit(word: np.ndarray, first: np.ndarray, doc: np.ndarray, toxic: np.ndarray)
 
 
 def held_out(key: str = "doc_id"):
-    """Rows kept from training: the remainder of the id's checksum by 5 is 0."""
-    return F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(5)) == 0
+    """Rows kept from training: the remainder of the id's checksum by 5 is 0; not so a null id."""
+    return F.coalesce(F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
 
 def train(

@@ -7,19 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from barloom.llm.bpe import op1_bpe
+from barloom.llm.chat import OP2_SQL, op2_chat_format
 from barloom.llm.containment import op7_decontamination
 from barloom.llm.jaccard import op4_ngram_jaccard
+from barloom.llm.licenses import op9_license_scan
 from barloom.llm.lm import op6_lm_scores
+from barloom.llm.surrogates import op10_surrogates
 from barloom.llm.token_counts import op8_token_counts
 from barloom.llm.toxicity import op5_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_chat_format": op2_chat_format,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_toxicity": op5_toxicity,
     "op6_lm_scores": op6_lm_scores,
     "op7_decontamination": op7_decontamination,
     "op8_token_counts": op8_token_counts,
+    "op9_license_scan": op9_license_scan,
+    "op10_surrogates": op10_surrogates,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op2_chat_format": OP2_SQL}

@@ -12,6 +12,7 @@ from barloom.llm.containment import op7_decontamination
 from barloom.llm.jaccard import op4_ngram_jaccard
 from barloom.llm.licenses import op9_license_scan
 from barloom.llm.lm import op6_lm_scores
+from barloom.llm.neighbours import op3_nearest
 from barloom.llm.surrogates import op10_surrogates
 from barloom.llm.token_counts import op8_token_counts
 from barloom.llm.toxicity import op5_toxicity
@@ -19,6 +20,7 @@ from barloom.llm.toxicity import op5_toxicity
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_chat_format": op2_chat_format,
+    "op3_nearest": op3_nearest,
     "op4_ngram_jaccard": op4_ngram_jaccard,
     "op5_toxicity": op5_toxicity,
     "op6_lm_scores": op6_lm_scores,

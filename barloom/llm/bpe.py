@@ -297,31 +297,38 @@ def decode_ids(rows: DataFrame, path: str, key: str = "doc_id", ids: str = "ids"
     return rows.select(key, ids).mapInArrow(run, f"`{key}` {kind}, text string")
 
 
-def encode_digests(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def encode_digests(
+    docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", with_ids: bool = False
+) -> DataFrame:
     """Token count and digests of the ids and of the text decoded from them, in one pass.
 
-    Columns: ``key``, ``n_tokens``, ``ids_sha256`` of the ids joined by commas, ``decoded_sha256``.
-    Encoding and decoding are those of ``encode_texts`` and ``decode_ids``; the ids stay in the task.
+    Columns: ``key``, ``n_tokens``, ``ids_sha256`` of the ids joined by commas, ``decoded_sha256``,
+    and ``ids`` if asked for. Encoding and decoding are those of ``encode_texts`` and ``decode_ids``.
     """
+    names = [key, "n_tokens", "ids_sha256", "decoded_sha256", *(["ids"] if with_ids else [])]
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(path)
         for batch in all_chunks(batches, text):
-            counts, ids_sha, text_sha = [], [], []
+            counts, ids_sha, text_sha, kept = [], [], [], []
             for value in batch.column(text).to_pylist():
                 parts = code.parts(value or "")
                 ids = np.frombuffer(b"".join([p[1] for p in parts]), np.int32)
                 counts.append(len(ids))
                 ids_sha.append(hashlib.sha256(",".join([p[0] for p in parts]).encode()).hexdigest())
+                if with_ids:
+                    kept.append(ids)
                 decoded = code.vocabulary.decode(ids).decode("utf-8", "replace")
                 text_sha.append(hashlib.sha256(decoded.encode()).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(key), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())],
-                [key, "n_tokens", "ids_sha256", "decoded_sha256"],
-            )
+            columns = [batch.column(key), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
+            if with_ids:
+                ends = pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32())
+                columns.append(pa.ListArray.from_arrays(ends, pa.array(np.concatenate(kept) if kept else np.zeros(0, np.int32))))
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, text).mapInArrow(
-        run, f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+        run, f"`{key}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     )
 
 

@@ -188,6 +188,19 @@ def score_texts(docs: DataFrame, model: ToxicityModel, text: str = "text") -> Da
     return docs.mapInArrow(run, schema)
 
 
+def clean_texts(docs: DataFrame, model: ToxicityModel, threshold: float = 0.5, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, that score below ``threshold``; null and empty texts stay."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in all_chunks(batches, text):
+            found = Sentences(batch.column(text))
+            score = _noisy_or(shared.value.sentence_logits(found), found.doc, batch.num_rows)
+            yield batch.filter(pa.array(score < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = train(docs, table(spark, sf_dir, "labels"))

@@ -14,9 +14,11 @@ Links are needed between sets whose Jaccard coefficient reaches a fraction ``num
    shingles as their bitmaps differ in bits, which bounds the overlap from above.
 4. *Exact intersection* of the sorted shingle arrays for pairs that pass.
 
-Sets of a key are first tried against its smallest only. Pairs in keys that still hold several
-components are then tried tile by tile, in blocks of bounded size, so near copies by the thousand
-need about one trial each and no link between different components is lost.
+Sets of a key are first tried against its smallest only. Keys that still hold several components
+are then gone through in blocks of bounded size. The first time a block gives only pairs that would
+join components if they linked, then up to ``16`` and ``128`` pairs a set, then all: near copies by
+the thousand need about one trial each, most of them are one component before many pairs are tried,
+and no link between different components is lost.
 """
 
 from __future__ import annotations
@@ -183,15 +185,26 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return both.where(_reaches(overlap, F.col("size_a") + F.col("size_b"), num, den)).select("a", "b")
 
 
-def _tile_pairs(num: int, den: int):
-    """Pairs of different components in a tile that sizes and bitmaps allow; rows come sorted by tile."""
-    def tile(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+def _tile_pairs(num: int, den: int, limit: int):
+    """Pairs of different components in a tile that sizes and bitmaps allow; rows come sorted by tile.
+
+    ``limit``: pairs of a set with later ones; 0 for pairs that join what earlier ones have not.
+    ``more``: some allowed pair was left for another time.
+    """
+    def root(joined: dict[int, int], x: int) -> int:
+        while (up := joined.get(x, x)) != x:
+            joined[x] = joined.get(up, up)
+            x = up
+        return x
+
+    def tile(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, bool]:
         ids, size = rows["set_id"].to_numpy(), rows["size"].to_numpy()
         label, block = rows["label"].to_numpy(), rows["block"].to_numpy()
         bits = rows["bits"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1).view(U64)
         apart_blocks = rows["i"][0].as_py() != rows["j"][0].as_py()
         left = np.flatnonzero(block == rows["i"][0].as_py())
-        out_a, out_b = [], []
+        out_a, out_b, more = [], [], False
+        joined: dict[int, int] = {}
         for x in left:
             y = np.flatnonzero(block == rows["j"][0].as_py()) if apart_blocks else np.arange(x + 1, len(ids))
             y = y[label[y] != label[x]]
@@ -201,10 +214,23 @@ def _tile_pairs(num: int, den: int):
             sizes = size[y] + size[x]
             overlap = (sizes - differ) // 2
             y = y[overlap * den >= (sizes - overlap) * num]
+            if limit:
+                more |= len(y) > limit
+                y = y[:limit]
+            else:
+                new = []
+                for at in y.tolist():
+                    p, q = root(joined, int(label[x])), root(joined, int(label[at]))
+                    if p == q:
+                        more = True
+                    else:
+                        joined[q] = p
+                        new.append(at)
+                y = np.array(new, np.int64)
             out_a.append(np.minimum(ids[y], ids[x]))
             out_b.append(np.maximum(ids[y], ids[x]))
         none = [np.zeros(0, np.int64)]
-        return np.concatenate(out_a or none), np.concatenate(out_b or none)
+        return np.concatenate(out_a or none), np.concatenate(out_b or none), more
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_: list[pa.RecordBatch] = []
@@ -212,8 +238,8 @@ def _tile_pairs(num: int, den: int):
 
         def close() -> Iterator[pa.RecordBatch]:
             if open_:
-                a, b = tile(pa.Table.from_batches(open_))
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+                a, b, more = tile(pa.Table.from_batches(open_))
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.full(len(a), more))], ["a", "b", "more"])
 
         for batch in batches:
             where = np.stack([batch.column(c).to_numpy() for c in ("key", "i", "j")], axis=1)
@@ -230,6 +256,23 @@ def _tile_pairs(num: int, den: int):
     return run
 
 
+def _members(met: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
+    """Sets of keys that hold several components, sorted by tile: pairs of blocks of one key."""
+    labelled = met.select("key", "set_id").join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").select(
+        "key", "set_id", F.coalesce("label", "set_id").alias("label")
+    )
+    mixed = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
+    members = labelled.join(mixed, "key", "left_semi").distinct()
+    place = Window.partitionBy("key").orderBy("set_id")
+    members = members.withColumn("block", F.floor((F.row_number().over(place) - 1) / BLOCK)).withColumn(
+        "blocks", F.max("block").over(Window.partitionBy("key"))
+    )
+    members = members.join(sets.select("set_id", "size", "bits"), "set_id").withColumn(
+        "other", F.explode(F.expr("sequence(0L, blocks)"))
+    ).select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "set_id", "label", "size", "bits")
+    return members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+
 def jaccard_components(
     docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -264,24 +307,19 @@ def jaccard_components(
     links = scratch.keep(_verified(first, sets, num, den), "jaccard-links")
     labels = components(links, scratch)
 
-    labelled = met.select("key", "set_id").join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").select(
-        "key", "set_id", F.coalesce("label", "set_id").alias("label")
-    )
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
-    members = labelled.join(mixed, "key", "left_semi").distinct()
-    place = Window.partitionBy("key").orderBy("set_id")
-    members = members.withColumn("block", F.floor((F.row_number().over(place) - 1) / BLOCK)).withColumn(
-        "blocks", F.max("block").over(Window.partitionBy("key"))
-    )
-    members = members.join(sets.select("set_id", "size", "bits"), "set_id").withColumn(
-        "other", F.explode(F.expr("sequence(0L, blocks)"))
-    ).select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "set_id", "label", "size", "bits")
-    rest = members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(
-        _tile_pairs(num, den), "a long, b long"
-    ).distinct().join(first, ["a", "b"], "left_anti")
-    more = scratch.keep(_verified(rest, sets, num, den), "jaccard-more")
-    if more.limit(1).count():
-        labels = components(links.union(more), scratch)
+    tried = first
+    for step, limit in enumerate((0, 16, 128, BLOCK)):
+        pairs = scratch.keep(
+            _members(met, labels, sets).mapInArrow(_tile_pairs(num, den, limit), "a long, b long, more boolean").distinct(), f"jaccard-pairs-{step}"
+        )
+        new = scratch.keep(pairs.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), f"jaccard-tried-{step}")
+        found = scratch.keep(_verified(new, sets, num, den), f"jaccard-links-{step}")
+        tried = tried.union(new)
+        if found.limit(1).count():
+            links = links.union(found)
+            labels = components(links, scratch)
+        if not pairs.where("more").limit(1).count():
+            break
 
     numbered = signed.where("set_id is not null").groupBy("set_id").agg(F.min(key).alias("least"))
     numbered = numbered.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").select(

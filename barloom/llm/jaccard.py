@@ -36,6 +36,7 @@ from barloom.llm.texts import U64, all_chunks, i64, mix, table, words_of
 
 BITS = 1024
 BLOCK = 1024
+ROWS = 128
 SEEDS = 3
 #: Exact sets a task remembers, so that their copies are not posted again.
 SEEN = 200_000
@@ -201,36 +202,38 @@ def _tile_pairs(num: int, den: int, limit: int):
         ids, size = rows["set_id"].to_numpy(), rows["size"].to_numpy()
         label, block = rows["label"].to_numpy(), rows["block"].to_numpy()
         bits = rows["bits"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1).view(U64)
-        apart_blocks = rows["i"][0].as_py() != rows["j"][0].as_py()
-        left = np.flatnonzero(block == rows["i"][0].as_py())
-        out_a, out_b, more = [], [], False
+        i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        out, more = [], False
         joined: dict[int, int] = {}
-        for x in left:
-            y = np.flatnonzero(block == rows["j"][0].as_py()) if apart_blocks else np.arange(x + 1, len(ids))
-            y = y[label[y] != label[x]]
-            if not len(y):
-                continue
-            differ = np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1).astype(np.int64)
-            sizes = size[y] + size[x]
+        for part in range(0, len(left), ROWS):
+            x = left[part : part + ROWS]
+            differ = np.zeros((len(x), len(right)), np.int64)
+            for word in range(bits.shape[1]):
+                differ += np.bitwise_count(bits[x, word][:, None] ^ bits[right, word])
+            sizes = size[x][:, None] + size[right]
             overlap = (sizes - differ) // 2
-            y = y[overlap * den >= (sizes - overlap) * num]
+            allowed = (overlap * den >= (sizes - overlap) * num) & (label[x][:, None] != label[right])
+            if i == j:
+                allowed &= right > x[:, None]
             if limit:
-                more |= len(y) > limit
-                y = y[:limit]
-            else:
+                within = np.cumsum(allowed, axis=1) <= limit
+                more |= bool((allowed & ~within).any())
+                allowed &= within
+            at, to = np.nonzero(allowed)
+            pairs = np.stack((x[at], right[to]), axis=1)
+            if not limit:
                 new = []
-                for at in y.tolist():
-                    p, q = root(joined, int(label[x])), root(joined, int(label[at]))
-                    if p == q:
-                        more = True
-                    else:
+                for row, (p, q) in enumerate(label[pairs].tolist()):
+                    p, q = root(joined, p), root(joined, q)
+                    if p != q:
                         joined[q] = p
-                        new.append(at)
-                y = np.array(new, np.int64)
-            out_a.append(np.minimum(ids[y], ids[x]))
-            out_b.append(np.maximum(ids[y], ids[x]))
-        none = [np.zeros(0, np.int64)]
-        return np.concatenate(out_a or none), np.concatenate(out_b or none), more
+                        new.append(row)
+                more |= len(new) < len(pairs)
+                pairs = pairs[new]
+            out.append(ids[pairs])
+        found = np.sort(np.concatenate(out).reshape(-1, 2), axis=1)
+        return found[:, 0], found[:, 1], more
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_: list[pa.RecordBatch] = []
@@ -239,7 +242,8 @@ def _tile_pairs(num: int, den: int, limit: int):
         def close() -> Iterator[pa.RecordBatch]:
             if open_:
                 a, b, more = tile(pa.Table.from_batches(open_))
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.full(len(a), more))], ["a", "b", "more"])
+                columns = [pa.array(np.full(len(a), at[0])), pa.array(a), pa.array(b), pa.array(np.full(len(a), more))]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "a", "b", "more"])
 
         for batch in batches:
             where = np.stack([batch.column(c).to_numpy() for c in ("key", "i", "j")], axis=1)
@@ -257,12 +261,19 @@ def _tile_pairs(num: int, den: int, limit: int):
 
 
 def _members(met: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
-    """Sets of keys that hold several components, sorted by tile: pairs of blocks of one key."""
-    labelled = met.select("key", "set_id").join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").select(
+    """Sets of keys that hold several components, sorted by tile: pairs of blocks of one key.
+
+    Keys under which the same sets meet count once: two texts alike share many of them.
+    """
+    labelled = met.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").select(
         "key", "set_id", F.coalesce("label", "set_id").alias("label")
     )
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
-    members = labelled.join(mixed, "key", "left_semi").distinct()
+    mixed = labelled.groupBy("key").agg(
+        F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("n"),
+        F.bit_xor(F.xxhash64("set_id")).alias("mark"), F.bit_xor(F.xxhash64("set_id", F.lit(1))).alias("mark_2"),
+    ).where("x <> y")
+    mixed = mixed.groupBy("n", "mark", "mark_2").agg(F.min("key").alias("key")).select("key")
+    members = labelled.join(mixed, "key", "left_semi")
     place = Window.partitionBy("key").orderBy("set_id")
     members = members.withColumn("block", F.floor((F.row_number().over(place) - 1) / BLOCK)).withColumn(
         "blocks", F.max("block").over(Window.partitionBy("key"))
@@ -307,10 +318,10 @@ def jaccard_components(
     links = scratch.keep(_verified(first, sets, num, den), "jaccard-links")
     labels = components(links, scratch)
 
-    tried = first
+    tried, keys = first, met.select("key", "set_id").distinct()
     for step, limit in enumerate((0, 16, 128, BLOCK)):
         pairs = scratch.keep(
-            _members(met, labels, sets).mapInArrow(_tile_pairs(num, den, limit), "a long, b long, more boolean").distinct(), f"jaccard-pairs-{step}"
+            _members(keys, labels, sets).mapInArrow(_tile_pairs(num, den, limit), "key long, a long, b long, more boolean"), f"jaccard-pairs-{step}"
         )
         new = scratch.keep(pairs.select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"), f"jaccard-tried-{step}")
         found = scratch.keep(_verified(new, sets, num, den), f"jaccard-links-{step}")
@@ -318,8 +329,10 @@ def jaccard_components(
         if found.limit(1).count():
             links = links.union(found)
             labels = components(links, scratch)
-        if not pairs.where("more").limit(1).count():
+        left = scratch.keep(pairs.where("more").select("key").distinct(), f"jaccard-left-{step}")
+        if not left.limit(1).count():
             break
+        keys = met.select("key", "set_id").distinct().join(left, "key", "left_semi")
 
     numbered = signed.where("set_id is not null").groupBy("set_id").agg(F.min(key).alias("least"))
     numbered = numbered.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").select(

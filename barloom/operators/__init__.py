@@ -10,22 +10,23 @@ from barloom.operators.branches import (
 )
 from barloom.operators.candles import (
     base_rows, cached, candle_fields, clean_candles, complete_candles, dedup_latest,
-    explode_candles, nested_candles, on_session, with_candles, with_wall_clock,
+    explode_candles, found_candles, nested_candles, on_session, usable_candles, with_candles,
+    with_wall_clock,
 )
 from barloom.operators.outcomes import (
     dead_letters, failure_reasons, failures, run_metrics, run_summary, successes, symbol_counts,
 )
 from barloom.operators.quality import (
-    judged_candles, rejected_candles, salvaged_rows, triage_counts, triage_raw,
+    judged, judged_candles, rejected_candles, salvaged_rows, triage_counts, triage_raw,
 )
 
 __all__ = [
     "all_timeframes", "as_bars", "attach", "base_rows", "bucket_aggregates", "bucket_closes",
     "bucket_opens", "cached", "candle_fields", "clean_candles", "common_home", "complete_candles",
     "dead_letters", "dedup_latest", "explode_candles", "failure_reasons", "failures",
-    "first_of_group", "judged_candles", "nested_candles", "ohlcv", "on_session",
+    "first_of_group", "found_candles", "judged", "judged_candles", "nested_candles", "ohlcv", "on_session",
     "on_session_date", "rejected_candles", "resample", "resample_by_joins", "row_numbers",
     "run_metrics", "run_summary", "salvaged_rows", "successes", "symbol_counts",
-    "triage_counts", "triage_raw", "union_timeframes", "with_candles", "with_date_parts",
+    "triage_counts", "triage_raw", "union_timeframes", "usable_candles", "with_candles", "with_date_parts",
     "with_interval", "with_wall_clock",
 ]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from datetime import date
 from functools import reduce
 
@@ -97,8 +97,8 @@ def all_timeframes(
     width is aggregated from that placement without another shuffle; the result then also lies
     as the bar folders do. What is placed is bounded per group: either ``unique_ts`` promises at
     most one row per series and second, as after ``dedup_latest``, or the rows are first
-    combined into the narrowest bars by a map-side aggregation. Widths that do not nest are
-    resampled one by one.
+    combined into the narrowest bars by a map-side aggregation. Where widths do not nest, each
+    row goes to its bucket of every width in one aggregation, combined before its only shuffle.
 
     ``partitions`` fixes the number of tasks of the placement, which adaptive execution would
     otherwise choose by size; see ``sinks.folder_writers``.
@@ -106,8 +106,17 @@ def all_timeframes(
     home = common_home(timeframes, zone)
     finest = min(timeframes, key=lambda t: t.seconds)
     cascades = all(nests(finest, t, zone) for t in timeframes)
+    frames = F.array(*[
+        F.struct(
+            F.lit(t.label).alias("timeframe"),
+            interval_epoch(F.col("ts"), t, zone).alias("interval_start_epoch"),
+        )
+        for t in timeframes
+    ])
     if home is None or not (unique_ts or cascades):
-        return union_timeframes([resample(rows, t, zone, tie_break) for t in timeframes])
+        spread = rows.select(*SERIES, "ts", *tie_break, *VALUES, F.inline(frames))
+        keys = (*SERIES, "timeframe", "interval_start_epoch")
+        return as_bars(spread.groupBy(*keys).agg(*ohlcv(_row_order(tie_break))), zone)
 
     if unique_ts:
         base = rows.select(*SERIES, "ts", *VALUES)
@@ -117,13 +126,6 @@ def all_timeframes(
         )
     target = ("symbol", "_home") if partitions is None else (partitions, "symbol", "_home")
     placed = base.withColumn("_home", interval_epoch(F.col("ts"), home, zone)).repartition(*target)
-    frames = F.array(*[
-        F.struct(
-            F.lit(t.label).alias("timeframe"),
-            interval_epoch(F.col("ts"), t, zone).alias("interval_start_epoch"),
-        )
-        for t in timeframes
-    ])
     aggregated = (
         placed.select("*", F.inline(frames))
         .groupBy(*SERIES, "_home", "timeframe", "interval_start_epoch")
@@ -132,9 +134,7 @@ def all_timeframes(
     return as_bars(aggregated, zone)
 
 
-def on_session_date(bars: DataFrame, day: date | str) -> DataFrame:
-    """Bars that start on a local date."""
-    d = as_date(day)
-    return bars.where(
-        (F.col("year") == f"{d:%Y}") & (F.col("month") == f"{d:%m}") & (F.col("day") == f"{d:%d}")
-    )
+def on_session_date(bars: DataFrame, days: date | str | Iterable[date | str]) -> DataFrame:
+    """Bars that start on one of some local dates."""
+    wanted = sorted({as_date(d) for d in ([days] if isinstance(days, (date, str)) else days)})
+    return bars.where(F.concat("year", "month", "day").isin([f"{d:%Y%m%d}" for d in wanted]))

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
+from datetime import date
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StringType
 
-from barloom.functions import as_date, day_bounds, wall_clock
+from barloom.functions import as_date, day_bounds, interval_epoch, wall_clock
 from barloom.schema import (
     CANDLE_FIELDS, CANDLE_KEY, CANDLE_VERSION, DEFAULT_ZONE, ENVELOPE, TS_RANGE, Timeframe,
 )
 
+JSON_NUMBER = r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
+
 
 def nested_candles(raw: DataFrame) -> DataFrame:
     """Lift the candle array out of the envelope."""
@@ -38,8 +43,12 @@ def complete_candles(exploded: DataFrame) -> DataFrame:
     return exploded.where(F.size("candle") >= len(CANDLE_FIELDS))
 
 
-def element(position: int, type_name: str) -> Column:
-    return F.get("candle", F.lit(position)).try_cast(type_name)
+def element(position: int, type_name: str, text: bool = False) -> Column:
+    """An element by position. Of one held as text only the number form of JSON counts."""
+    value = F.get("candle", F.lit(position))
+    if text:  # the cast alone would take 7d or 0x1p3 for numbers
+        value = F.when(value.rlike(JSON_NUMBER), value)
+    return value.try_cast(type_name)
 
 
 def candle_fields(exploded: DataFrame) -> DataFrame:
@@ -48,12 +57,13 @@ def candle_fields(exploded: DataFrame) -> DataFrame:
     A ``ts`` no calendar can show, such as one in microseconds, becomes null.
     """
     ts, *values = CANDLE_FIELDS
+    text = isinstance(exploded.schema["candle"].dataType.elementType, StringType)
     # via double: the element may be text such as 1.7361351E9
-    seconds = element(0, "double").try_cast("bigint")
+    seconds = element(0, "double", text).try_cast("bigint")
     return exploded.select(
         *[c for c in exploded.columns if c != "candle"],
         F.when(seconds.between(*TS_RANGE), seconds).alias(ts),
-        *[element(i, "double").alias(name) for i, name in enumerate(values, start=1)],
+        *[element(i, "double", text).alias(name) for i, name in enumerate(values, start=1)],
     )
 
 
@@ -67,22 +77,33 @@ def dedup_latest(
     keys: Sequence[str] = CANDLE_KEY,
     latest_by: Sequence[str] = CANDLE_VERSION,
 ) -> DataFrame:
-    """One row per key: the newest by ``latest_by``.
+    """One row per key: the newest by those of ``latest_by`` that the rows have.
 
-    Remaining ties go by the other columns, so every run and every retried task keeps the same
+    Rows without any of them are refused, as no copy would be the newest. Remaining ties go by the other columns, so every run and every retried task keeps the same
     row. The rank-1 filter is applied before the shuffle too: copies of a key, however many,
     shrink to one row per task first.
     """
     versions = [c for c in latest_by if c in rows.columns]
+    if not versions:
+        raise ValueError(f"no version column: the rows have none of {', '.join(latest_by)}")
     others = [c for c in rows.columns if c not in (*keys, *versions)]
     newest = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in (*versions, *others)])
     return rows.withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").drop("_rank")
 
 
+def found_candles(raw: DataFrame) -> DataFrame:
+    """Every candle of the documents, usable or not. Narrow: no shuffle."""
+    return explode_candles(with_candles(nested_candles(raw)))
+
+
+def usable_candles(exploded: DataFrame) -> DataFrame:
+    """The candles with all elements and a possible ``ts``, typed."""
+    return candle_fields(complete_candles(exploded)).where(F.col("ts").isNotNull())
+
+
 def base_rows(raw: DataFrame) -> DataFrame:
     """Every usable candle of the documents, copies included. Narrow: no shuffle."""
-    exploded = complete_candles(explode_candles(with_candles(nested_candles(raw))))
-    return candle_fields(exploded).where(F.col("ts").isNotNull())
+    return usable_candles(found_candles(raw))
 
 
 def clean_candles(
@@ -94,16 +115,26 @@ def clean_candles(
 
 
 def on_session(
-    candles: DataFrame, day, timeframes: Sequence[Timeframe], zone: str = DEFAULT_ZONE
+    candles: DataFrame,
+    days: date | str | Iterable[date | str],
+    timeframes: Sequence[Timeframe],
+    zone: str = DEFAULT_ZONE,
 ) -> DataFrame:
-    """Candles that can take part in a bar starting on a local date.
+    """Candles that take part in a bar starting on one of some local dates.
 
-    A bar that starts just before midnight may reach past it, so the range runs on by the
-    widest intraday bar. Bars of the next date are left for the caller to filter out.
+    A bar that starts just before midnight may reach past it, so what counts is the start of
+    the candle's bar, in any of the widths.
     """
-    start, end = day_bounds(as_date(day), zone)
-    reach = max((t.seconds for t in timeframes if not t.is_day), default=0)
-    return candles.where((F.col("ts") >= start) & (F.col("ts") < end + reach))
+    wanted = sorted({as_date(d) for d in ([days] if isinstance(days, (date, str)) else days)})
+    bounds = [day_bounds(d, zone) for d in wanted]
+    ts = F.col("ts")
+
+    def inside(start: Column) -> Column:
+        return reduce(Column.__or__, [(start >= a) & (start < b) for a, b in bounds], F.lit(False))
+
+    return candles.where(reduce(
+        Column.__or__, [inside(interval_epoch(ts, t, zone)) for t in timeframes], F.lit(False)
+    ))
 
 
 @contextmanager

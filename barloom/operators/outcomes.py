@@ -1,13 +1,13 @@
 """Tables about fetch runs: summaries, metrics and dead letters.
 
-An outcome row is ``(symbol, ok, attempts, http_status, error)``.
+An outcome row is ``(symbol, ok, attempts, http_status, error, gave_up)``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from barloom.schema import EXHAUSTED, METRICS, REQUEST
+from barloom.schema import METRICS, REQUEST
 
 
 def is_success() -> Column:
@@ -16,12 +16,12 @@ def is_success() -> Column:
 
 
 def is_dead_letter() -> Column:
-    """Failures that gave up on a symbol. No credentials or a crashed task leaves no letter."""
-    return (
-        ~is_success()
-        & F.col("symbol").isNotNull()
-        & F.coalesce(F.col("error").startswith(EXHAUSTED), F.lit(False))
-    )
+    """Failures that gave up on a symbol, as the outcome itself says, however they are worded.
+
+    No credentials or a crashed task leaves no letter.
+    """
+    gave_up = F.coalesce(F.col("gave_up"), F.lit(False))
+    return ~is_success() & F.col("symbol").isNotNull() & gave_up
 
 
 def successes(outcomes: DataFrame) -> DataFrame:
@@ -74,15 +74,29 @@ def run_metrics(outcomes: DataFrame, tickers: DataFrame) -> DataFrame:
     As a monitor would get them: a symbol's failure counts where it left a dead letter.
     """
     symbol_success, symbol_failed, *run = METRICS
-    per_symbol = symbol_counts(outcomes).select(
-        "symbol",
-        _metric_rows({symbol_success: F.col("success"), symbol_failed: F.col("dead_letters")}),
-    ).where("value > 0")
-    per_run = run_summary(outcomes, tickers).select(
-        F.lit(None).cast("string").alias("symbol"),
-        _metric_rows(dict(zip(run, map(F.col, ("success", "failed", "total"))))),
+    # the totals come with the counts per symbol, from one scan
+    counts = outcomes.rollup("symbol").agg(
+        F.grouping("symbol").alias("is_total"),
+        F.count_if(is_success()).alias("success"),
+        F.count_if(~is_success()).alias("failed"),
+        F.count_if(is_dead_letter()).alias("dead_letters"),
     )
-    return per_symbol.unionByName(per_run).select("metric", "symbol", "value")
+    symbol = {symbol_success: F.col("success"), symbol_failed: F.col("dead_letters")}
+    total = dict(zip(run, map(F.col, ("success", "failed"))))
+    found = counts.select(
+        F.when(F.col("is_total") == 0, F.col("symbol")).alias("symbol"), "is_total",
+        _metric_rows(symbol | total),
+    )
+    of_run = F.col("metric").isin(*run)
+    found = found.where(
+        ((F.col("is_total") == 0) & ~of_run & (F.col("value") > 0)) | ((F.col("is_total") == 1) & of_run)
+    ).select("metric", "symbol", "value")
+    # with zeros, so that a run without outcomes has its totals too
+    universe = tickers.agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit(None).cast("string").alias("symbol"),
+        _metric_rows(dict(zip(run, (F.lit(0).cast("bigint"), F.lit(0).cast("bigint"), F.col("n"))))),
+    ).select("metric", "symbol", "value")
+    return found.unionByName(universe).groupBy("metric", "symbol").agg(F.sum("value").alias("value"))
 
 
 def dead_letters(outcomes: DataFrame, failed_at: Column, range_date: Column) -> DataFrame:

@@ -28,10 +28,14 @@ def triage_counts(triaged: DataFrame) -> DataFrame:
 def judged_candles(raw_text: DataFrame) -> DataFrame:
     """Every candle read as text, typed, with the first ``reason`` to reject it or null.
 
-    An element counts as bad if it is there but is no number, or no possible ``ts``; a null
-    price passes, a null ``ts`` does not.
+    An element counts as bad if it is there but does not have the number form of JSON, or is no
+    possible ``ts``; a null price passes, a null ``ts`` does not.
     """
-    exploded = explode_candles(nested_candles(raw_text))
+    return judged(explode_candles(nested_candles(raw_text)))
+
+
+def judged(exploded: DataFrame) -> DataFrame:
+    """``judged_candles`` of candles that are rows already."""
     typed = candle_fields(exploded.withColumn("source", F.col("candle")))
     reason = F.when(F.col("source").isNull(), "null_candle").when(
         F.size("source") < len(CANDLE_FIELDS), "short_candle"

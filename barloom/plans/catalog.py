@@ -16,7 +16,7 @@ from barloom.plans.day_job import ALL_DATES, aggregate_day
 from barloom.schema import (
     BAR_COLUMNS, CANDLE_FIELDS, CANDLE_KEY, ENVELOPE, TIMEFRAMES, Timeframe,
 )
-from barloom.session import scratch_folder, written
+from barloom.session import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,7 +24,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 M1, M5, M15, D1 = TIMEFRAMES
-SAMPLE_DAY = "2024-01-15"
+SAMPLE_DAY, DAY_BEFORE, TWO_BEFORE = "2024-01-15", "2024-01-14", "2024-01-13"
 
 
 def query(name: str, sql: str) -> Callable[[Query], Query]:
@@ -131,7 +131,7 @@ def src_ticker_list(spark, sf):
         substr(run_ts, 6, 2) as month, substr(run_ts, 9, 2) as day, run_ts as failed_at,
         cast(attempts as bigint) as attempts, error as note, symbol as ticker, '1' as resolution,
         substr(run_ts, 1, 10) as range_from, substr(run_ts, 1, 10) as range_to
-    from outcomes where not ok and symbol is not null and error like 'Exhausted %'""",
+    from outcomes where not ok and symbol is not null and gave_up""",
 ))
 def src_dead_letters(spark, sf):
     """SRC-4, SNK-5: write the dead letters of failed fetches, scan them back."""
@@ -165,6 +165,36 @@ def src_bars_pruned(spark, sf):
     )
 
 
+@query("src_bars_month_end", o.with_(
+    *EVENTS,
+    body=f"""select * from ({o.bars('1d')})
+    where year || month || day between '20240130' and '20240202'""",
+))
+def src_bars_month_end(spark, sf):
+    """SRC-5: a range of dates across the end of a month, of one width."""
+    folder = scratch_folder(spark, "bars")
+    sinks.write_bars(op.resample(event_candles(spark, sf), D1), folder)
+    return sources.read_bars(spark, folder, timeframe="1d", start="2024-01-30", end="2024-02-02")
+
+
+@query("src_raw_multi_line", o.with_(
+    f"""days as (
+    select 'NSE_' || upper(event_type) || '-EQ' as symbol, 'NSE' as exchange,
+        {o.epoch("ts")} as ts, {o.prices("value", "cast(event_id % 1000 as double)")}, event_id
+    from events
+    qualify row_number() over (partition by event_type, {o.epoch("ts")} order by event_id desc) = 1)""",
+    body=f"""select symbol, exchange, ts, {o.FIELDS},
+        cast(row_number() over (partition by symbol, ts // 86400 order by ts) - 1 as bigint) as pos
+    from days""",
+))
+def src_raw_multi_line(spark, sf):
+    """SRC-1 in the format of a fetch: a file is one document, with all candles of its run."""
+    folder = scratch_folder(spark, "raw")
+    sinks.land_raw(feeds.day_documents(spark, sf), folder, one_per_file=True)
+    rows = op.base_rows(sources.read_raw(spark, folder, multi_line=True))
+    return rows.drop("ingest_ts").withColumn("pos", F.col("pos").cast("bigint"))
+
+
 @query("snk_dynamic_overwrite", o.with_(
     *EVENTS,
     body=f"""select * replace (case when year || '-' || month || '-' || day = '{SAMPLE_DAY}'
@@ -277,7 +307,7 @@ def prj_raw_partitions(spark, sf):
 @query("fn_bucket_epochs", o.with_(
     o.EVENT_TICKS,
     body="select symbol, ts, ingest_seq, row_id, " + ", ".join(
-        f"{o.bucket(*w)} as bucket_{t}" for t, w in o.WIDTHS.items()
+        f"{o.bucket(*o.WIDTHS[t.label])} as bucket_{t.label}" for t in TIMEFRAMES
     ) + f", {o.bucket(86_400, 0)} as bucket_utc_day from ticks",
 ))
 def fn_bucket_epochs(spark, sf):
@@ -298,7 +328,10 @@ def fn_bucket_epochs(spark, sf):
     where substr(ingest_ts, 1, 10) = '{SAMPLE_DAY}'""",
 ))
 def flt_raw_date(spark, sf):
-    """FLT-1: documents of a landing date, by partition strings."""
+    """FLT-1: documents of a landing date, by partition strings.
+
+    Here they are computed columns; ``src_raw_on_date`` shows the folders pruned.
+    """
     documents = feeds.event_documents(spark, sf)
     landed = documents.withColumns(iso_date_parts(F.col("ingest_ts")))
     return sources.on_raw_date(landed, SAMPLE_DAY).select(
@@ -390,7 +423,7 @@ _AGGREGATES_15M = f"agg as ({o.aggregates('15m')})"
 ))
 def join_opens(spark, sf):
     """JN-1: bucket aggregates with their opens joined on."""
-    bucketed = written(spark, _bucketed(spark, sf), "bucketed")
+    bucketed = _bucketed(spark, sf)
     return branches.attach(
         branches.bucket_aggregates(bucketed), branches.bucket_opens(bucketed)
     )
@@ -402,7 +435,7 @@ def join_opens(spark, sf):
 ))
 def join_closes(spark, sf):
     """JN-2: bucket aggregates with their closes joined on."""
-    bucketed = written(spark, _bucketed(spark, sf), "bucketed")
+    bucketed = _bucketed(spark, sf)
     return branches.attach(
         branches.bucket_aggregates(bucketed), branches.bucket_closes(bucketed)
     )
@@ -411,8 +444,7 @@ def join_closes(spark, sf):
 @query("bars_by_joins", o.with_(*EVENTS, body=o.bars("15m")))
 def bars_by_joins(spark, sf):
     """JN-1, JN-2, WIN-1, WIN-2, FLT-5: whole bars from the separate steps."""
-    candles = written(spark, event_candles(spark, sf), "candles")
-    return op.resample_by_joins(candles, M15)
+    return op.resample_by_joins(event_candles(spark, sf), M15)
 
 
 @query("agg_buckets", o.with_(
@@ -430,9 +462,8 @@ def agg_buckets(spark, sf):
 ))
 def agg_open_close(spark, sf):
     """AGG-2, AGG-3: first open and last close of each bucket as plain aggregates."""
-    return _bucketed(spark, sf).groupBy(*branches.BUCKET).agg(
-        F.min_by("open", "ts").alias("open"), F.max_by("close", "ts").alias("close")
-    )
+    whole = _bucketed(spark, sf).groupBy(*branches.BUCKET).agg(*op.ohlcv())
+    return whole.select(*branches.BUCKET, "open", "close")
 
 
 @query("agg_candle_count", o.with_(
@@ -471,7 +502,7 @@ _SYMBOL_COUNTS = """counts as (
     select symbol, cast(count(*) filter (where ok) as bigint) as success,
         cast(count(*) filter (where not ok) as bigint) as failed,
         cast(count(*) filter (where not ok and symbol is not null
-            and error like 'Exhausted %') as bigint) as dead_letters
+            and gave_up) as bigint) as dead_letters
     from outcomes group by symbol)"""
 
 
@@ -624,7 +655,7 @@ def all_timeframes_many_series(spark, sf):
 @query("all_timeframes_by_joins", o.with_(o.LINEITEM_TICKS, o.CANDLES, body=o.all_bars()))
 def all_timeframes_by_joins(spark, sf):
     """OP-4 from windows and joins, width by width: what one placement saves."""
-    candles = written(spark, candles_of(feeds.lineitem_ticks(spark, sf)), "candles")
+    candles = candles_of(feeds.lineitem_ticks(spark, sf))
     return op.union_timeframes([op.resample_by_joins(candles, t) for t in TIMEFRAMES])
 
 
@@ -658,6 +689,54 @@ def day_job_one_date(spark, sf):
     return sources.read_bars(spark, output)
 
 
+@query("day_job_static_guard", o.with_(
+    *ROWS,
+    f"""day_rows as (
+    select * from document_rows where status <> 'error'
+        and substr(ingest_ts, 1, 10) = '{SAMPLE_DAY}'
+        and strftime({o.clock('ts')}, '%Y-%m-%d') = '{SAMPLE_DAY}')""",
+    o.DOCUMENT_CANDLES.replace("from document_rows", "from day_rows"),
+    body=o.all_bars(),
+))
+def day_job_static_guard(spark, sf):
+    """AGG-4: a static run whose candles yield no bar of its date leaves the bars alone.
+
+    The second run reads the same landing folder for the date before: its candles begin at
+    local 05:30, so none of them falls in a bar of that date.
+    """
+    output, landed = scratch_folder(spark, "bars"), landed_documents(spark, sf)
+    aggregate_day(spark, landed, output, SAMPLE_DAY, multi_line=False)
+    aggregate_day(spark, landed, output, DAY_BEFORE, SAMPLE_DAY, mode="static", multi_line=False)
+    return sources.read_bars(spark, output)
+
+
+@query("day_job_dates", o.with_(
+    *ROWS,
+    f"""day_rows as (
+    select * from document_rows where status <> 'error'
+        and strftime({o.clock('ts')}, '%Y-%m-%d') in ('{DAY_BEFORE}', '{SAMPLE_DAY}'))""",
+    o.DOCUMENT_CANDLES.replace("from document_rows", "from day_rows"),
+    body=o.all_bars(),
+))
+def day_job_dates(spark, sf):
+    """OP-5 for a set of local dates in one job, with the landing dates that can hold them."""
+    output = scratch_folder(spark, "bars")
+    aggregate_day(
+        spark, landed_documents(spark, sf), output, [DAY_BEFORE, SAMPLE_DAY],
+        [TWO_BEFORE, DAY_BEFORE, SAMPLE_DAY], multi_line=False,
+    )
+    return sources.read_bars(spark, output)
+
+
+@query("all_timeframes_with_1h", o.with_(
+    *EVENTS, body=o.all_bars(widths=("15m", "1h", "1d")),
+))
+def all_timeframes_with_1h(spark, sf):
+    """OP-4 with widths that do not nest: clock hours cross the local midnight."""
+    widths = [M15, Timeframe("1h", 3600), D1]
+    return op.all_timeframes(event_candles(spark, sf), widths, unique_ts=True)
+
+
 @query("cached_resamples", o.with_(
     *EVENTS, body=f"({o.bars('5m')}) union all ({o.bars('1d')})",
 ))
@@ -695,10 +774,14 @@ def dq_triage_counts(spark, sf):
 @query("dq_rejected_candles", o.with_(
     o.DOCUMENT_TEXT,
     body="""select symbol, exchange, ingest_ts, cast(0 as bigint) as pos, 'bad_open' as reason,
-        t || ',x,' || p || ',' || p || ',' || p || ',7' as candle
+        t || case when value < 5 then ',x,' else ',7d,' end || p || ',' || p || ',' || p || ',7'
+            as candle
         from texts where value >= 4 and value < 6
     union all select symbol, exchange, ingest_ts, 2, 'short_candle', t || ',' || p || ',' || p
-        from texts where value >= 4 and value < 6
+        from texts where value >= 4 and value < 5
+    union all select symbol, exchange, ingest_ts, 2, 'bad_low',
+        t || ',' || p || ',' || p || ',0x1p3,' || p || ',7'
+        from texts where value >= 5 and value < 6
     union all select symbol, exchange, ingest_ts, 0, 'null_candle', null
         from texts where value >= 6 and value < 8
     union all select symbol, exchange, ingest_ts, 1, 'null_ts',

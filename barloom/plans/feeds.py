@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barloom.functions import clock_epoch, iso_instant
 from barloom.operators.bars import VALUES
-from barloom.schema import DEFAULT_EXCHANGE, ENVELOPE, EXHAUSTED, MISSING_CREDENTIALS
+from barloom.schema import DEFAULT_EXCHANGE, ENVELOPE, MISSING_CREDENTIALS
 
 TICK_VERSION = ("ingest_seq", "row_id")
 
@@ -98,6 +98,28 @@ def event_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def day_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One payload per symbol and UTC day with all its candles, one for each second at most.
+
+    A document is bounded by the 86,400 seconds of its day, and so is what meets in one group.
+    """
+    ticks = event_ticks(spark, sf_dir).where("ingest_seq = 1").select(
+        F.concat(F.lit("NSE:"), F.upper("symbol"), F.lit("-EQ")).alias("symbol"), "exchange", "ts", *VALUES, "row_id"
+    )
+    key = ("symbol", "exchange", "ts")
+    single = ticks.groupBy(*key).agg(F.max_by(F.struct(*VALUES), "row_id").alias("v"))
+    day = single.groupBy("symbol", "exchange", F.floor(F.col("ts") / 86_400).alias("d")).agg(
+        F.sort_array(F.collect_list(F.struct("ts", "v"))).alias("rows")
+    )
+    candles = F.transform("rows", lambda r: F.array(
+        r["ts"].cast("double"), *[r["v"][name].cast("double") for name in VALUES]
+    ))
+    return day.select(
+        "symbol", "exchange", iso_instant(F.timestamp_seconds(F.col("d") * 86_400).cast("timestamp_ntz")).alias("ingest_ts"),
+        F.struct(candles.alias("candles"), F.lit("ok").alias("s")).alias(ENVELOPE),
+    )
+
+
 def event_document_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The text of one document per event, some of them broken in one of the known ways."""
     price = F.col("value").cast("string")
@@ -121,9 +143,13 @@ def event_document_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(value < 2, body("candles", F.lit("[]")))
         .when(value < 3, body("raw_text", F.lit('"<html>busy</html>"')))
         .when(value < 4, F.concat(F.lit(f'{{"{ENVELOPE}": {{"candles": [['), ts))
-        .when(value < 6, body("candles", listed(
+        .when(value < 5, body("candles", listed(
             candle(ts, '"x"', price, price, price, "7"), good, candle(ts, price, price)
         )))
+        .when(value < 6, body("candles", listed(
+            candle(ts, '"7d"', price, price, price, "7"), good,
+            candle(ts, price, price, '"0x1p3"', price, "7"),
+        )))
         .when(value < 8, body("candles", listed(
             F.lit("null"), candle("null", price, price, price, price, "7"),
             candle(ts, "null", price, price, price, "7", "8"),
@@ -150,8 +176,9 @@ def event_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
         (value >= 10).alias("ok"),
         attempts.alias("attempts"),
         F.when(value >= 10, 200).cast("int").alias("http_status"),
-        F.when(value < 2, MISSING_CREDENTIALS).when(value < 9, f"{EXHAUSTED}5 attempts")
-        .when(value < 10, "read timed out").alias("error"),
+        F.when(value < 2, MISSING_CREDENTIALS).when(value < 6, "Exhausted 5 attempts")
+        .when(value < 9, "no answer, 5 times").when(value < 10, "read timed out").alias("error"),
+        ((value >= 2) & (value < 9)).alias("gave_up"),
         iso_instant(F.col("ts")).alias("run_ts"),
     )
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 IST = 19_800
-WIDTHS = {"1m": (60, 0), "5m": (300, 0), "15m": (900, 0), "1d": (86_400, IST)}
+WIDTHS = {"1m": (60, 0), "5m": (300, 0), "15m": (900, 0), "1h": (3_600, 0), "1d": (86_400, IST)}
 FIELDS = 'open, high, low, "close", volume'
 
 
@@ -103,8 +103,10 @@ OUTCOMES = f"""outcomes as (
         case when value < 2 then 1 when value < 9 then 5 when value < 10 then 0
             else 1 + cast(floor(value / 100) as integer) end as attempts,
         case when value >= 10 then 200 end as http_status,
-        case when value < 2 then 'missing_credentials' when value < 9 then 'Exhausted 5 attempts'
-            when value < 10 then 'read timed out' end as error,
+        case when value < 2 then 'missing_credentials' when value < 6 then 'Exhausted 5 attempts'
+            when value < 9 then 'no answer, 5 times' when value < 10 then 'read timed out' end
+            as error,
+        value >= 2 and value < 9 as gave_up,
         {iso("ts")} as run_ts
     from events)"""
 
@@ -142,5 +144,5 @@ def bars(timeframe: str, **kwargs) -> str:
     return finish(aggregates(timeframe, **kwargs))
 
 
-def all_bars(**kwargs) -> str:
-    return finish(" union all ".join(f"({aggregates(t, **kwargs)})" for t in WIDTHS))
+def all_bars(widths=("1m", "5m", "15m", "1d"), **kwargs) -> str:
+    return finish(" union all ".join(f"({aggregates(t, **kwargs)})" for t in widths))

@@ -25,7 +25,6 @@ METRICS = (
 )
 REQUEST = {"resolution": "1", "date_format": "1", "cont_flag": "1"}  # sent with each fetch
 MISSING_CREDENTIALS = "missing_credentials"  # error text of a fetch without a token
-EXHAUSTED = "Exhausted "  # how the error text of a given-up fetch begins
 # ---------------------------------------------------------------------------
 
 SERIES = ("symbol", "exchange")  # one price series
@@ -78,6 +77,7 @@ OUTCOME = T.StructType([
     T.StructField("attempts", T.IntegerType()),
     T.StructField("http_status", T.IntegerType()),
     T.StructField("error", T.StringType()),
+    T.StructField("gave_up", T.BooleanType()),  # all attempts were used up
 ])
 
 BAR = T.StructType([

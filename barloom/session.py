@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: list[tempfile.TemporaryDirectory] = []
+_made: list[str] = []
 
 
 def get_session(app_name: str = "barloom", **conf: str) -> SparkSession:
@@ -18,12 +19,7 @@ def get_session(app_name: str = "barloom", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder all executors can reach, under ``spark.checkpoint.dir``.
-
-    Only a local session may run without that setting; it then gets a temporary folder
-    that goes away with the process.
-    """
+def _scratch_base(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
@@ -31,7 +27,28 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
         if not _local_scratch:
             _local_scratch.append(tempfile.TemporaryDirectory(prefix="barloom-"))
         base = _local_scratch[0].name
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return base.rstrip("/")
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder all executors can reach, under ``spark.checkpoint.dir``.
+
+    Only a local session may run without that setting; it then gets a temporary folder
+    that goes away with the process.
+    """
+    folder = f"{_scratch_base(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.append(folder)
+    return folder
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders made so far for this session, once nothing reads them."""
+    mine = [f for f in _made if f.startswith(f"{_scratch_base(spark)}/")]
+    for folder in mine:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _made.remove(folder)
+    return len(mine)
 
 
 def written(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:

@@ -22,19 +22,20 @@ def folder_writers(spark: SparkSession) -> int:
 
 
 def write_bars(
-    bars: DataFrame, path: str, mode: str = "dynamic", clustered: bool = False
+    bars: DataFrame, path: str, mode: str = "dynamic", clustered: bool = False,
+    writers: int | None = None,
 ) -> None:
     """Write bars as snappy Parquet under their six partition folders.
 
     ``dynamic`` replaces only the folders present in ``bars``, so a rerun of a day leaves other
     days alone; ``static`` replaces the whole target. Rows are brought together by folder first,
     which is safe as a folder holds at most one day of bars; ``clustered`` says that they
-    already are, as after ``all_timeframes``.
+    already are, as after ``all_timeframes``. ``writers`` is the number of tasks otherwise.
     """
     if mode not in ("dynamic", "static"):
         raise ValueError(f"unknown overwrite mode {mode!r}")
     if not clustered:
-        bars = bars.repartition(folder_writers(bars.sparkSession), *BAR_PARTITIONS)
+        bars = bars.repartition(writers or folder_writers(bars.sparkSession), *BAR_PARTITIONS)
     (
         # the writer needs this order by folder anyway; time last makes row-group ranges narrow
         bars.sortWithinPartitions(*BAR_PARTITIONS, "interval_start_epoch")

@@ -2,9 +2,9 @@
 
 from barloom.sources.bars import read_bars
 from barloom.sources.lists import parse_tickers, read_dead_letters, read_tickers
-from barloom.sources.raw import on_raw_date, parse_raw, read_raw
+from barloom.sources.raw import load_raw, on_raw_date, parse_raw, read_raw
 
 __all__ = [
-    "on_raw_date", "parse_raw", "parse_tickers", "read_bars", "read_dead_letters", "read_raw",
+    "load_raw", "on_raw_date", "parse_raw", "parse_tickers", "read_bars", "read_dead_letters", "read_raw",
     "read_tickers",
 ]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from calendar import monthrange
 from collections.abc import Iterable
 from datetime import date
 
@@ -13,7 +14,7 @@ from barloom.schema import BAR, BAR_COLUMNS, BAR_PARTITIONS
 from barloom.sources.files import empty_frame, load_matching
 
 _PLAIN_NAME = re.compile(r"[A-Za-z0-9_.&-]+")  # the same in a folder name as in the value
-_MOST_SYMBOLS_IN_A_GLOB = 1000  # beyond it the filter alone does the work
+_SYMBOLS_IN_A_GLOB = 500  # a longer list becomes several globs
 
 
 def _any_of(values: Iterable[str]) -> str:
@@ -21,24 +22,71 @@ def _any_of(values: Iterable[str]) -> str:
     return names[0] if len(names) == 1 else "{" + ",".join(names) + "}"
 
 
-def _date_globs(start: date, end: date) -> dict[str, str]:
-    """The narrowest year, month or day names that hold a range of dates."""
-    if start.year != end.year:
-        return {"year": _any_of(f"{y}" for y in range(start.year, end.year + 1))}
-    year = f"{start:%Y}"
-    if start.month != end.month:
-        months = range(start.month, end.month + 1)
-        return {"year": year, "month": _any_of(f"{m:02d}" for m in months)}
-    days = range(start.day, end.day + 1)
-    return {"year": year, "month": f"{start:%m}", "day": _any_of(f"{d:02d}" for d in days)}
+def _later_numbers(number: str) -> list[str]:
+    """Globs of all numbers of as many digits that are larger."""
+    return [
+        number[:i] + (f"[{int(d) + 1}-9]" if d < "8" else "9") + "?" * (len(number) - i - 1)
+        for i, d in enumerate(number) if d < "9"
+    ]
 
 
-def _folder_pattern(names: dict[str, str]) -> str:
-    """Glob of the partition folders, down to the last level that is narrowed."""
-    if not names:
-        return ""
-    depth = 1 + max(BAR_PARTITIONS.index(n) for n in names)
-    return "/".join(f"{n}={names.get(n, '*')}" for n in BAR_PARTITIONS[:depth])
+def _earlier_numbers(number: str) -> list[str]:
+    return [
+        number[:i] + (f"[0-{int(d) - 1}]" if d > "1" else "0") + "?" * (len(number) - i - 1)
+        for i, d in enumerate(number) if d > "0"
+    ]
+
+
+def _month_days(year: int, month: int, first: int, last: int) -> str:
+    """One month's folder, or those of some of its days."""
+    folder = f"year={year:04d}/month={month:02d}"
+    if first == 1 and last == monthrange(year, month)[1]:
+        return folder
+    return f"{folder}/day={_any_of(f'{d:02d}' for d in range(first, last + 1))}"
+
+
+def date_folders(first: date | None, last: date | None) -> list[str]:
+    """Globs of the date folders of a range, either end open: whole years, months, then days."""
+    if first and last and first.year == last.year:
+        return [
+            _month_days(
+                first.year, month, first.day if month == first.month else 1,
+                last.day if month == last.month else monthrange(first.year, month)[1],
+            )
+            for month in range(first.month, last.month + 1)
+        ]
+    found = []
+    if first:
+        found += date_folders(first, date(first.year, 12, 31))
+    if first and last:
+        found += [f"year={y:04d}" for y in range(first.year + 1, last.year)]
+    elif first:
+        found += [f"year={y}" for y in _later_numbers(f"{first.year:04d}")]
+    elif last:
+        found += [f"year={y}" for y in _earlier_numbers(f"{last.year:04d}")]
+    if last:
+        found += date_folders(date(last.year, 1, 1), last)
+    return found
+
+
+def _folder_patterns(wanted: dict[str, list[str]], first: date | None, last: date | None) -> list[str]:
+    """Globs of the partition folders, down to the last level that is narrowed."""
+    names = BAR_PARTITIONS[:3]
+    plain = {
+        name: values for name, values in wanted.items() if all(map(_PLAIN_NAME.fullmatch, values))
+    }
+    if not plain and not (first or last):
+        return []
+    symbols = plain.pop("symbol", [])
+    parts = [symbols[i : i + _SYMBOLS_IN_A_GLOB] for i in range(0, len(symbols), _SYMBOLS_IN_A_GLOB)]
+    dates = date_folders(first, last)
+    depth = 3 if symbols or dates else 1 + max(names.index(n) for n in plain)
+    found = []
+    for some in parts or [[]]:
+        values = plain | ({"symbol": some} if some else {})
+        series = "/".join(f"{n}={_any_of(values[n]) if n in values else '*'}" for n in names[:depth])
+        found += [f"{series}/{folder}" for folder in dates] or [series]
+    return found
 
 
 def read_bars(
@@ -54,10 +102,10 @@ def read_bars(
 ) -> DataFrame:
     """Bars of a folder, pruned by partition; dates are local and inclusive.
 
-    Every argument is a filter on partition columns, so unwanted files are never opened. Where
-    folder names allow it is also a glob, so that unwanted folders are never listed either:
-    one day of a long archive costs the listing of that day. ``view`` registers the result for
-    SQL.
+    Every argument is a filter on partition columns, so unwanted files are never opened, and a
+    set of globs, so that unwanted folders are never listed either: one day of a long archive
+    costs the listing of that day, and a list of symbols that of those symbols, however many.
+    ``view`` registers the result for SQL.
     """
     wanted = {
         "timeframe": None if timeframe is None else [timeframe],
@@ -70,14 +118,8 @@ def read_bars(
     if any(not values for values in wanted.values()) or (first and last and first > last):
         bars = None
     else:
-        globs = {
-            name: _any_of(values) for name, values in wanted.items()
-            if len(values) <= _MOST_SYMBOLS_IN_A_GLOB and all(map(_PLAIN_NAME.fullmatch, values))
-        }
-        if first and last:
-            globs.update(_date_globs(first, last))
-        reader = spark.read.schema(BAR)
-        bars = load_matching(spark, reader, "parquet", base, _folder_pattern(globs))
+        patterns = _folder_patterns(wanted, first, last)
+        bars = load_matching(spark, spark.read.schema(BAR), "parquet", base, patterns)
     if bars is None:
         bars = empty_frame(spark, BAR)
     for name, values in wanted.items():

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import re
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql.types import StructType
 
@@ -12,21 +14,39 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def matching_folders(spark: SparkSession, base: str, patterns: Sequence[str]) -> list[str]:
+    """Folders under ``base`` that one of the patterns names, each once."""
+    found: dict[str, None] = {}
+    for pattern in patterns:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/{pattern}")
+        statuses = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+        for status in statuses or ():
+            # a path made of its text reads back as the same folder, whatever its name holds
+            found[_literal(status.getPath().toString())] = None
+    return list(found)
+
+
+def _literal(path: str) -> str:
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def load_matching(
-    spark: SparkSession, reader: DataFrameReader, fmt: str, base: str, pattern: str
+    spark: SparkSession, reader: DataFrameReader, fmt: str, base: str, patterns: Sequence[str] = ()
 ) -> DataFrame | None:
-    """Load ``base/pattern``; None if nothing matches. A missing ``base`` is an error.
+    """Load the folders of ``base`` that match a pattern, all of it without patterns.
 
-    Only the matching folders are listed, so the cost follows what is asked for and not
-    the size of the archive under ``base``.
+    None if nothing matches. A missing ``base`` is an error. Only the matching folders are
+    listed, so the cost follows what is asked for and not the size of the archive.
     """
     base = base.rstrip("/")
-    try:
-        return reader.format(fmt).option("basePath", base).load(f"{base}/{pattern}".rstrip("/"))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND" or not path_exists(spark, base):
-            raise
-        return None
+    reader = reader.format(fmt).option("basePath", base)
+    if patterns:
+        folders = matching_folders(spark, base, patterns)
+        if folders:
+            return reader.load(folders)
+        if path_exists(spark, base):
+            return None
+    return reader.load(base)
 
 
 def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:

@@ -5,9 +5,10 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from barloom.functions import as_date
-from barloom.schema import DEAD_LETTER
+from barloom.schema import DEAD_LETTER, DEAD_LETTER_PARTITIONS
 from barloom.sources.files import empty_frame, load_matching
 
 
@@ -34,17 +35,18 @@ def read_dead_letters(
     Day folders named ``day=DD`` and ``day/DD`` are both read. ``multi_line`` fits one letter
     per file; pass False for JSON Lines.
     """
-    year, month, day = "*", "*", "*"
+    patterns = []
     if failed_date is not None:
         year, month, day = f"{as_date(failed_date):%Y-%m-%d}".split("-")
-    parent = f"symbol=*/year={year}/month={month}"
-    found = []
-    for pattern in (f"{parent}/day={day}", f"{parent}/day/{day}"):
-        reader = spark.read.schema(DEAD_LETTER).option("multiLine", multi_line)
-        letters = load_matching(spark, reader, "json", base, pattern)
-        if letters is not None:
-            folder_day = F.regexp_extract("_metadata.file_path", r"/day[=/](\d+)/", 1)
-            found.append(letters.withColumn("day", folder_day))
-    if not found:
+        parent = f"symbol=*/year={year}/month={month}"
+        patterns = [f"{parent}/day={day}", f"{parent}/day/{day}"]
+    body = StructType([f for f in DEAD_LETTER.fields if f.name not in DEAD_LETTER_PARTITIONS])
+    reader = spark.read.schema(body).option("multiLine", multi_line)
+    # one listing whatever the layout: folder names are read off each letter's path
+    reader = reader.option("recursiveFileLookup", True)
+    letters = load_matching(spark, reader, "json", base, patterns)
+    if letters is None:
         return empty_frame(spark, DEAD_LETTER)
-    return found[0] if len(found) == 1 else found[0].unionByName(found[1])
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    named = {n: F.regexp_extract(path, f"/{n}[=/]([^/]+)/", 1) for n in DEAD_LETTER_PARTITIONS}
+    return letters.withColumns(named).select(*DEAD_LETTER.fieldNames())

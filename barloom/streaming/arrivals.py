@@ -1,25 +1,35 @@
 """Keep bar folders up to date as documents land.
 
-The scheduled rerun as a stream: each micro-batch finds the landing dates it touched and
-rebuilds those days with the batch job. Late and revised candles therefore count as they do
+The scheduled rerun as a stream: each micro-batch finds the local dates of its own candles and
+rebuilds those days with one batch job. Late and revised candles therefore count as they do
 there, and a repeated batch overwrites the same folders with the same bars.
 """
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from barloom.functions import wall_clock
+from barloom.operators import base_rows
 from barloom.plans.day_job import aggregate_day
 from barloom.schema import DEFAULT_ZONE, RAW
 
 
-def touched_dates(documents: DataFrame) -> list[date]:
-    """Landing dates present in a batch: one small row per date, not per document."""
-    rows = documents.select("year", "month", "day").dropna().distinct().collect()
-    return sorted(date(int(r.year), int(r.month), int(r.day)) for r in rows)
+def touched_dates(documents: DataFrame, zone: str = DEFAULT_ZONE) -> tuple[list[date], list[date]]:
+    """Local dates of a batch's candles, and its landing dates: a row per date, not per document.
+
+    Folders that are no date are passed over.
+    """
+    landed = F.try_to_date(F.concat_ws("-", "year", "month", "day"), "yyyy-MM-dd")
+    rows = base_rows(documents.withColumn("exchange", F.struct("exchange", landed.alias("landed"))))
+    dates = rows.select(
+        wall_clock(F.col("ts"), zone).cast("date").alias("local"), "exchange.landed"
+    ).distinct().collect()
+    local = sorted({r.local for r in dates if r.local})
+    return local, sorted({r.landed for r in dates if r.landed})
 
 
 def rebuild_on_arrival(
@@ -31,26 +41,31 @@ def rebuild_on_arrival(
     zone: str = DEFAULT_ZONE,
     multi_line: bool = True,
     interval: str | None = None,
+    landing_reach: int = 1,
 ) -> StreamingQuery:
     """Start the stream. Without ``interval`` it handles what has landed and then ends.
 
-    Each touched landing date is rebuilt for the local date of the same name, as the scheduled
-    job does. ``checkpoint_path`` must be a folder the whole cluster can reach.
+    Each batch is one job over all local dates that its candles touch. It reads the landing dates
+    of the batch and those up to ``landing_reach`` days around the touched dates, which must cover
+    how far from its own date a candle may land. ``checkpoint_path`` must be a folder the whole
+    cluster can reach.
     """
 
     def rebuild(documents: DataFrame, _batch_id: int) -> None:
-        for day in touched_dates(documents):
-            aggregate_day(
-                spark, input_path, output_path, day, day, zone=zone, multi_line=multi_line
-            )
+        local, landed = touched_dates(documents, zone)
+        if not local:
+            return
+        around = {d + timedelta(days=i) for d in local for i in range(-landing_reach, landing_reach + 1)}
+        aggregate_day(
+            spark, input_path, output_path, local, sorted({*around, *landed}), zone=zone, multi_line=multi_line
+        )
 
     arrivals = (
         spark.readStream.schema(RAW).option("multiLine", multi_line).json(input_path)
     )
     trigger = {"processingTime": interval} if interval else {"availableNow": True}
     return (
-        arrivals.select("year", "month", "day")
-        .writeStream.foreachBatch(rebuild)
+        arrivals.writeStream.foreachBatch(rebuild)
         .option("checkpointLocation", checkpoint_path)
         .trigger(**trigger)
         .start()

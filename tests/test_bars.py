@@ -155,6 +155,20 @@ def test_two_shuffles_from_copies_to_all_widths(spark):
     assert "Join" not in plan
 
 
+def test_widths_that_do_not_nest_take_one_shuffle_more_than_copies(spark):
+    frame = spark.createDataFrame([(*r, "v1", 0) for r in make_rows(100)],
+                                  SCHEMA + ", ingest_ts string, pos int")
+    widths = (M5, Timeframe("1h", 3600), D1)
+    bars = op.all_timeframes(op.dedup_latest(frame), widths, unique_ts=True)
+    plan = bars._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+
+
+def test_dedup_refuses_rows_without_a_version(spark):
+    with pytest.raises(ValueError, match="version"):
+        op.dedup_latest(spark.createDataFrame(make_rows(3), SCHEMA))
+
+
 def test_dedup_keeps_the_newest_whatever_the_layout(spark):
     rnd = random.Random(3)
     rows = []

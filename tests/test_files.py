@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from barloom import operators as op, sinks, sources
 from barloom.plans.day_job import aggregate_day, main
 from barloom.schema import ENVELOPE, OUTCOME
+from barloom.sources import bars
 from barloom.streaming.arrivals import rebuild_on_arrival
 
 B = 1736135100  # 2025-01-06 09:15 IST
@@ -144,6 +145,36 @@ def test_no_candles_touches_nothing(spark, landed, tmp_path, mode):
     assert sources.read_bars(spark, out).count() == before
 
 
+@pytest.mark.parametrize("mode", ["dynamic", "static"])
+def test_candles_of_another_local_date_touch_nothing(spark, tmp_path, mode):
+    """18:31 UTC is past the local midnight: the run of its landing date yields no bar."""
+    base, out = tmp_path / "raw", str(tmp_path / "bars")
+    land(base, "NSE_A-EQ", "v1", {"candles": [candle(B, 100)]})
+    aggregate_day(spark, str(base), out, "2025-01-06")
+    before = triples(sources.read_bars(spark, out), *sinks.BAR_PARTITIONS, "close")
+    assert len(before) == 4
+    late = tmp_path / "late"
+    land(late, "NSE_A-EQ", "v1", {"candles": [candle(B + 14 * 3600 + 46 * 60, 7)]})
+    report = aggregate_day(spark, str(late), out, "2025-01-06", mode=mode)
+    assert (report.candles, report.bars, report.is_empty) == (0, 0, True)
+    assert triples(sources.read_bars(spark, out), *sinks.BAR_PARTITIONS, "close") == before
+    both = aggregate_day(spark, str(late), out, ["2025-01-06", "2025-01-07"], "2025-01-06")
+    assert (both.candles, both.bars) == (1, 4)
+
+
+def test_report_tells_what_was_left_out(spark, landed, tmp_path):
+    report = aggregate_day(spark, landed, str(tmp_path / "bars"), "2025-01-06", "all")
+    assert (report.documents, report.empty_documents) == (8, 5)
+    assert (report.rejected, report.out_of_date, report.candles) == (4, 1, 4)
+
+
+def test_keys_that_leave_copies_still_give_whole_bars(spark, landed, tmp_path):
+    out = str(tmp_path / "bars")
+    aggregate_day(spark, landed, out, "2025-01-06", keys=("ts", "symbol", "pos"), writers=3)
+    (day,) = sources.read_bars(spark, out, timeframe="1d").collect()
+    assert day.volume == 10 + 10 + 10 + 4
+
+
 def test_salvage_and_command_line(spark, landed, tmp_path, capsys):
     out = str(tmp_path / "bars")
     report = main(["--INPUT_PREFIX", landed + "/", "--OUTPUT_PREFIX", out, "--date", "2025-01-06",
@@ -185,6 +216,11 @@ def test_bar_scan_prunes(spark, landed, tmp_path):
     assert "PartitionFilters: [isnotnull(timeframe" in plan
     whole = sources.read_bars(spark, out)
     assert len(whole.inputFiles()) == 8
+    many = ["NSE_A-EQ", *(f"S{i}" for i in range(1200))]
+    assert len(sources.read_bars(spark, out, timeframe="1m", symbols=many, **day).inputFiles()) == 1
+    assert len(sources.read_bars(spark, out, start="2025-01-07").inputFiles()) == 4
+    assert len(sources.read_bars(spark, out, end="2025-01-06").inputFiles()) == 4
+    assert len(sources.read_bars(spark, out, start="2024-12-31", end="2025-01-06").inputFiles()) == 4
     assert len(sources.read_bars(spark, out, **day).inputFiles()) == 4
     for start, end in [("2025-01-07", None), (None, "2025-01-06"), ("2025-01-01", "2025-01-06"),
                        ("2024-12-31", "2025-01-06"), ("2025-01-07", "2025-03-01")]:
@@ -234,8 +270,10 @@ def test_dead_letters_of_both_layouts(spark, tmp_path):
     assert triples(sources.read_dead_letters(spark, str(base)), "symbol", "day",
                    "params_sent.symbol") == [("NSE_Z-EQ", "06", "NSE:Z-EQ")]
     outcomes = spark.createDataFrame(
-        [("NSE:A-EQ", True, 1, 200, None), ("NSE:B-EQ", False, 5, None, "Exhausted 5 attempts"),
-         ("NSE:C-EQ", False, 1, None, "missing_credentials"), (None, False, 0, None, "boom")],
+        [("NSE:A-EQ", True, 1, 200, None, None), ("NSE:B-EQ", False, 5, None, "gave up", True),
+         ("NSE:C-EQ", False, 1, None, "missing_credentials", False),
+         ("NSE:D-EQ", False, 1, None, "Exhausted, but will try again", False),
+         (None, False, 0, None, "boom", True)],
         OUTCOME,
     )
     letters = op.dead_letters(outcomes, F.lit("2025-01-07T04:00:00Z"), F.lit("2025-01-07"))
@@ -257,8 +295,10 @@ def test_outcomes_and_tickers(spark, tmp_path):
         "NSE:A-EQ", "NSE:M&M-EQ", "NSE:BAJAJ-AUTO-EQ", "NSE:A-EQ",
     ]
     outcomes = spark.createDataFrame(
-        [("NSE:A-EQ", True, 1, 200, None), ("NSE:B-EQ", False, 5, None, "Exhausted 5 attempts"),
-         ("NSE:C-EQ", False, 1, None, "missing_credentials"), ("NSE:D-EQ", None, 1, None, None)],
+        [("NSE:A-EQ", True, 1, 200, None, None),
+         ("NSE:B-EQ", False, 5, None, "Exhausted 5 attempts", True),
+         ("NSE:C-EQ", False, 1, None, "missing_credentials", None),
+         ("NSE:D-EQ", None, 1, None, None, None)],
         OUTCOME,
     )
     assert tuple(op.run_summary(outcomes, tickers).first()) == (1, 3, 4)
@@ -266,6 +306,10 @@ def test_outcomes_and_tickers(spark, tmp_path):
     assert triples(op.run_metrics(outcomes, tickers), "metric", "symbol", "value")[:2] == [
         ("IngestFailed", "NSE:B-EQ", 1), ("IngestRunFailedCount", None, 3),
     ]
+    assert triples(op.run_metrics(outcomes.limit(0), tickers), "metric", "symbol", "value") == [
+        ("IngestRunFailedCount", None, 0), ("IngestRunSuccessCount", None, 0),
+        ("IngestRunSymbolsTotal", None, 4),
+    ]
     reasons = op.failure_reasons(outcomes).collect()
     assert {(r.error, r.failures, r.max_attempts) for r in reasons} == {
         ("Exhausted 5 attempts", 1, 5), ("missing_credentials", 1, 1), (None, 1, 1),
@@ -279,6 +323,53 @@ def test_cached_rows_are_freed(spark):
     assert not kept.is_cached
 
 
+def test_ranges_become_narrow_folder_globs():
+    day = date(2025, 1, 1)
+    assert bars.date_folders(date(2024, 12, 31), day) == [
+        "year=2024/month=12/day=31", "year=2025/month=01/day=01",
+    ]
+    assert bars.date_folders(date(2025, 1, 31), date(2025, 2, 1)) == [
+        "year=2025/month=01/day=31", "year=2025/month=02/day=01",
+    ]
+    assert bars.date_folders(date(2025, 11, 30), None) == [
+        "year=2025/month=11/day=30", "year=2025/month=12",
+        "year=[3-9]???", "year=2[1-9]??", "year=20[3-9]?", "year=202[6-9]",
+    ]
+    assert bars.date_folders(None, date(2019, 1, 1)) == [
+        "year=[0-1]???", "year=200?", "year=201[0-8]", "year=2019/month=01/day=01",
+    ]
+    assert bars.date_folders(None, None) == []
+
+
+def test_stream_covers_both_sides_of_local_midnight(spark, tmp_path):
+    base, out = tmp_path / "raw", str(tmp_path / "bars")
+    late = B + 14 * 3600 + 46 * 60
+    land(base, "NSE_A-EQ", "v1", {"candles": [candle(B, 100), candle(late, 7)]})
+    (base / "symbol=NSE_A-EQ" / "exchange=NSE" / "year=abc" / "month=01" / "day=06").mkdir(parents=True)
+    (base / "symbol=NSE_A-EQ" / "exchange=NSE" / "year=abc" / "month=01" / "day=06" / "x.json").write_text(
+        json.dumps({ENVELOPE: {"candles": []}}))
+    query = rebuild_on_arrival(spark, str(base), out, str(tmp_path / "checkpoint"))
+    assert query.awaitTermination(120)
+    whole = str(tmp_path / "whole")
+    aggregate_day(spark, str(base), whole, "all", "all")
+    columns = (*sinks.BAR_PARTITIONS, "interval_start_epoch", "close", "volume")
+    assert triples(sources.read_bars(spark, out), *columns) == triples(sources.read_bars(spark, whole), *columns)
+
+
+def test_each_document_is_parsed_once(spark):
+    lines = spark.createDataFrame(
+        [("NSE:A-EQ", "NSE", "v1", '{"%s": {"candles": [[1, "7d", 1, 1, 1, 1], [60, 1, 1, 1, 1, 1e0]]}}' % ENVELOPE)],
+        "symbol string, exchange string, ingest_ts string, value string",
+    )
+    parsed = sources.parse_raw(lines)
+    assert triples(op.rejected_candles(parsed), "pos", "reason") == [(0, "bad_open")]
+    assert triples(op.salvaged_rows(parsed), "pos", "ts") == [(1, 60)]
+    for rows in (op.triage_raw(parsed), op.triage_counts(op.triage_raw(parsed)),
+                 op.rejected_candles(parsed), op.salvaged_rows(parsed)):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_json") == 1
+
+
 def test_stream_rebuilds_touched_days(spark, landed, tmp_path):
     out, checkpoint = str(tmp_path / "bars"), str(tmp_path / "checkpoint")
 

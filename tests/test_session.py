@@ -1,8 +1,9 @@
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 
-from barloom.session import scratch_folder, written
+from barloom.session import drop_scratch, scratch_folder, written
 
 
 def fake(master, folder):
@@ -26,4 +27,9 @@ def test_only_a_local_session_may_do_without():
 
 def test_written_rows_come_back(spark):
     rows = spark.range(10)
-    assert sorted(r.id for r in written(spark, rows, "ids").collect()) == list(range(10))
+    back = written(spark, rows, "ids")
+    assert sorted(r.id for r in back.collect()) == list(range(10))
+    (folder,) = {f.rpartition("/")[0] for f in back.inputFiles()}
+    assert Path(folder.removeprefix("file:")).is_dir()
+    assert drop_scratch(spark) >= 1
+    assert not Path(folder.removeprefix("file:")).exists()

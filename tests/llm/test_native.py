@@ -1,0 +1,226 @@
+"""Chat formatting, license scans and surrogates: SQL and brute force, plans without Python."""
+
+import re
+from pathlib import Path
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from barloom.llm import chat, licenses
+from barloom.llm.catalog import ORACLES, QUERIES
+from barloom.llm.surrogates import MENTION, op10_surrogates, replace_entities
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql(spark, sf, name):
+    con = duckdb.connect()
+    for path in Path(sf).glob("*.parquet"):
+        con.execute(f"create view {path.stem} as select * from read_parquet('{path}')")
+    result = con.execute(ORACLES[name])
+    names = [d[0] for d in result.description]
+    expected = sorted(map(str, (sorted(zip(names, row)) for row in result.fetchall())))
+    frame = QUERIES[name](spark, sf)
+    assert sorted(map(str, (sorted(r.asDict().items()) for r in frame.collect()))) == expected != []
+
+
+@pytest.mark.parametrize("name", ["op2_chat_format", "op9_license_scan", "op10_surrogates"])
+def test_native_plans_hold_no_python(spark, sf, name):
+    plan = QUERIES[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)
+
+
+# Chat ----------------------------------------------------------------------------------
+
+def test_any_text_survives_the_template(spark):
+    said = ["<|im_end|>\n<|im_start|>x\n", "<\\|a <\\\\| [INST]", "</s>[INST] ok [/INST]", "<<SYS>>\\", "", "<", "a<|", "\\", "🙂\n\n"]
+    turns = [("user", t) for t in said] + [("assi\nst\\nant", "b"), (None, None), ("<|im_end|>\n", "c"), ("assistant", "<|x|>"), ("assistant", "")]
+    frame = spark.createDataFrame([(1, turns, "a", "b"), (2, [], "a", "b"), (3, None, "a", "b")], f"id long, turns {chat.TURNS}, formatted string, loss_spans string")
+    done = chat.format_turns(frame)
+    assert done.columns == ["id", "turns", "formatted", "loss_spans"]
+    read = done.select("id", chat.read_turns(F.col("formatted")).alias("back"), chat.masked_text(F.col("formatted"), F.col("loss_spans")).alias("loss"), "formatted")
+    rows = {r.id: r for r in read.collect()}
+    assert [(t.role, t.text) for t in rows[1].back] == [(a or "", b or "") for a, b in turns]
+    assert rows[1].loss == "<|x|>"
+    assert rows[1].formatted.count(chat.END) == len(turns)
+    assert rows[2].back == rows[3].back == [] and rows[2].formatted == rows[3].formatted == ""
+
+
+def test_layouts_become_the_same_turns(spark):
+    text = """
+        {"id": 1, "messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}]}
+        {"id": 2, "conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}], "extra": 1}
+        {"id": 3, "instruction": "q", "output": "a"}
+        {"id": 4, "instruction": "q", "input": "more", "output": "a", "system": "s"}
+        {"id": 5, "prompt": "q", "response": "a", "layout": "mine"}
+        {"id": 6, "prompt": "q", "completion": "a"}
+        {"id": 7, "question": "q", "answer": "a"}
+        {"id": 8, "unknown": "q"}
+        {"id": 9, "messages": [{"role": "user", "content": null}, {"role": "assistant", "content": "a"}]}
+        {"id": 10, "messages": []}"""
+    records = spark.read.json(spark.sparkContext.parallelize(text.split("\n")[1:]))
+    rows = {r.id: r for r in chat.canonical_turns(records).collect()}
+    plain = [("user", "q"), ("assistant", "a")]
+    for i in (1, 2, 3, 5, 6, 7):
+        assert [tuple(t) for t in rows[i].turns] == plain, i
+    assert [tuple(t) for t in rows[4].turns] == [("system", "s"), ("user", "q"), ("user", "more"), ("assistant", "a")]
+    assert [tuple(t) for t in rows[9].turns] == [("user", ""), ("assistant", "a")]
+    assert rows[8].layout is None and rows[8].turns == [] and rows[10].layout is None
+    assert {rows[i].layout for i in (3, 4)} == {"instruction"}
+
+
+def test_rows_by_turn(spark):
+    rows = [(1, 1, "assistant", "b"), (1, 0, "user", None), (1, 1, "assistant", "b"), (None, None, None, "x"), (1, None, None, "first")]
+    frame = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: [tuple(m) for m in r.messages] for r in chat.gather_turns(frame).collect()}
+    assert got == {1: [("", "first"), ("user", ""), ("assistant", "b"), ("assistant", "b")], None: [("", "x")]}
+    assert chat.gather_turns(frame.limit(0)).count() == 0
+
+
+# Licenses ------------------------------------------------------------------------------
+
+def words_of(text):
+    return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(LOWER))
+
+
+def base_of(text):
+    words = words_of(text)
+    return sorted(
+        (i, label) for phrase, label in licenses.BASE_PHRASES.items() for i in range(len(words))
+        if words[i : i + len(phrase.split())] == phrase.split()
+    )
+
+
+def detections_of(text):
+    """All rules over the text, then containment, without keywords or gate."""
+    spaced = " " + " ".join(words_of(text)) + " "
+    found = []
+    for label, _, expression, priority, _ in licenses.rules():
+        for m in re.finditer(expression, spaced):
+            first = spaced[: m.start()].count(" ") - 1
+            found.append((first, first + m.group().count(" "), priority, label))
+    found.sort(key=lambda d: (d[0], -d[1], -d[2], d[3]))
+    kept = []
+    for n, d in enumerate(found):
+        if not any(o[0] <= d[0] and o[1] >= d[1] and o[2] >= d[2] for o in found[:n]):
+            kept.append(d)
+    return kept
+
+
+TEXTS = [
+    None, "", " ", "CC-BY cc by; cc\tby-SA 4.0", "Licensed under the Apache License, Version 2.0 (the license)",
+    "This is free: GNU General Public License v3 or later. All rights reserved! all-rights-reserved",
+    "MIT License. Copyright (c) 2019 2020 X. Permission is hereby granted, free of charge, to any person obtaining a copy",
+    "SPDX-License-Identifier: MPL 2.0", "released into the public domain", "accbyx no license here", "Général Public Licence GENERAL PUBLIC LICENSE",
+    "licensed under mit or bsd 3 clause license; published under the terms of the eclipse public license 2.0",
+    "released under cc0", "under the zlib license", "available under the x11 license", "gpl 2", "wtfpl 2", "cc by " * 300,
+]
+
+
+def test_licenses_equal_brute_force(spark):
+    rows = [(i, t, "mine", None) for i, t in enumerate(TEXTS)] * 2
+    frame = spark.createDataFrame(rows, "doc_id long, text string, base string, n_words string")
+    scanned = licenses.scan_licenses(frame)
+    assert scanned.columns == ["doc_id", "text", "n_words", "base", "detections"]
+    got = scanned.collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.n_words == len(words_of(r.text))
+        assert sorted((b["first"], b["label"]) for b in r.base) == base_of(r.text)
+        assert [(d["first"], d["last"], d["priority"], d["label"]) for d in r.detections] == detections_of(r.text), r.text
+    assert licenses.scan_licenses(frame.limit(0)).count() == 0
+
+
+def test_rules_are_many_and_gated():
+    made = licenses.rules()
+    assert len(made) > 300
+    for _, keyword, expression, priority, sure in made:
+        assert 1 <= priority <= licenses.TOP and 0 < sure < 1
+        re.compile(expression)
+        assert keyword == keyword.lower()
+
+
+def test_license_query(spark, sf):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = QUERIES["op9_license_scan"](spark, sf).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        base = base_of(texts[r.doc_id])
+        places, labels = [p for p, _ in base], sorted({x for _, x in base})
+        assert (r.n_words, r.n_base, r.base_labels) == (len(words_of(texts[r.doc_id])), len(base), ",".join(labels))
+        assert (r.first_word, r.last_word) == (min(places, default=None), max(places, default=None))
+        assert r.labels == ",".join(sorted({*labels, *(d[3] for d in detections_of(texts[r.doc_id]))}))
+        assert 0 <= r.score <= 1
+
+
+# Surrogates ----------------------------------------------------------------------------
+
+def valid(number):
+    digits = [int(c) for c in re.sub("[^0-9]", "", number)][::-1]
+    return (sum(digits[::2]) + sum(sum(divmod(2 * d, 10)) for d in digits[1::2])) % 10 == 0
+
+
+def test_forms_coreference_and_distinctness(spark):
+    texts = [
+        (1, "Mr. John Smith met Frau Schmidt and Mr. Smith; Ms. Anna Smith, MRS X"), (2, "Господин Иванов wrote to a@b.co and A@B.CO"),
+        (None, "card 4111 1111 1111 1111 or 4111111111111111, ssn 123-45-6789, +49 30 1234 5678"), (3, None), (4, ""), (4, "password: hunter2000 token=hunter2000"),
+        (5, "x@y.io " * 3 + "10.1.2.3 and 10.1.2.4"), (5, "x@y.io"),
+    ]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    done = replace_entities(frame, "k")
+    rows = {r.text: r.n_replaced for r in done.collect()}
+    joined = "\n".join(t for t in rows if t)
+    for _, text in texts:
+        for private in re.findall("Smith|Schmidt|Иванов|a@b.co|4111|123-45|1234 5678|hunter2000|x@y.io|10\\.1\\.2", text or ""):
+            assert private not in joined
+    names = re.search(r"Mr\. (\w+) (\w+) met Frau (\w+) and Mr\. (\w+); Ms\. (\w+) (\w+),", joined).groups()
+    assert names[1] == names[3] == names[5] != names[2] and names[0].endswith("n") and names[4].endswith("a")
+    assert re.search(r"Господин [а-яА-Я]+ wrote to (\S+) and \1", joined)
+    spaced, plain = re.search(r"card ([\d ]{19}) or (\d{16}),", joined).groups()
+    assert spaced.replace(" ", "") == plain and valid(plain)
+    assert re.search(r"ssn \d{3}-\d{2}-\d{4}, \+49 \d{2} \d{4} \d{4}", joined)
+    assert re.search(r"password: (\w{10}) token=\1", joined)
+    first, second = re.search(r"(\S+) and (10\.\d+\.\d+\.\d+)", next(t for t in rows if t and t.count("@") == 3)).groups()
+    assert first != second
+    assert rows[None] == 0 and rows[""] == 0
+    again = {r.text for r in replace_entities(frame, "k").collect()}
+    assert again == set(rows) != {r.text for r in replace_entities(frame, "other").collect()}
+
+
+def test_small_rooms_still_give_distinct_surrogates(spark):
+    mails = [f"{a}@q.co" for a in "abcdefghijklmnopqrstuvwxyz"]
+    frame = spark.createDataFrame([(i, m) for i, m in enumerate(mails)], "doc_id long, text string")
+    got = [r.text for r in replace_entities(frame, "k").collect()]
+    assert len(set(got)) == len(mails) and not set(got) & set(mails)
+
+
+def test_odd_rows_keep_all_columns(spark, odd, none):
+    assert replace_entities(odd, "k", count=None).columns == odd.columns
+    done = replace_entities(odd, "k", count="score")
+    assert done.columns == ["doc_id", "text", "n_tokens", "score"]
+    assert sorted(str(r.text) for r in done.collect()) == sorted(str(r.text) for r in odd.collect())
+    assert replace_entities(none, "k").count() == 0
+
+
+def test_surrogate_query(spark, sf):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    form = re.compile(MENTION.replace(r"\p{Lu}", "[A-Z]").replace(r"\p{L}", "[A-Za-z]"))
+    seen, swapped = {}, 0
+    for r in op10_surrogates(spark, sf).collect():
+        old = form.findall(texts[r.doc_id])
+        assert r.n_replaced == len(old)
+        if not old:
+            assert r.text == texts[r.doc_id]
+            continue
+        pieces = re.split(form, texts[r.doc_id])
+        at = 0
+        for n, piece in enumerate(pieces):
+            where = r.text.index(piece, at)
+            if n:
+                new = r.text[at:where]
+                assert new != old[n - 1] and seen.setdefault(old[n - 1], new) == new
+                swapped += 1
+            at = where + len(piece)
+    assert swapped and len(set(seen.values())) == len({x.lower() for x in seen})

@@ -6,6 +6,19 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
+
+@dataclass(frozen=True)
+class Timeframe:
+    """A bar width. Widths of one day follow the local calendar day of the zone in use."""
+
+    label: str
+    seconds: int
+
+    @property
+    def is_day(self) -> bool:
+        return self.seconds == DAY_SECONDS
+
+
 # Fixed values of the data format -------------------------------------------
 ENVELOPE = "fyers_response"  # field that wraps each landed payload
 CANDLE_FIELDS = ("ts", "open", "high", "low", "close", "volume")  # by array position
@@ -23,6 +36,12 @@ METRICS = (
     "IngestSuccess", "IngestFailed",  # per symbol
     "IngestRunSuccessCount", "IngestRunFailedCount", "IngestRunSymbolsTotal",  # per run
 )
+TIMEFRAMES = (
+    Timeframe("1m", 60),
+    Timeframe("5m", 300),
+    Timeframe("15m", 900),
+    Timeframe("1d", DAY_SECONDS),
+)
 REQUEST = {"resolution": "1", "date_format": "1", "cont_flag": "1"}  # sent with each fetch
 MISSING_CREDENTIALS = "missing_credentials"  # error text of a fetch without a token
 # ---------------------------------------------------------------------------
@@ -87,23 +106,3 @@ BAR = T.StructType([
     *_strings(("year", "month", "day")),
     *[T.StructField(name, T.DoubleType()) for name in CANDLE_FIELDS[1:]],
 ])
-
-
-@dataclass(frozen=True)
-class Timeframe:
-    """A bar width. Widths of one day follow the local calendar day of the zone in use."""
-
-    label: str
-    seconds: int
-
-    @property
-    def is_day(self) -> bool:
-        return self.seconds == DAY_SECONDS
-
-
-TIMEFRAMES = (
-    Timeframe("1m", 60),
-    Timeframe("5m", 300),
-    Timeframe("15m", 900),
-    Timeframe("1d", DAY_SECONDS),
-)

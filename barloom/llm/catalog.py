@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from barloom.llm.bpe import op1_bpe
 from barloom.llm.chat import OP2_SQL, op2_chat_format
-from barloom.llm.containment import op7_decontamination
-from barloom.llm.jaccard import op4_ngram_jaccard
+from barloom.llm.containment import OP7_SQL, op7_decontamination
+from barloom.llm.jaccard import OP4_SQL, op4_ngram_jaccard
 from barloom.llm.licenses import op9_license_scan
 from barloom.llm.lm import op6_lm_scores
 from barloom.llm.neighbours import op3_nearest
@@ -30,4 +30,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_surrogates": op10_surrogates,
 }
 
-ORACLES: dict[str, str] = {"op2_chat_format": OP2_SQL}
+ORACLES: dict[str, str] = {
+    "op2_chat_format": OP2_SQL,
+    "op4_ngram_jaccard": OP4_SQL,
+    "op7_decontamination": OP7_SQL,
+}

@@ -150,3 +150,27 @@ def without_items(
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+OP7_SQL = r"""
+with item_words as (
+  select item_id, list_filter(
+    regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+  from benchmark),
+doc_words as (
+  select row_number() over () as r, doc_id, list_filter(
+    regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+  from documents),
+items as (
+  select item_id, len(s) as n, k, unnest(s) as g from (
+    select item_id, least(5, len(w)) as k,
+           list_distinct(list_transform(range(1, len(w) - least(5, len(w)) + 2), lambda i: array_to_string(w[i:i + least(5, len(w)) - 1], ' '))) as s
+    from item_words where len(w) > 0)),
+docs as (
+  select r, doc_id, k, unnest(list_distinct(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' ')))) as g
+  from doc_words, (select distinct k from items))
+select doc_id, item_id, count(*) as n_shared, any_value(n)::bigint as n_item, count(*) / any_value(n) as containment
+from docs join items using (g, k) group by r, doc_id, item_id having count(*) * 5 >= any_value(n) * 4
+"""

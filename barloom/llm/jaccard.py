@@ -348,3 +348,29 @@ def jaccard_components(
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), n=4, num=85, den=100)
+
+
+#: The query's rows for one row an id, by way of all pairs that share a shingle.
+OP4_SQL = r"""
+with recursive words as (
+  select doc_id, list_filter(
+    regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                          '[\x20\x09-\x0D]+'), lambda x: x <> '') as w
+  from documents),
+sets as (
+  select doc_id, case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+    else list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) end as s
+  from words),
+shingles as (select doc_id, len(s) as n, unnest(s) as g from sets),
+pairs as (
+  select a.doc_id as a, b.doc_id as b, count(*) as shared, any_value(a.n) as n, any_value(b.n) as m
+  from shingles a join shingles b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+links as (
+  select a, b from pairs where 100 * shared >= 85 * (n + m - shared)
+  union all select b, a from pairs where 100 * shared >= 85 * (n + m - shared)),
+reach(x, y) as (
+  select doc_id, doc_id from documents
+  union select r.x, l.b from reach r join links l on r.y = l.a)
+select doc_id, len(s)::bigint as n_shingles, component_id
+from sets join (select x, min(y) as component_id from reach group by x) on doc_id = x
+"""

@@ -6,7 +6,9 @@ function of its hashed words and word beginnings, and a document is toxic unless
 that explain its label, so the model also tells which sentences offend.
 
 The model is fitted on a bounded sample of labelled rows: the ``PER_CLASS`` rows of either label
-with the smallest hash of their id, whole texts. Scoring reads every row.
+with the smallest hash of their id, whole texts. Features that tell the labels apart are found by
+counting over that sample; only their places in the sample go to the driver. Scoring reads every
+row.
 """
 
 from __future__ import annotations
@@ -22,8 +24,9 @@ from barloom.llm.texts import NOT_LETTERS, U64, Words, all_chunks, buffers, tabl
 
 FEATURE_BITS = 20
 BEGINNINGS = (4, 5)
-#: Rows of the sample that must have a feature; rarer ones would only learn single texts by heart.
-LEAST_ROWS = 10
+#: Rows of the sample that must have a feature, and by how many standard deviations its share must
+#: differ between the labels; others would only learn single texts by heart.
+LEAST_ROWS, LEAST_Z = 5, 4.0
 PER_CLASS = 3_000
 ROUNDS, RATE, DECAY = 100, 0.3, 1e-4
 
@@ -76,34 +79,34 @@ def _noisy_or(logits: np.ndarray, doc: np.ndarray, docs: int) -> np.ndarray:
     return -np.expm1(-np.bincount(doc, np.logaddexp(0, logits), docs))
 
 
-def fit(word: np.ndarray, first: np.ndarray, doc: np.ndarray, toxic: np.ndarray) -> ToxicityModel:
-    """Full-batch Adam on the noisy-or likelihood, both classes weighing the same."""
-    size = 1 << FEATURE_BITS
-    sentence = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    rows = np.bincount(np.unique(word.astype(np.int64) + (doc[sentence] << FEATURE_BITS)) & (size - 1), minlength=size)
-    rows[0] = 0
-    word = np.where(rows[word] >= LEAST_ROWS, word, 0)
-    used, code = np.unique(word, return_inverse=True)
+def fit(feature: np.ndarray, first: np.ndarray, doc: np.ndarray, plain: np.ndarray, toxic: np.ndarray) -> ToxicityModel:
+    """Full-batch Adam on the noisy-or likelihood, both classes weighing the same.
+
+    ``feature``, ``first`` and ``doc`` are sentences as ``Sentences`` has them; ``plain`` counts each
+    text's sentences without any feature, which all score as the bias does.
+    """
+    used, code = np.unique(feature, return_inverse=True)
     weights = np.zeros(len(used))
     bias = -4.0
+    sentence = np.repeat(np.arange(len(first) - 1), np.diff(first))
     share = np.where(toxic, 0.5 / max(toxic.sum(), 1), 0.5 / max((~toxic).sum(), 1))
     m = np.zeros(len(used) + 1)
     v = np.zeros(len(used) + 1)
     for step in range(1, ROUNDS + 1):
-        logits = np.add.reduceat(weights[code], first[:-1]) + bias if len(code) else np.zeros(0)
-        p_doc = np.clip(_noisy_or(logits, doc, len(toxic)), 1e-9, 1)
-        p = 1 / (1 + np.exp(-np.clip(logits, -40, 40)))
-        slope = p * (1 - np.where(toxic, 1 / p_doc, 0)[doc]) * share[doc]
-        grad = np.append(np.bincount(code, slope[sentence], len(used)), slope.sum())
+        logits = np.bincount(sentence, weights[code], len(first) - 1) + bias
+        silent = np.bincount(doc, np.logaddexp(0, logits), len(toxic)) + plain * np.logaddexp(0, bias)
+        p_doc = np.clip(-np.expm1(-silent), 1e-9, 1)
+        pull = (1 - np.where(toxic, 1 / p_doc, 0)) * share
+        slope = pull[doc] / (1 + np.exp(-np.clip(logits, -40, 40)))
+        plain_slope = (pull * plain).sum() / (1 + np.exp(-bias))
+        grad = np.append(np.bincount(code, slope[sentence], len(used)), slope.sum() + plain_slope)
         grad[:-1] += DECAY * weights
-        if used[:1].tolist() == [0]:
-            grad[0] = 0  # no feature
         m = 0.9 * m + 0.1 * grad
         v = 0.999 * v + 0.001 * grad**2
         move = RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-12)
         weights -= move[:-1]
         bias -= move[-1]
-    full = np.zeros(size, np.float32)
+    full = np.zeros(1 << FEATURE_BITS, np.float32)
     full[used] = weights
     return ToxicityModel(full, float(bias))
 
@@ -127,30 +130,71 @@ def train(
         part = known.where(F.col(label) == value).orderBy(F.xxhash64(key), key).limit(per_class)
         some = part if some is None else some.unionByName(part)
 
-    def features(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = docs.select(key, text).join(F.broadcast(some), key)
+    told = some.groupBy().agg(F.count("*").alias("n"), F.coalesce(F.sum(label), F.lit(0)).alias("toxic")).first()
+    n, n_toxic = told["n"], int(told["toxic"])
+    if not 0 < n_toxic < n:
+        return ToxicityModel(np.zeros(1 << FEATURE_BITS, np.float32), -12.0)
+
+    def counted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in all_chunks(batches, text):
+            found = Sentences(batch.column(text))
+            toxic = np.array(batch.column(label).to_pylist()) == 1
+            row = np.repeat(found.doc, np.diff(found.first))
+            pairs = np.unique(found.feature.astype(np.int64) + (row << FEATURE_BITS))
+            feature, at = np.unique(pairs & ((1 << FEATURE_BITS) - 1), return_inverse=True)
+            of_toxic = np.bincount(at, toxic[pairs >> FEATURE_BITS], len(feature)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(feature), pa.array(np.bincount(at, minlength=len(feature)).astype(np.int64)), pa.array(of_toxic)], ["feature", "n", "toxic"]
+            )
+
+    # features by how far the share of rows that have them differs between the labels
+    share, gap = F.col("n") / n, F.col("toxic") / n_toxic - (F.col("n") - F.col("toxic")) / (n - n_toxic)
+    deviation = F.sqrt(share * (1 - share) * (1 / n_toxic + 1 / (n - n_toxic)))
+    telling = rows.mapInArrow(counted, "feature long, n long, toxic long").groupBy("feature").agg(
+        F.sum("n").alias("n"), F.sum("toxic").alias("toxic")
+    ).where((F.col("feature") > 0) & (F.col("n") >= LEAST_ROWS) & (F.abs(gap) >= LEAST_Z * deviation))
+    telling = np.sort(telling.select("feature").toArrow()["feature"].to_numpy())
+
+    def chosen(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tells = np.zeros(1 << FEATURE_BITS, bool)
+        tells[telling] = True
         for batch in all_chunks(batches, text):
             found = Sentences(batch.column(text))
-            doc_first = np.searchsorted(found.doc, np.arange(batch.num_rows + 1))
-            words, sizes = [], []
-            for a, b in zip(doc_first[:-1], doc_first[1:], strict=True):
-                words.append(found.feature[found.first[a] : found.first[b]].tobytes())
-                sizes.append(np.diff(found.first[a : b + 1]).astype(np.int32).tobytes())
+            kept = tells[found.feature]
+            sentence = np.repeat(np.arange(len(found.doc)), np.diff(found.first))[kept]
+            feature = found.feature[kept]
+            plain = np.bincount(found.doc, minlength=batch.num_rows)
+            plain -= np.bincount(found.doc[np.unique(sentence)], minlength=batch.num_rows)
+            at = np.searchsorted(found.doc[sentence], np.arange(batch.num_rows + 1))
+            parts = list(zip(at[:-1], at[1:], strict=True))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(key), batch.column(label), pa.array(words, pa.binary()), pa.array(sizes, pa.binary())],
-                [key, label, "words", "sizes"],
+                [
+                    batch.column(key), batch.column(label), pa.array(plain.astype(np.int64)),
+                    pa.array([feature[a:b] for a, b in parts], pa.list_(pa.int32())),
+                    pa.array([(sentence[a:b] - (sentence[a] if b > a else 0)).astype(np.int32) for a, b in parts], pa.list_(pa.int32())),
+                ],
+                [key, label, "plain", "features", "sentences"],
             )
 
     kinds = f"`{key}` {docs.schema[key].dataType.simpleString()}, `{label}` {some.schema[label].dataType.simpleString()}"
-    rows = docs.select(key, text).join(F.broadcast(some), key).mapInArrow(features, f"{kinds}, words binary, sizes binary").toArrow()
-    rows = sorted(rows.to_pylist(), key=lambda r: (str(r[key]), r["words"]))
-    word = np.frombuffer(b"".join(r["words"] for r in rows), np.int32)
-    sizes = [np.frombuffer(r["sizes"], np.int32) for r in rows]
-    first = np.concatenate(([0], np.cumsum(np.concatenate(sizes)))) if rows else np.zeros(1, np.int64)
-    doc = np.repeat(np.arange(len(rows)), [len(s) for s in sizes])
-    toxic = np.array([r[label] == 1 for r in rows], bool)
+    found = rows.mapInArrow(chosen, f"{kinds}, plain long, features array<int>, sentences array<int>").toArrow().to_pylist()
+    found.sort(key=lambda r: (str(r[key]), r["plain"], r["features"]))
+    feature, first, doc = [], [0], []
+    for number, row in enumerate(found):
+        last = None
+        for f, at in zip(row["features"], row["sentences"], strict=True):
+            if at != last:
+                doc.append(number)
+                first.append(first[-1])
+                last = at
+            feature.append(f)
+            first[-1] += 1
+    toxic = np.array([r[label] == 1 for r in found], bool)
     if not toxic.any() or toxic.all():
         return ToxicityModel(np.zeros(1 << FEATURE_BITS, np.float32), -12.0)
-    return fit(word, first.astype(np.int64), doc, toxic)
+    plain = np.array([r["plain"] for r in found])
+    return fit(np.array(feature, np.int64), np.array(first), np.array(doc, np.int64), plain, toxic)
 
 
 def score_texts(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFrame:

@@ -306,6 +306,9 @@ def jaccard_components(
         posted.select("key", "set_id", F.min("set_id").over(met).alias("first"), F.max("set_id").over(met).alias("last"))
         .where("first <> last").select("key", "set_id", "first"), "jaccard-met",
     )
+    # the keys are the bulk of the signatures, and have met now
+    signed = scratch.keep(signed.select(key, "n_shingles", "set_id"), "jaccard-sizes")
+    scratch.drop("jaccard-signatures")
     wanted = met.select("set_id").distinct()
     one = signed.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min(key).alias(key))
     texts = docs.select(key, text).join(one.select(key).distinct(), key, "left_semi")

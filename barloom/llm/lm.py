@@ -1,35 +1,43 @@
 """Operator 6: n-gram language model as a weighted backoff automaton.
 
-Words become classes: a word that makes up at least ``WORD_SHARE`` of the training tokens is a
-class of its own, every other one belongs to one of a few classes by its shape, and within such a
-class its exact count decides. The automaton's states are histories of up to two classes. A state
-has an arc for each kept n-gram (a share of at least ``GRAM_SHARE`` of the training tokens), with
-an absolutely discounted probability, and a failure arc to the shorter history whose weight gives
-out the rest. Shares bound the automaton by arithmetic: at most ``1 / share`` entries of a kind, so
-it can be sent to every task whatever the corpus. All counts are over all training texts.
-
-Counts of rare words grow with the corpus and are never sent whole. Texts are encoded into blocks
-of about ``BLOCK_TOKENS`` tokens, each with its own list of rare words; the lists are joined to the
-counts, and each block is scored with the counts that came back.
+Every word, pair and triple of the training texts counts, whatever the corpus: nothing is dropped
+by its frequency. States are histories of up to two words. A state ``h`` has an arc for each n-gram
+that begins with it, with the interpolated weight ``((n - D) + D * T * lower) / N``, and a failure
+arc to the shorter history with the weight ``D * T / N``: ``n`` counts the n-gram, ``N`` and ``T``
+the tokens and the distinct words seen behind ``h``, ``lower`` is the word's weight from the shorter
+history. A state gives out one by construction. The last history is empty; its arcs are unigrams with
+a floor, which are the base score as well.
+
+The model grows with the corpus, so it is never sent whole. N-grams are 64-bit hashes, dealt out in
+buckets by their upper bits as sorted arrays, counted a bucket at a time. Texts are encoded into
+blocks of about ``BLOCK_TOKENS`` tokens; each block asks the buckets for its own distinct n-grams and
+histories, and what comes back is its part of the automaton. As all n-grams are kept, the two words
+before a token tell the state a walk is in, and all steps of a block are taken at once.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barloom.llm.scratch import Scratch
-from barloom.llm.texts import U64, Words, all_chunks, buffers, i64, table
+from barloom.llm.texts import U64, Words, all_chunks, buffers, mix, table
 
-WORD_SHARE, GRAM_SHARE = 1e-5, 2e-6
 DISCOUNT, FLOOR = 0.7, 0.1
 BLOCK_TOKENS = 2_000_000
 PENDING = 4_000_000
+#: About as many n-grams, before they are counted, lie in a bucket; and the fewest bits of a bucket's number.
+BUCKET_GRAMS, LEAST_BITS = 2_000_000, 6
 END = 0x5EED0E4D
+#: The empty history, and the history of a text's first word.
+ROOT, START = U64(0x1D2E3F4A5B6C7D81), U64(0x9C0FFEE123456789)
+_LEFT, _RIGHT = U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F)
 SHAPES = 32
 
 
@@ -57,54 +65,9 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out, shape, first
 
 
-class Counter64:
-    """Counts of 64-bit keys, given out in parts of bounded size."""
-
-    def __init__(self) -> None:
-        self.parts: list[np.ndarray] = []
-        self.size = 0
-
-    def add(self, keys: np.ndarray) -> bool:
-        self.parts.append(keys)
-        self.size += len(keys)
-        return self.size >= PENDING
-
-    def take(self) -> tuple[np.ndarray, np.ndarray]:
-        keys = np.concatenate(self.parts) if self.parts else np.zeros(0, U64)
-        self.parts, self.size = [], 0
-        return np.unique(keys, return_counts=True)
-
-
-def word_counts(docs: DataFrame, text: str) -> DataFrame:
-    """``word`` (hash), ``shape`` and ``n`` over whole texts, ends included."""
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Counter64()
-        shapes: list[np.ndarray] = []
-
-        def part() -> pa.RecordBatch:
-            keys = np.concatenate(words.parts) if words.parts else np.zeros(0, U64)
-            kinds = np.concatenate(shapes) if shapes else np.zeros(0, np.uint8)
-            found, at, n = np.unique(keys, return_index=True, return_counts=True)
-            words.parts, words.size = [], 0
-            shapes.clear()
-            return pa.RecordBatch.from_arrays(
-                [i64(found), pa.array(kinds[at].astype(np.int32)), pa.array(n.astype(np.int64))], ["word", "shape", "n"]
-            )
-
-        for batch in all_chunks(batches, text):
-            found, shape, _ = tokens(batch.column(text))
-            shapes.append(shape)
-            if words.add(found):
-                yield part()
-        yield part()
-
-    rows = docs.select(text).mapInArrow(run, "word long, shape int, n long")
-    return rows.groupBy("word").agg(F.max("shape").alias("shape"), F.sum("n").alias("n"))
-
-
 @dataclass
 class Classes:
-    """Frequent words by hash, and the shape classes behind them."""
+    """Words by hash, and the shape classes behind them, of an automaton held in one place."""
 
     words: np.ndarray  # sorted hashes of frequent words
     counts: np.ndarray
@@ -124,65 +87,8 @@ class Classes:
         return np.where(self.words[at] == hashes, at, len(self.words) + shapes.astype(np.int64))
 
 
-def classes_of(counts: DataFrame) -> Classes:
-    total = counts.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    tokens_, distinct = total["n"] or 0, total["v"]
-    least = tokens_ * WORD_SHARE
-    often = counts.where(F.col("n") >= least).select("word", "n").toArrow()
-    words = often["word"].to_numpy().view(U64)
-    order = np.argsort(words)
-    rare = counts.where(F.col("n") < least).groupBy("shape").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()
-    rare_tokens, rare_words = np.zeros(SHAPES), np.zeros(SHAPES)
-    for row in rare:
-        rare_tokens[row["shape"]], rare_words[row["shape"]] = row["n"], row["v"]
-    return Classes(words[order], often["n"].to_numpy()[order], rare_tokens, rare_words, tokens_, distinct)
-
-
-def _sequence(classes: Classes, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Each token's class and the one before it; a text begins after the start class."""
-    found, shape, first = tokens(column)
-    now = classes.of(found, shape)
-    before = np.empty_like(now)
-    before[1:] = now[:-1]
-    before[first[:-1]] = classes.size
-    return now, before
-
-
-def gram_counts(docs: DataFrame, classes, kept, text: str, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Kept pairs of classes, or with ``kept`` pairs the kept triples, and their counts.
-
-    A pair is ``before * (size + 1) + class``; a triple's first two are the number of a kept pair.
-    """
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, wide = classes.value, U64(classes.value.size + 1)
-        grams = Counter64()
-
-        def part() -> pa.RecordBatch:
-            keys, n = grams.take()
-            return pa.RecordBatch.from_arrays([i64(keys), pa.array(n.astype(np.int64))], ["gram", "n"])
-
-        for batch in all_chunks(batches, text):
-            now, before = _sequence(known, batch.column(text))
-            pairs = before.astype(U64) * wide + now.astype(U64)
-            if kept is not None:
-                pairs_kept = kept.value
-                at = np.minimum(np.searchsorted(pairs_kept, pairs), len(pairs_kept) - 1)
-                there = pairs_kept[at] == pairs
-                both = there[:-1] & there[1:] & (before[1:] != known.size)
-                pairs = at[:-1][both].astype(U64) * wide + now[1:][both].astype(U64)
-            if grams.add(pairs):
-                yield part()
-        yield part()
-
-    rows = docs.select(text).mapInArrow(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    found = rows.where(F.col("n") >= least).toArrow()
-    keys, n = found["gram"].to_numpy().view(U64), found["n"].to_numpy()
-    order = np.argsort(keys)
-    return keys[order], n[order]
-
-
 class Automaton:
-    """States, arcs with log10 weights, and failure arcs."""
+    """A small automaton in one place: states, arcs with log10 weights, and failure arcs."""
 
     def __init__(self, classes: Classes, pairs: np.ndarray, pair_n: np.ndarray, triples: np.ndarray, triple_n: np.ndarray, texts: int):
         self.classes, self.pairs, self.triples = classes, pairs, triples
@@ -250,38 +156,91 @@ class Automaton:
         return out
 
 
-def blocks_of(docs: DataFrame, classes, key: str, text: str) -> DataFrame:
-    """Texts as class numbers, in blocks; rare words as places in the block's own list."""
+def grams(words: np.ndarray, first: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+    """Histories and n-grams of each token for one, two and three words; whether it has the last ones."""
+    begins = np.zeros(len(words), bool)
+    begins[first[:-1]] = True
+    before = np.roll(words, 1)
+    before[begins] = START
+    pair = mix(before * _LEFT + words * _RIGHT + U64(2))
+    head = np.roll(pair, 1)
+    triple = mix(head * _LEFT + words * _RIGHT + U64(3))
+    return [np.full(len(words), ROOT), before, head], [words, pair, triple], ~begins
+
+
+def _flat(columns: list[np.ndarray], has: np.ndarray) -> np.ndarray:
+    return np.concatenate((columns[0], columns[1], columns[2][has]))
+
+
+def _cuts(keys: np.ndarray, bits: int) -> np.ndarray:
+    """Where each bucket begins among sorted keys, with one more at the end."""
+    edges = np.arange(1 << bits, dtype=U64) << U64(64 - bits)
+    return np.append(np.searchsorted(keys, edges), len(keys))
+
+
+def _bytes(values: np.ndarray, cuts: np.ndarray, some: np.ndarray) -> pa.Array:
+    return pa.array([values[cuts[b] : cuts[b + 1]].tobytes() for b in some], pa.binary())
+
+
+def _joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(x.as_buffer(), kind) for x in column)])
+
+
+def gram_counts(docs: DataFrame, bits: int, text: str) -> DataFrame:
+    """N-grams with their histories and counts, added up within parts of a task, by bucket of the n-gram."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heads: list[np.ndarray] = []
+        keys: list[np.ndarray] = []
+
+        def part() -> pa.RecordBatch:
+            head, key = np.concatenate(heads), np.concatenate(keys)
+            heads.clear(), keys.clear()
+            key, at, n = np.unique(key, return_index=True, return_counts=True)
+            cuts = _cuts(key, bits)
+            some = np.flatnonzero(np.diff(cuts))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(some.astype(np.int32)), _bytes(head[at], cuts, some), _bytes(key, cuts, some), _bytes(n.astype(np.uint32), cuts, some)],
+                ["bucket", "heads", "keys", "n"],
+            )
+
+        for batch in all_chunks(batches, text):
+            words, _, first = tokens(batch.column(text))
+            histories, found, has = grams(words, first)
+            heads.append(_flat(histories, has))
+            keys.append(_flat(found, has))
+            if sum(map(len, keys)) >= PENDING:
+                yield part()
+        if keys:
+            yield part()
+
+    return docs.select(text).mapInArrow(run, "bucket int, heads binary, keys binary, n binary")
+
+
+def blocks_of(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Texts in blocks: their words as places in the block's own sorted list."""
     from pyspark import TaskContext
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: Classes = classes.value
         task, number = TaskContext.get().partitionId(), 0
-        held: list[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray]] = []
+        held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
 
         def block() -> pa.RecordBatch:
-            found, shape = np.concatenate([h[1] for h in held]), np.concatenate([h[2] for h in held])
-            size = np.concatenate([h[3] for h in held]).astype(np.int32)
-            code = known.of(found, shape)
-            rare = np.flatnonzero(code >= len(known.words))
-            words, at, place = np.unique(found[rare], return_index=True, return_inverse=True)
-            code[rare] = known.size + place
+            words, code = np.unique(np.concatenate([h[1] for h in held]), return_inverse=True)
+            size = np.concatenate([h[2] for h in held]).astype(np.int32)
             ids = pa.concat_arrays([h[0] for h in held])
             held.clear()
-            one = pa.array([0, len(ids)], pa.int32())
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array([f"{task}-{number}"]), pa.ListArray.from_arrays(one, ids),
+                    pa.array([f"{task}-{number}"]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
                     pa.array([size.tobytes()], pa.binary()), pa.array([code.astype(np.int32).tobytes()], pa.binary()),
-                    pa.array([shape[rare][at].tobytes()], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), i64(words)),
+                    pa.array([words.tobytes()], pa.binary()),
                 ],
-                ["block", "ids", "sizes", "codes", "shapes", "words"],
+                ["block", "ids", "sizes", "codes", "words"],
             )
 
         for batch in all_chunks(batches, text):
-            found, shape, first = tokens(batch.column(text))
-            held.append((batch.column(key), found, shape, np.diff(first)))
+            words, _, first = tokens(batch.column(text))
+            held.append((batch.column(key), words, np.diff(first)))
             if sum(len(h[1]) for h in held) >= BLOCK_TOKENS:
                 yield block()
                 number += 1
@@ -289,9 +248,51 @@ def blocks_of(docs: DataFrame, classes, key: str, text: str) -> DataFrame:
             yield block()
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(
-        run, f"block string, ids array<{kind}>, sizes binary, codes binary, shapes binary, words array<long>"
-    )
+    return docs.select(key, text).mapInArrow(run, f"block string, ids array<{kind}>, sizes binary, codes binary, words binary")
+
+
+def _block_grams(sizes: pa.Scalar, codes: pa.Scalar, words: pa.Scalar):
+    """A block's token numbers by text, and its histories and n-grams."""
+    size = np.frombuffer(sizes.as_buffer(), np.int32)
+    first = np.concatenate(([0], np.cumsum(size, dtype=np.int64)))
+    return first, *grams(np.frombuffer(words.as_buffer(), U64)[np.frombuffer(codes.as_buffer(), np.int32)], first)
+
+
+def asked(blocks: DataFrame, bits: int, which: str) -> DataFrame:
+    """Each block's distinct n-grams, or its distinct histories, by bucket."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                _, histories, found, has = _block_grams(*(batch.column(c)[row] for c in ("sizes", "codes", "words")))
+                keys = np.unique(_flat(found if which == "grams" else histories, has))
+                cuts = _cuts(keys, bits)
+                some = np.flatnonzero(np.diff(cuts))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([batch.column("block")[row].as_py()] * len(some)), pa.array(some.astype(np.int32)), _bytes(keys, cuts, some)],
+                    ["block", "bucket", "keys"],
+                )
+
+    return blocks.select("block", "sizes", "codes", "words").mapInArrow(run, "block string, bucket int, keys binary")
+
+
+def _looked_up(asks: pa.Table, keys: np.ndarray, *values: np.ndarray) -> list[list[bytes]]:
+    """For each block that asks, the values of its keys; 0 where a key is not there."""
+    out: list[list[bytes]] = [[] for _ in values]
+    for row in asks["keys"]:
+        wanted = np.frombuffer(row.as_buffer(), U64)
+        at = np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
+        there = keys[at] == wanted if len(keys) else np.zeros(len(wanted), bool)
+        for o, value in zip(out, values, strict=True):
+            o.append((np.where(there, value[at], 0) if len(keys) else np.zeros(len(wanted))).astype(np.int64).tobytes())
+    return out
+
+
+ANSWER = "block string, bucket int, n binary, kinds binary, keys binary"
+
+
+def _answers(blocks: list, buckets, n: list, kinds: list, keys: list) -> pa.Table:
+    columns = [pa.array(blocks, pa.string()), pa.array(buckets, pa.int32()), *(pa.array(x, pa.binary()) for x in (n, kinds, keys))]
+    return pa.table(columns, ["block", "bucket", "n", "kinds", "keys"])
 
 
 def lm_scores(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -300,63 +301,81 @@ def lm_scores(docs: DataFrame, training: Column, key: str = "doc_id", text: str
     Columns: ``key``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` (unigrams with a
     floor) and ``score`` (the automaton), log10 probabilities of the whole text and its end. A null,
     empty or blank text is its end alone. Repeated rows score alike; training on them counts each.
-    Without training rows the base score is 0 for each token and all words share one probability.
-    Only the named columns are read. Words are told apart by a 64-bit hash.
+    Without training rows both scores are 0 for each token. Only the named columns are read. Words
+    and n-grams are told apart by a 64-bit hash.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark)
+    scratch = Scratch(docs.sparkSession)
     train = docs.where(training).select(text)
-    counts = scratch.keep(word_counts(train, text), "lm-words")
-    classes = classes_of(counts)
-    sent = spark.sparkContext.broadcast(classes)
-    least = classes.tokens * GRAM_SHARE
-    pairs, pair_n = gram_counts(train, sent, None, text, least)
-    triples, triple_n = np.zeros(0, U64), np.zeros(0, np.int64)
-    if len(pairs):
-        triples, triple_n = gram_counts(train, sent, spark.sparkContext.broadcast(pairs), text, least)
-    end = classes.counts[classes.words == U64(END)]
-    machine = spark.sparkContext.broadcast(
-        Automaton(classes, pairs, pair_n, triples, triple_n, int(end[0]) if len(end) else 0)
+    letters = train.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    # about six bytes a word, and three n-grams
+    bits = max(LEAST_BITS, math.ceil(math.log2(max(letters / 2 / BUCKET_GRAMS, 1))))
+
+    def arcs(left: pa.Table, right: pa.Table) -> pa.Table:
+        """A bucket's n-grams counted: what blocks asked for, and the tokens and distinct words of each history."""
+        keys, heads, n = _joined(left["keys"], U64), _joined(left["heads"], U64), _joined(left["n"], np.uint32)
+        order = np.argsort(keys)
+        keys, heads = keys[order], heads[order]
+        begin = np.flatnonzero(np.concatenate((np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1])))
+        n = np.add.reduceat(n[order].astype(np.int64), begin) if len(begin) else np.zeros(0, np.int64)
+        keys, heads = keys[begin], heads[begin]
+        told, = _looked_up(right, keys, n)
+        order = np.argsort(heads)
+        heads, n = heads[order], n[order]
+        begin = np.flatnonzero(np.concatenate((np.ones(min(len(heads), 1), bool), heads[1:] != heads[:-1])))
+        total = np.add.reduceat(n, begin) if len(begin) else n
+        kinds, heads = np.diff(np.append(begin, len(heads))), heads[begin]
+        cuts = _cuts(heads, bits)
+        some = np.flatnonzero(np.diff(cuts))
+        none, some_bytes = [None] * len(told), [_bytes(x, cuts, some).to_pylist() for x in (total, kinds.astype(np.int64), heads)]
+        return pa.concat_tables([
+            _answers(right["block"].to_pylist(), right["bucket"].to_pylist(), told, none, none),
+            _answers([None] * len(some), some, *some_bytes),
+        ])
+
+    def states(left: pa.Table, right: pa.Table) -> pa.Table:
+        """Tokens and distinct words behind the histories that blocks asked for, over all buckets of n-grams."""
+        heads, at = np.unique(_joined(left["keys"], U64), return_inverse=True)
+        n, kinds = np.zeros(len(heads), np.int64), np.zeros(len(heads), np.int64)
+        np.add.at(n, at, _joined(left["n"], np.int64))
+        np.add.at(kinds, at, _joined(left["kinds"], np.int64))
+        return _answers(right["block"].to_pylist(), right["bucket"].to_pylist(), *_looked_up(right, heads, n, kinds), [None] * right.num_rows)
+
+    blocks = scratch.keep(blocks_of(docs, key, text), "lm-blocks")
+    counted = scratch.keep(
+        gram_counts(train, bits, text).groupBy("bucket").cogroup(asked(blocks, bits, "grams").groupBy("bucket")).applyInArrow(arcs, ANSWER), "lm-arcs"
     )
-
-    blocks = scratch.keep(blocks_of(docs, sent, key, text), "lm-blocks")
-    asked = blocks.select("block", F.posexplode("words").alias("place", "word"))
-    rare = counts.where(F.col("n") < classes.tokens * WORD_SHARE).select("word", "n")
-    told = asked.join(rare, "word", "left").groupBy("block").agg(
-        F.array_sort(F.collect_list(F.struct("place", F.coalesce("n", F.lit(0)).alias("n")))).alias("told")
-    ).select("block", F.col("told.n").alias("counts"))
-    whole = blocks.drop("words").join(told, "block", "left")
-    names = [key, "n_tokens", "n_known", "base_score", "score"]
-
-    def score(rows: pa.Table) -> pa.Table:
-        auto, out = machine.value, []
-        known: Classes = auto.classes
-        for at in range(rows.num_rows):
-            row = rows.slice(at, 1)
-            ids = row["ids"].combine_chunks().flatten()
-            size = np.frombuffer(row["sizes"][0].as_py(), np.int32)
-            code = np.frombuffer(row["codes"][0].as_py(), np.int32).astype(np.int64)
-            shape = np.frombuffer(row["shapes"][0].as_py(), np.uint8).astype(np.int64)
-            count = row["counts"].combine_chunks().flatten().to_numpy().astype(np.float64)
-            first = np.concatenate(([0], np.cumsum(size, dtype=np.int64)))
-            floor = np.log10(known.tokens + FLOOR * (known.distinct + 1))
-            n = np.concatenate((known.counts, np.zeros(SHAPES), count))
-            base = (np.log10(n + FLOOR) - floor)[code]
-            within = np.log10(count + FLOOR) - np.log10(known.rare_tokens[shape] + FLOOR * (known.rare_words[shape] + 1))
-            inside = np.concatenate((np.zeros(known.size), within))[code]
-            group = np.concatenate((np.arange(known.size), len(known.words) + shape))[code]
-            seen = np.add.reduceat((n > 0)[code].astype(np.int64), first[:-1])
-            out.append(pa.table(
-                [ids, pa.array(size.astype(np.int64)), pa.array(seen), pa.array(np.add.reduceat(base, first[:-1])),
-                 pa.array(auto.score(group, first) + np.add.reduceat(inside, first[:-1]))], names,
-            ))
-        return pa.concat_tables(out)
+    partial = counted.where("block is null")
+    behind = partial.groupBy("bucket").cogroup(asked(blocks, bits, "histories").groupBy("bucket")).applyInArrow(states, ANSWER)
+    told = counted.where("block is not null").union(behind).drop("keys")
+    names = [key, "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+
+    def score(rows: pa.Table, told: pa.Table) -> pa.Table:
+        told = told.sort_by("bucket")
+        mine, own = told.filter(pc.is_null(told["kinds"])), told.filter(pc.is_valid(told["kinds"]))
+        first, histories, found, has = _block_grams(*(rows[c][0] for c in ("sizes", "codes", "words")))
+        count, total, kinds = _joined(mine["n"], np.int64), _joined(own["n"], np.int64), _joined(own["kinds"], np.int64)
+        keys, heads = np.unique(_flat(found, has)), np.unique(_flat(histories, has))
+        root = np.searchsorted(heads, ROOT)
+        tokens_, distinct = total[root], kinds[root]
+        seen = count[np.searchsorted(keys, found[0])]
+        weight = base = (seen + FLOOR) / (tokens_ + FLOOR * (distinct + 1))
+        for order, which in ((1, slice(None)), (2, has)):
+            n = count[np.searchsorted(keys, found[order][which])]
+            at = np.searchsorted(heads, histories[order][which])
+            lower = weight[which]
+            one = np.where(total[at] > 0, (np.maximum(n - DISCOUNT, 0) + DISCOUNT * kinds[at] * lower) / np.maximum(total[at], 1), lower)
+            weight = weight.copy()
+            weight[which] = one
+        add = lambda x: pa.array(np.add.reduceat(x, first[:-1]))
+        ids = rows["ids"].combine_chunks().flatten()
+        return pa.table(
+            [ids, pa.array(np.diff(first)), add((seen > 0).astype(np.int64)), pa.array(np.full(len(ids), tokens_)), add(np.log10(base)), add(np.log10(weight))], names
+        )
 
     kind = docs.schema[key].dataType.simpleString()
-    scored = whole.groupBy("block").applyInArrow(
-        score, f"`{key}` {kind}, n_tokens long, n_known long, base_score double, score double"
+    return blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
+        score, f"`{key}` {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
-    return scored.select(key, "n_tokens", "n_known", F.lit(classes.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def op6_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

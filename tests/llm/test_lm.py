@@ -73,3 +73,30 @@ def test_every_state_gives_out_one(spark):
         whole = machine.score(words, np.arange(0, len(words) + 1, 3))
         before = machine.score(np.array(history), np.array([0, 2]))[0]
         assert (10 ** (whole - before)).sum() == pytest.approx(1, abs=0.02)
+
+
+def test_rare_words_and_ngrams_count(spark):
+    """Interpolated weights by brute force, over a corpus so large that single n-grams have a tiny share of it."""
+    filler = [(i, " ".join(f"w{(i * 7 + j) % 50}" for j in range(2000))) for i in range(600)]
+    rare = [(10_000, "zyx uvw rst opq"), (10_001, "zyx uvw lmn opq")]
+    docs = spark.createDataFrame(filler + rare + [(20_000, "zyx uvw rst w1 never")], "doc_id long, text string")
+    n, behind = Counter(), {}
+    for _, text in filler + rare:
+        words = tokens(text)
+        for i, w in enumerate(words):
+            for history in ((), (words[i - 1] if i else "<s>",), *([(words[i - 2] if i > 1 else "<s>", words[i - 1])] if i else [])):
+                n[(*history, w)] += 1
+                behind.setdefault(history, Counter())[w] += 1
+    total, kinds = sum(behind[()].values()), len(behind[()])
+
+    def weight(history, w):
+        if not history:
+            return (n[(w,)] + 0.1) / (total + 0.1 * (kinds + 1))
+        lower, seen = weight(history[1:], w), behind.get(history)
+        return (max(n[(*history, w)] - 0.7, 0) + 0.7 * len(seen) * lower) / sum(seen.values()) if seen else lower
+
+    got = {r.doc_id: r.score for r in lm_scores(docs, F.col("doc_id") < 20_000).collect()}
+    for i, text in [*rare, (20_000, "zyx uvw rst w1 never"), filler[0]]:
+        words = tokens(text)
+        expected = sum(math.log10(weight((words[k - 2] if k > 1 else "<s>", words[k - 1]) if k else ("<s>",), w)) for k, w in enumerate(words))
+        assert got[i] == pytest.approx(expected, rel=1e-9), i

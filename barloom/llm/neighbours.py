@@ -1,12 +1,13 @@
 """Operator 3: nearest neighbours by largest inner product, with vantage-point trees per shard.
 
 Inner products become distances by one more coordinate: a candidate ``x`` gets
-``sqrt(M^2 - |x|^2)`` for the largest norm ``M`` of all, a query gets 0, and then
-``|q - x|^2 = |q|^2 + M^2 - 2 <q, x>``. Each shard holds a bounded number of vectors in a tree of
+``sqrt(M^2 - |x|^2)`` for the largest norm ``M`` of its shard, a query gets 0, and then
+``|q - x|^2 = |q|^2 + M^2 - 2 <q, x>``. Neighbours are ranked by the inner product itself, as a large
+``M`` would round it away. Each shard holds a bounded number of vectors in a tree of
 balls around vantage points; queries come in blocks of bounded size and go down together. The far
 side of a ball is left out when the triangle inequality shows nothing nearer there: when the gap to
-it, times ``factor``, exceeds the distance of the worst neighbour held. Factor 1 is exact; more is
-faster and may miss some.
+it, times ``factor``, exceeds the distance of the worst neighbour held. Factor 1 is exact, whatever
+the norms, and is the default; more is faster and may miss some, nearly all where norms differ widely.
 """
 
 from __future__ import annotations
@@ -22,15 +23,21 @@ from barloom.llm.texts import table
 SHARD, QUERY_BLOCK, LEAF = 4096, 4096, 128
 #: Neighbours held beyond those asked for, so that rounding cannot push one out.
 SPARE = 8
-FACTOR = 1.5
+FACTOR = 1.0
+#: Of the scale of distances, what rounding may shift one by.
+ROUNDING = 1e-12
 
 
 class VantageTree:
     """Balls around vantage points, down to leaves of at most ``LEAF`` points."""
 
-    def __init__(self, points: np.ndarray, seed: int = 7) -> None:
+    def __init__(self, points: np.ndarray, seed: int = 7, square: float | None = None) -> None:
+        """``square``: the squared norm that all points share, if they do."""
         self.points = points
-        self.square = (points**2).sum(axis=1)
+        own = (points**2).sum(axis=1)
+        self.level = float(own.min(initial=np.inf)) if square is None else square
+        #: Half of what a point's squared norm exceeds the level by.
+        self.half = (own - self.level) / 2 if square is None else np.zeros(len(points))
         self.random = np.random.default_rng(seed)
         self.root = self._grow(np.arange(len(points)))
 
@@ -54,19 +61,23 @@ class VantageTree:
         self.found = np.full((n, k), -1)
         self.queries, self.query_square, self.factor, self.k = queries, (queries**2).sum(axis=1), factor, k
         self.visited = 0
+        self.slack = ROUNDING * (np.sqrt(self.query_square) + np.sqrt((self.level + 2 * self.half).max(initial=0)))
         self._visit(self.root, np.arange(n), np.zeros(n))
         return self.found
 
     def _visit(self, node, who: np.ndarray, gap: np.ndarray) -> None:
         """Queries ``who`` enter a node to which their distance is at least ``gap``."""
-        near = gap * self.factor <= self.best[who].max(axis=1) if len(who) else np.zeros(0, bool)
+        if not len(who):
+            return
+        # held are half the squared distances without what all points share
+        worst = np.sqrt(np.maximum(self.query_square[who] + self.level + 2 * self.best[who].max(axis=1), 0))
+        near = gap * self.factor <= worst + self.slack[who]
         who, gap = who[near], gap[near]
         if not len(who):
             return
         if isinstance(node, np.ndarray):
             self.visited += len(who) * len(node)
-            squares = self.query_square[who][:, None] + self.square[node] - 2 * self.queries[who] @ self.points[node].T
-            distance = np.concatenate((self.best[who], np.sqrt(np.maximum(squares, 0))), axis=1)
+            distance = np.concatenate((self.best[who], self.half[node] - self.queries[who] @ self.points[node].T), axis=1)
             places = np.concatenate((self.found[who], np.broadcast_to(node, (len(who), len(node)))), axis=1)
             top = np.argpartition(distance, self.k - 1, axis=1)[:, : self.k]
             self.best[who] = np.take_along_axis(distance, top, axis=1)
@@ -84,7 +95,7 @@ class VantageTree:
         self._visit(inside, who[~first], to_inside[~first])
 
 
-def shard_neighbours(ids: np.ndarray, vectors: np.ndarray, norm: float, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float):
+def shard_neighbours(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int, factor: float):
     """(query, candidate, score) rows of each query's best ``k`` in one shard, the query's own id left out."""
     order = np.argsort(ids, kind="stable")
     ids, vectors = ids[order], vectors[order]
@@ -95,8 +106,8 @@ def shard_neighbours(ids: np.ndarray, vectors: np.ndarray, norm: float, query_id
     begin = np.searchsorted(copy[by_copy], np.arange(len(first)))
     size = np.minimum(np.diff(np.append(begin, len(ids))), k + 1)
     distinct = vectors[first].astype(np.float64)
-    extra = np.sqrt(np.maximum(norm**2 - (distinct**2).sum(axis=1), 0))
-    tree = VantageTree(np.column_stack((distinct, extra)))
+    squares = (distinct**2).sum(axis=1)
+    tree = VantageTree(np.column_stack((distinct, np.sqrt(squares.max() - squares))), square=float(squares.max()))
     exact = queries.astype(np.float64)
     held = tree.search(np.column_stack((exact, np.zeros(len(exact)))), min(k + 1 + SPARE, len(first)), factor)
     out_q, out_v, out_s = [], [], []
@@ -138,10 +149,8 @@ def nearest(
     )
     size = good.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), F.desc("size")).first()
     good = good.where(F.size("vector") == (size["size"] if size else 0)).withColumnRenamed("id", key)
-    square = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
-    told = good.agg(F.count("*").alias("n"), F.count_if(asks).alias("asked"), F.max(square).alias("square")).first()
+    told = good.agg(F.count("*").alias("n"), F.count_if(asks).alias("asked")).first()
     shards, blocks = max(1, math.ceil(told["n"] / SHARD)), max(1, math.ceil(told["asked"] / QUERY_BLOCK))
-    norm = math.sqrt(told["square"] or 0) * (1 + 1e-12)
 
     def spread(side: DataFrame, own: str, parts: int, other: str, of: int) -> DataFrame:
         return side.select(
@@ -158,7 +167,7 @@ def nearest(
         if not left.num_rows or not right.num_rows:
             found = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         else:
-            found = shard_neighbours(left["id"].to_numpy(), matrix(left), norm, right["id"].to_numpy(), matrix(right), k, factor)
+            found = shard_neighbours(left["id"].to_numpy(), matrix(left), right["id"].to_numpy(), matrix(right), k, factor)
         return pa.table([pa.array(x) for x in found], ["query_id", key, "score"])
 
     found = vectors.groupBy("shard", "block").cogroup(queries.groupBy("shard", "block")).applyInArrow(

@@ -70,3 +70,17 @@ def test_a_larger_factor_visits_less():
         tree.search(points[::50], 5, factor)
         visited.append(tree.visited)
     assert visited[1] <= visited[0] < len(points) * len(points[::50])
+
+
+@pytest.mark.parametrize("outlier", [5.0, 1e6])
+def test_widely_differing_norms_lose_nothing(spark, outlier):
+    rng = np.random.default_rng(5)
+    units = rng.normal(size=(2000, 16))
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    units[1::2] *= rng.uniform(0.2, 1, (1000, 1))
+    units[7] *= outlier
+    rows = [(i, v.astype(np.float32).tolist()) for i, v in enumerate(units)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = got_of(nearest(frame, F.col("vec_id") % 20 == 0, 20))
+    expected = brute_force(rows, lambda i: i % 20 == 0, 20)
+    assert {q: [i for i, _ in r] for q, r in got.items()} == {q: [i for i, _ in r] for q, r in expected.items()}

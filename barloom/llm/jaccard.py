@@ -114,8 +114,13 @@ def _identity(shingles: np.ndarray) -> int:
         return int(mix(np.array([total], U64)).view(np.int64)[0])
 
 
+def text_id(text: str) -> Column:
+    """What tells texts apart: rows may share a key or have none."""
+    return F.xxhash64(text).alias("text_id")
+
+
 def signatures(docs: DataFrame, n: int, tiles: Tiles, key: str, text: str) -> DataFrame:
-    """``key``, ``n_shingles``, ``set_id`` and the keys of each set; null keys for a copy in the task."""
+    """``key``, ``n_shingles``, ``text_id``, ``set_id`` and the keys of each set; null keys for a copy in the task."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in all_chunks(batches, text):
@@ -135,13 +140,13 @@ def signatures(docs: DataFrame, n: int, tiles: Tiles, key: str, text: str) -> Da
                 seen.add(ids[-1])
                 keys.append(tiles.keys(shingles).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(key), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                [key, "n_shingles", "set_id", "keys"],
+                [batch.column(key), pa.array(sizes, pa.int64()), batch.column("text_id"), pa.array(ids, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
+                [key, "n_shingles", "text_id", "set_id", "keys"],
             )
 
     kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(
-        run, f"`{key}` {kind}, n_shingles long, set_id long, keys array<long>"
+    return docs.select(key, text, text_id(text)).mapInArrow(
+        run, f"`{key}` {kind}, n_shingles long, text_id long, set_id long, keys array<long>"
     )
 
 
@@ -284,17 +289,8 @@ def _members(met: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
     return members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
 
-def jaccard_components(
-    docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, key: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """``key``, ``n_shingles`` (set size) and ``component_id``, one row for each row in.
-
-    ``component_id`` is the smallest key reachable by links. A text of fewer than ``n`` words is one
-    shingle. A null, empty or blank text has no shingles, links with nothing and is its own
-    component; a row without key takes its component's smallest key, or null. Repeated rows are
-    copies like any other. Only ``key`` and ``text`` are read, so other names cannot clash.
-    Shingles are 64-bit hashes; sets are told apart by a 64-bit hash of theirs.
-    """
+def _components(docs: DataFrame, n: int, num: int, den: int, key: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Rows as ``key``, ``n_shingles``, ``text_id``, ``set_id``; and sets as ``set_id``, ``label``, ``component_id``."""
     spark = docs.sparkSession
     scratch = Scratch(spark)
     tiles = Tiles(num, den)
@@ -307,11 +303,11 @@ def jaccard_components(
         .where("first <> last").select("key", "set_id", "first"), "jaccard-met",
     )
     # the keys are the bulk of the signatures, and have met now
-    signed = scratch.keep(signed.select(key, "n_shingles", "set_id"), "jaccard-sizes")
+    signed = scratch.keep(signed.select(key, "n_shingles", "text_id", "set_id"), "jaccard-sizes")
     scratch.drop("jaccard-signatures")
     wanted = met.select("set_id").distinct()
-    one = signed.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min(key).alias(key))
-    texts = docs.select(key, text).join(one.select(key).distinct(), key, "left_semi")
+    one = signed.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min("text_id").alias("text_id"))
+    texts = docs.select(text_id(text), text).groupBy("text_id").agg(F.first(text).alias(text)).join(one.select("text_id").distinct(), "text_id", "left_semi")
     sets = scratch.keep(
         shingle_sets(texts, n, text).join(wanted, "set_id", "left_semi").dropDuplicates(["set_id"]), "jaccard-sets"
     )
@@ -342,13 +338,48 @@ def jaccard_components(
         "set_id", "least", F.coalesce("label", "set_id").alias("label")
     )
     smallest = numbered.groupBy("label").agg(F.min("least").alias("component_id"))
-    owner = scratch.keep(numbered.join(smallest, "label").select("set_id", "component_id"), "jaccard-components")
+    owner = scratch.keep(numbered.join(smallest, "label").select("set_id", "label", "component_id"), "jaccard-components")
     scratch.drop("jaccard-met", "jaccard-sets", "jaccard-first")
+    return signed, owner
+
+
+def jaccard_components(
+    docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """``key``, ``n_shingles`` (set size) and ``component_id``, one row for each row in.
+
+    ``component_id`` is the smallest key reachable by links. A text of fewer than ``n`` words is one
+    shingle. A null, empty or blank text has no shingles, links with nothing and is its own
+    component; a row without key takes its component's smallest key, or null. Repeated rows are
+    copies like any other. Only ``key`` and ``text`` are read, so other names cannot clash.
+    Shingles are 64-bit hashes; sets and texts are told apart by a 64-bit hash of theirs.
+    """
+    signed, owner = _components(docs, n, num, den, key, text)
     return signed.select(key, "n_shingles", "set_id").join(owner, "set_id", "left").select(
         key, "n_shingles", F.when(F.col("set_id").isNull(), F.col(key)).otherwise(F.col("component_id")).alias("component_id")
     )
 
 
+def one_of_each_component(
+    docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """Of the rows of a component, the first by key (null last), hash of the text and the other columns.
+
+    Rows are told apart by their texts, so a key may repeat with other texts or be missing. Null,
+    empty and blank texts link with nothing and all stay.
+    """
+    signed, owner = _components(docs, n, num, den, key, text)
+    first = signed.join(owner.select("set_id", "label"), "set_id").groupBy("label").agg(
+        F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), "text_id")).alias("first")
+    ).select(F.col("first.text_id").alias("__text"))
+    worded = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    others = [F.to_json(F.struct(*[f"`{c}`" for c in docs.columns if c not in (key, text)]))] if len(docs.columns) > 2 else []
+    order = Window.partitionBy("__text").orderBy(F.col(key).asc_nulls_last(), *others)
+    # copies of a text meet by its hash, all but the first of each task left out before
+    copies = docs.where(worded).withColumn("__text", text_id(text)).withColumn("__place", F.row_number().over(order)).where("__place = 1")
+    return copies.join(first, "__text", "left_semi").select(*[f"`{c}`" for c in docs.columns]).union(docs.where(~worded))
+
+
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), n=4, num=85, den=100)
 

@@ -64,5 +64,18 @@ def test_odd_rows_pass_every_stage(spark, odd, sf):
     assert ids == sorted(["1", "2", "3", "4", "5", "7", "8", "None"])
 
 
+def test_near_copies_by_text_and_not_by_id(spark):
+    """Ids that repeat with different texts, and rows without id, met as near copies or not."""
+    words = [f"w{i}" for i in range(100)]
+    base, near, nameless = " ".join(words), " ".join([*words[:-1], "x"]), [f"n{i}" for i in range(100)]
+    rows = [(3, base), (5, near), (5, "a text all of its own"), (5, "a text all of its own"), (None, base), (7, None), (7, ""),
+            (None, " ".join(nameless)), (None, " ".join(nameless)), (None, " ".join(["y", *nameless[1:]])), (None, "")]
+    frame = spark.createDataFrame([(*r, "en", n) for n, r in enumerate(rows)], "doc_id long, text string, lang string, n_chars int")
+    kept = [(r.doc_id, r.text) for r in pipeline.keep_one_of_near_copies(spark, frame, "").collect()]
+    whole = [t for i, t in kept if i is None and t]
+    assert len(whole) == 1 and whole[0].endswith("n99")
+    assert sorted((str(i), str(t)) for i, t in kept if not (i is None and t)) == [("3", base), ("5", "a text all of its own"), ("7", ""), ("7", "None"), ("None", "")]
+
+
 def test_every_operator_is_registered():
     assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}

@@ -3,7 +3,7 @@
 A rule is a regular expression over a text's words (A-Z lowered, joined by single spaces), with a
 keyword, a label and a priority. Rules come from families of licenses and from forms of speech, so
 a new family or form adds one line. A text is searched only if a cheap look at the raw text finds
-one of the keyword stems, and then only by rules whose keyword occurs in it. A detection that lies
+one of the rules' keywords, and then only by rules whose keyword occurs in it. A detection that lies
 inside another one of at least its priority is dropped; of equal ones the higher priority stays.
 """
 
@@ -83,14 +83,9 @@ NOTICES = [
     ("isc", "with or without fee", "permission to use copy modify and or distribute this software for any purpose with or without fee", 5, 0.95),
 ]
 
-#: What a text must show before its words are looked at; plain stems, any case.
-GATE = (
-    "(?i)licen[cs]e|spdx|copyright|reserved|public domain|confidential|redistribution|hereby granted|without fee"
-    r"|cc[^0-9a-z]+by|cc0|unlicense|wtfpl|gpl|general[^0-9a-z]+public|mozilla|apache|eclipse|artistic|creative[^0-9a-z]+commons"
-    r"|(?:under|the)[^0-9a-z]+(?:the[^0-9a-z]+)?(?:mit|x11|isc|zlib|boost|bsd|gnu|php|postgresql|python|common|european|open|microsoft|sil)[^0-9a-z]"
-    r"|(?:mit|x11|isc|zlib|boost|bsd|php|postgresql|foundation|public|font|database|documentation|reciprocal)[^0-9a-z]+(?:v|ver|version)?[^0-9a-z]*[0-9]"
-)
 _OTHER = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What parts words in the raw text.
+_BETWEEN = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 TOP = 6
 BASE_CONFIDENCE = {"cc-by": 0.7, "gpl": 0.8, "reserved": 0.6}
@@ -111,6 +106,20 @@ def rules() -> list[tuple[str, str, str, int, float]]:
     return [(label, keyword, f"(?<= ){words}(?= )", priority, sure) for label, keyword, words, priority, sure in made]
 
 
+def gate() -> str:
+    """What a text must show before its words are looked at: any rule's keyword, in any case and with anything between words.
+
+    Every match of a rule holds its keyword, as whole words unless a blank may be left out, so no
+    text that a rule matches is passed over.
+    """
+    loose = {keyword for _, keyword, expression, *_ in rules() if " ?" in expression}
+    keywords = {keyword for _, keyword, *_ in rules()}
+    # a keyword that holds another's words needs no branch of its own
+    least = sorted(k for k in keywords if k in loose or not any(o != k and f" {o} " in f" {k} " for o in keywords))
+    words = [k.replace(" ", f"[{_BETWEEN}]+") for k in least]
+    return "(?i)" + "|".join(w if k in loose else f"(?<![^{_BETWEEN}]){w}(?![^{_BETWEEN}])" for k, w in zip(least, words, strict=True))
+
+
 def _spaces(x: Column) -> Column:
     return F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit("")))
 
@@ -180,7 +189,7 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
         return F.struct(base.alias("base"), _kept(search(spaced, signatures)).alias("detections"))
 
     # the array of one text binds its words once for all rules
-    found = F.when(value.rlike(GATE), F.transform(F.array(words), all_of)[0])
+    found = F.when(value.rlike(gate()), F.transform(F.array(words), all_of)[0])
     return docs.withColumn("n_words", F.regexp_count(value, F.lit(_WORD)).cast("long")).withColumn("_found", found).withColumn(
         "base", F.coalesce(F.col("_found.base"), F.array().cast("array<struct<label:string,first:int>>"))
     ).withColumn(

@@ -142,6 +142,28 @@ def test_rules_are_many_and_gated():
         assert keyword == keyword.lower()
 
 
+def made_from(expression):
+    """A text that an expression matches: the first of each group's forms, optional parts left out."""
+    text = expression.removeprefix("(?<= )").removesuffix("(?= )").replace("[cs]", "s").replace("[0-9]{2}", "19").replace("[0-4]", "3")
+    while "(?:" in text:
+        text = re.sub(r"\(\?:([^()]*)\)([?+]?)", lambda m: "" if m[2] == "?" else m[1].split("|")[0], text)
+    return re.sub(".[?]", "", text)
+
+
+def test_no_rule_is_lost_to_the_gate(spark):
+    texts = ["Released under the New BSD.", "Published under the Simplified BSD", "distributed under terms of PostgreSQL.",
+             "Released under the terms of Zlib.", "released under MIT", "available under the free documentation", "placed in the public\ndomain",
+             "permission is hereby\ngranted free of charge to any person obtaining a copy"]
+    for n, (_, keyword, expression, *_) in enumerate(licenses.rules()):
+        text = made_from(expression)
+        assert keyword in text and re.search(expression, f" {text} "), expression
+        texts += [text.upper(), text.replace(" ", "\n* " if n % 2 else "--")]
+    frame = spark.createDataFrame([(t,) for t in dict.fromkeys(texts)], "text string")
+    for r in licenses.scan_licenses(frame).collect():
+        found = [(d["first"], d["last"], d["priority"], d["label"]) for d in r.detections]
+        assert found and found == detections_of(r.text), r.text
+
+
 def test_license_query(spark, sf):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     rows = QUERIES["op9_license_scan"](spark, sf).collect()

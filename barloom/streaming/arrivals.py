@@ -16,6 +16,7 @@ from barloom.functions import wall_clock
 from barloom.operators import base_rows
 from barloom.plans.day_job import aggregate_day
 from barloom.schema import DEFAULT_ZONE, RAW
+from barloom.sources import read_raw
 
 
 def touched_dates(documents: DataFrame, zone: str = DEFAULT_ZONE) -> tuple[list[date], list[date]]:
@@ -32,6 +33,14 @@ def touched_dates(documents: DataFrame, zone: str = DEFAULT_ZONE) -> tuple[list[
     return local, sorted({r.landed for r in dates if r.landed})
 
 
+def landings(documents: DataFrame, zone: str = DEFAULT_ZONE) -> DataFrame:
+    """Pairs of a candle's local date and the date it landed on: ``local``, ``landed``."""
+    landed = F.try_to_date(F.concat_ws("-", "year", "month", "day"), "yyyy-MM-dd")
+    rows = base_rows(documents.withColumn("exchange", F.struct("exchange", landed.alias("landed"))))
+    pairs = rows.select(wall_clock(F.col("ts"), zone).cast("date").alias("local"), "exchange.landed")
+    return pairs.where("local is not null and landed is not null").distinct()
+
+
 def rebuild_on_arrival(
     spark: SparkSession,
     input_path: str,
@@ -45,16 +54,26 @@ def rebuild_on_arrival(
 ) -> StreamingQuery:
     """Start the stream. Without ``interval`` it handles what has landed and then ends.
 
-    Each batch is one job over all local dates that its candles touch. It reads the landing dates
-    of the batch and those up to ``landing_reach`` days around the touched dates, which must cover
-    how far from its own date a candle may land. ``checkpoint_path`` must be a folder the whole
-    cluster can reach.
+    Each batch is one job over all local dates that its candles touch. It reads every landing date on
+    record for them, however late, and those up to ``landing_reach`` days around. The record is a
+    table in ``checkpoint_path``, to which each batch adds its own pairs first; a stream begun without
+    one goes through the whole archive once. ``checkpoint_path`` must be a folder the whole cluster
+    can reach.
     """
+    record = f"{str(checkpoint_path).rstrip('/')}/landings"
+
+    def on_record() -> bool:
+        path = spark._jvm.org.apache.hadoop.fs.Path(record)
+        return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
-    def rebuild(documents: DataFrame, _batch_id: int) -> None:
+    def rebuild(documents: DataFrame, batch_id: int) -> None:
         local, landed = touched_dates(documents, zone)
+        new = documents if batch_id == 0 or on_record() else read_raw(spark, input_path, multi_line=multi_line)
+        landings(new, zone).write.mode("overwrite").parquet(f"{record}/batch={batch_id}")
         if not local:
             return
+        known = spark.read.schema("local date, landed date").parquet(record)
+        landed += [r.landed for r in known.where(F.col("local").isin(local)).select("landed").distinct().collect()]
         around = {d + timedelta(days=i) for d in local for i in range(-landing_reach, landing_reach + 1)}
         aggregate_day(
             spark, input_path, output_path, local, sorted({*around, *landed}), zone=zone, multi_line=multi_line

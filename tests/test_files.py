@@ -388,3 +388,15 @@ def test_stream_rebuilds_touched_days(spark, landed, tmp_path):
     second = run()
     assert [r for r in second if r[5] == "06"] == [r for r in first if r[5] == "06"]
     assert {r[7] for r in second if r[5] == "07"} == {901.0}
+
+
+def test_stream_keeps_what_landed_long_after(spark, tmp_path):
+    """Two backfills of one local day, landed days apart in batches of their own."""
+    base, out, checkpoint = tmp_path / "raw", str(tmp_path / "bars"), str(tmp_path / "checkpoint")
+    for day, ts in (("06", B), ("11", B + 600), ("15", B + 1200)):
+        land(base, "NSE_A-EQ", f"v{day}", {"candles": [candle(ts, int(day))]}, day=day)
+        assert rebuild_on_arrival(spark, str(base), out, checkpoint).awaitTermination(120)
+    whole = str(tmp_path / "whole")
+    aggregate_day(spark, str(base), whole, "all", "all")
+    columns = (*sinks.BAR_PARTITIONS, "interval_start_epoch", "close", "volume")
+    assert triples(sources.read_bars(spark, out), *columns) == triples(sources.read_bars(spark, whole), *columns)

@@ -201,17 +201,18 @@ def replace_entities(docs: DataFrame, key: str, id_column: str = "doc_id", text:
     """All columns of ``docs``, with every mention in ``text`` replaced, and the number of mentions.
 
     A column named as ``count`` is replaced; ``count=None`` adds none. Null and empty texts stay as
-    they are. Repeated rows get the same text. Rows need no unique id: replacements are gathered by
-    the value of ``id_column``, null included.
+    they are. Repeated rows get the same text. Rows need no id: replacements are gathered by a
+    64-bit hash of the text and its length, so what meets is bounded by one text.
     """
     scratch = Scratch(docs.sparkSession)
     plain = docs.drop(*({count} - {text, id_column, None})) if count else docs
     order = [*plain.columns, *([count] if count else [])]
     found = plain.withColumn("__mentions", mentions(F.col(text)))
+    own = [F.xxhash64(text).alias("__id"), F.length(text).alias("__size")]
     with_some = found.where(F.size("__mentions") > 0)
     without = found.where(F.size("__mentions") == 0)
     said = scratch.keep(
-        with_some.select(F.col(id_column).alias("__id"), F.explode(F.array_distinct("__mentions")).alias("mention")).distinct(), "pii-mentions"
+        with_some.select(*own, F.explode(F.array_distinct("__mentions")).alias("mention")).distinct(), "pii-mentions"
     )
     forms = scratch.keep(
         said.select("mention").distinct().select("mention", F.posexplode(parts(F.col("mention"))).alias("at", "part"))
@@ -224,8 +225,10 @@ def replace_entities(docs: DataFrame, key: str, id_column: str = "doc_id", text:
     new = scratch.keep(
         shown.groupBy("mention").agg(F.array_join(F.array_sort(F.collect_list(F.struct("at", "shown"))).getField("shown"), "").alias("new")), "pii-shown"
     )
-    maps = said.join(new, "mention").groupBy("__id").agg(F.map_from_entries(F.collect_list(F.struct("mention", "new"))).alias("__new"))
-    joined = with_some.join(maps, with_some[id_column].eqNullSafe(maps["__id"]), "left").drop("__id")
+    maps = said.join(new, "mention").groupBy("__id", "__size").agg(F.map_from_entries(F.collect_list(F.struct("mention", "new"))).alias("__new"))
+    # written, so that the join's shuffles stand alone and a text of many copies can be split
+    maps = scratch.keep(maps, "pii-maps")
+    joined = with_some.select("*", *own).join(maps, ["__id", "__size"], "left").drop("__id", "__size")
     pieces = F.split(F.col(text), MENTION, -1)
     put = F.zip_with(
         pieces, F.transform("__mentions", lambda m: F.element_at("__new", m)),

@@ -211,6 +211,27 @@ def test_forms_coreference_and_distinctness(spark):
     assert again == set(rows) != {r.text for r in replace_entities(frame, "other").collect()}
 
 
+def test_replacements_are_gathered_by_text(spark, monkeypatch):
+    """Rows without id or of one id: no group holds the mentions of more than one text."""
+    from barloom.llm.scratch import Scratch
+
+    groups, keep = [], Scratch.keep
+
+    def counted(self, rows, name):
+        out = keep(self, rows, name)
+        if name == "pii-mentions":
+            ids = [c for c in out.columns if c != "mention"]
+            groups.extend(r["count"] for r in out.groupBy(*ids).count().collect())
+        return out
+
+    monkeypatch.setattr(Scratch, "keep", counted)
+    texts = [(i, f"mail u{n}@q{n}.co and v{n}@q{n}.co") for i in (None, 7) for n in range(20)]
+    got = replace_entities(spark.createDataFrame(texts, "doc_id long, text string"), "k").collect()
+    assert max(groups) == 2 and len(got) == len(texts)
+    assert all(r.n_replaced == 2 and r.text.startswith("mail ") and r.text.count("@") == 2 for r in got)
+    assert not {r.text for r in got} & {t for _, t in texts}
+
+
 def test_small_rooms_still_give_distinct_surrogates(spark):
     mails = [f"{a}@q.co" for a in "abcdefghijklmnopqrstuvwxyz"]
     frame = spark.createDataFrame([(i, m) for i, m in enumerate(mails)], "doc_id long, text string")

@@ -16,6 +16,7 @@ from barloom.llm.neighbours import op3_nearest
 from barloom.llm.surrogates import op10_surrogates
 from barloom.llm.token_counts import op8_token_counts
 from barloom.llm.toxicity import op5_toxicity
+from barloom.llm.whitening import op12_whitening
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_license_scan": op9_license_scan,
     "op10_surrogates": op10_surrogates,
+    "op12_whitening": op12_whitening,
 }
 
 ORACLES: dict[str, str] = {

@@ -13,6 +13,7 @@ from barloom.llm.jaccard import OP4_SQL, op4_ngram_jaccard
 from barloom.llm.licenses import op9_license_scan
 from barloom.llm.lm import op6_lm_scores
 from barloom.llm.neighbours import op3_nearest
+from barloom.llm.prefix_trie import OP11_SQL, op11_prefix_trie
 from barloom.llm.quality import op13_quality
 from barloom.llm.surrogates import op10_surrogates
 from barloom.llm.token_counts import op8_token_counts
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_license_scan": op9_license_scan,
     "op10_surrogates": op10_surrogates,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_whitening": op12_whitening,
     "op13_quality": op13_quality,
 }
@@ -38,4 +40,5 @@ ORACLES: dict[str, str] = {
     "op2_chat_format": OP2_SQL,
     "op4_ngram_jaccard": OP4_SQL,
     "op7_decontamination": OP7_SQL,
+    "op11_prefix_trie": OP11_SQL,
 }

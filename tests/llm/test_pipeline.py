@@ -78,4 +78,4 @@ def test_near_copies_by_text_and_not_by_id(spark):
 
 
 def test_every_operator_is_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}

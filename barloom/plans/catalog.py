@@ -177,6 +177,35 @@ def src_bars_month_end(spark, sf):
     return sources.read_bars(spark, folder, timeframe="1d", start="2024-01-30", end="2024-02-02")
 
 
+@query("src_dated_bars", o.with_(
+    *EVENTS,
+    body=f"""select * from ({o.bars('5m')}) where symbol in ('click', 'view', 'S7')
+    and year || month || day between '20240110' and '20240202'""",
+))
+def src_dated_bars(spark, sf):
+    """SNK-2, SRC-5 in the layout by width and date: some symbols of one width, across months."""
+    folder = scratch_folder(spark, "dated")
+    sinks.write_dated_bars(op.all_timeframes(event_candles(spark, sf), unique_ts=True), folder)
+    return sources.read_dated_bars(
+        spark, folder, timeframe="5m", symbols=["click", "view", "S7"], start="2024-01-10", end="2024-02-02"
+    )
+
+
+@query("snk_dated_overwrite", o.with_(
+    *EVENTS,
+    body=f"""select * replace (case when year || '-' || month || '-' || day = '{SAMPLE_DAY}'
+        then volume + 1000 else volume end as volume) from ({o.bars('15m')})""",
+))
+def snk_dated_overwrite(spark, sf):
+    """SNK-2 in the layout by width and date: a corrected day replaces its folder only."""
+    folder = scratch_folder(spark, "dated")
+    bars = op.resample(event_candles(spark, sf), M15)
+    sinks.write_dated_bars(bars, folder)
+    corrected = op.on_session_date(bars, SAMPLE_DAY).withColumn("volume", F.col("volume") + 1000)
+    sinks.write_dated_bars(corrected, folder)
+    return sources.read_dated_bars(spark, folder)
+
+
 @query("src_raw_multi_line", o.with_(
     f"""days as (
     select 'NSE_' || upper(event_type) || '-EQ' as symbol, 'NSE' as exchange,
@@ -673,6 +702,19 @@ def day_job_whole_archive(spark, sf):
     return sources.read_bars(spark, output)
 
 
+@query("day_job_dated", o.with_(
+    *ROWS,
+    o.DOCUMENT_CANDLES.replace("from document_rows", "from document_rows where status <> 'error'"),
+    body=o.all_bars(),
+))
+def day_job_dated(spark, sf):
+    """OP-5 for every date, written by width and date."""
+    output = scratch_folder(spark, "bars")
+    landed = landed_documents(spark, sf)
+    aggregate_day(spark, landed, output, ALL_DATES, ALL_DATES, multi_line=False, layout="dated")
+    return sources.read_dated_bars(spark, output)
+
+
 @query("day_job_one_date", o.with_(
     *ROWS,
     f"""day_rows as (

@@ -16,7 +16,7 @@ from barloom.operators import (
 )
 from barloom.schema import CANDLE_KEY, DEFAULT_ZONE, ENVELOPE, SERIES, TIMEFRAMES, Timeframe
 from barloom.session import get_session
-from barloom.sinks import folder_writers, write_bars
+from barloom.sinks import folder_writers, write_bars, write_dated_bars
 from barloom.sources import load_raw
 
 ALL_DATES = "all"
@@ -80,6 +80,7 @@ def aggregate_day(
     salvage: bool = False,
     multi_line: bool = True,
     writers: int | None = None,
+    layout: str = "series",
 ) -> DayReport:
     """Read landed documents, build every bar width, replace the bar folders they fall in.
 
@@ -88,11 +89,15 @@ def aggregate_day(
     lifts either filter, so one run can rebuild the whole archive. ``salvage`` keeps the good
     candles of documents with bad ones, which otherwise count as empty. Only candles of bars
     that will be written go on; where there is none, no bar is touched, whatever the mode.
+    ``layout`` is ``"series"`` for a folder a series and day (``write_bars``) or ``"dated"`` for one a
+    width and day (``write_dated_bars``), whose dates are replaced with all their symbols.
 
     Two shuffles in all: copies of a candle meet by (symbol, ts), then each local day of a
     series meets once for all widths and the write. A dynamic run reads its input once; a static
     one, which would replace the whole target, first asks whether there is a candle at all.
     """
+    if layout not in ("series", "dated"):
+        raise ValueError(f"unknown layout {layout!r}")
     days = _days(session_date, local_date(zone))
     landed = _days(raw_date, days if days is not None else local_date(zone))
     raw = load_raw(spark, input_path, landed, text=salvage, multi_line=multi_line)
@@ -119,9 +124,13 @@ def aggregate_day(
     candle_count, bar_count = Observation("candles"), Observation("bars")
     newest = dedup_latest(rows, keys).observe(candle_count, count.alias("rows"))
     unique = set(keys) <= {"ts", *SERIES}
-    bars = day_bars(newest, days, timeframes, zone, unique, writers).observe(bar_count, count.alias("rows"))
-    clustered = unique and common_home(timeframes, zone) is not None
-    write_bars(bars, output_path, mode, clustered=clustered, writers=writers)
+    bars = day_bars(newest, days, timeframes, zone, unique, writers)
+    if layout == "dated":
+        write_dated_bars(bars, output_path, mode, files=writers, counted=bar_count)
+    else:
+        bars = bars.observe(bar_count, count.alias("rows"))
+        clustered = unique and common_home(timeframes, zone) is not None
+        write_bars(bars, output_path, mode, clustered=clustered, writers=writers)
     some = kept.get["rows"] > 0
     return DayReport(
         candles=candle_count.get["rows"] if some else 0,
@@ -145,6 +154,7 @@ def main(argv: Sequence[str] | None = None) -> DayReport:
     parser.add_argument("--salvage", action="store_true")
     parser.add_argument("--json-lines", action="store_true", help="documents are JSON Lines")
     parser.add_argument("--writers", type=int, help="tasks that write folders")
+    parser.add_argument("--layout", choices=("series", "dated"), default="series")
     args = parser.parse_args(argv)
     session_date = args.date or local_date(args.zone, args.days_back)
 
@@ -162,6 +172,7 @@ def main(argv: Sequence[str] | None = None) -> DayReport:
         salvage=args.salvage,
         multi_line=not args.json_lines,
         writers=args.writers,
+        layout=args.layout,
     )
     print(
         f"{session_date}: {report.candles} candles, {report.bars} bars from {report.documents} documents; "

@@ -50,6 +50,10 @@ SERIES = ("symbol", "exchange")  # one price series
 # Epoch seconds a wall clock can show in any zone: years 1 to 9999, less a day at either end.
 TS_RANGE = (-62_135_510_400, 253_402_214_400)
 
+# The layout by width and date: the columns of bars with one date in place of three strings.
+DATED_PARTITIONS = ("timeframe", "date")
+DATED_COLUMNS = ("symbol", "exchange", "interval_start", "interval_start_epoch", *CANDLE_FIELDS[1:], *DATED_PARTITIONS)
+
 # Identity of a base candle; exchange is not part of it. The number goes first because Spark
 # sorts by it faster than by text.
 CANDLE_KEY = ("ts", "symbol")
@@ -106,3 +110,5 @@ BAR = T.StructType([
     *_strings(("year", "month", "day")),
     *[T.StructField(name, T.DoubleType()) for name in CANDLE_FIELDS[1:]],
 ])
+
+DATED_BAR = T.StructType([BAR[name] for name in DATED_COLUMNS[:-1]] + [T.StructField("date", T.StringType())])

@@ -10,6 +10,7 @@ from barloom.functions import iso_date_parts, symbol_key
 from barloom.schema import (
     BAR_PARTITIONS, DEAD_LETTER_PARTITIONS, DEFAULT_EXCHANGE, ENVELOPE, RAW_PARTITIONS,
 )
+from barloom.sinks.dated import write_dated_bars
 
 
 def folder_writers(spark: SparkSession) -> int:
@@ -87,4 +88,4 @@ def _append_json(rows: DataFrame, path: str, folders: Sequence[str], one_per_fil
     )
 
 
-__all__ = ["folder_writers", "land_raw", "write_bars", "write_dead_letters"]
+__all__ = ["folder_writers", "land_raw", "write_bars", "write_dated_bars", "write_dead_letters"]

@@ -1,10 +1,11 @@
 """Scans."""
 
 from barloom.sources.bars import read_bars
+from barloom.sources.dated import read_dated_bars
 from barloom.sources.lists import parse_tickers, read_dead_letters, read_tickers
 from barloom.sources.raw import load_raw, on_raw_date, parse_raw, read_raw
 
 __all__ = [
-    "load_raw", "on_raw_date", "parse_raw", "parse_tickers", "read_bars", "read_dead_letters", "read_raw",
+    "load_raw", "on_raw_date", "parse_raw", "parse_tickers", "read_bars", "read_dated_bars", "read_dead_letters", "read_raw",
     "read_tickers",
 ]

@@ -13,10 +13,12 @@ from barloom.functions import (
 from barloom.operators import branches
 from barloom.plans import feeds, oracle as o
 from barloom.plans.day_job import ALL_DATES, aggregate_day
+from barloom.plans.incremental import merge_arrivals, squash_candles, stored_candles
 from barloom.schema import (
     BAR_COLUMNS, CANDLE_FIELDS, CANDLE_KEY, ENVELOPE, TIMEFRAMES, Timeframe,
 )
 from barloom.session import scratch_folder
+from barloom.streaming.bars import start_bar_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -849,3 +851,70 @@ def dq_salvaged_candles(spark, sf):
     """DQ-2: the usable candles, also from documents with bad ones."""
     rows = op.salvaged_rows(parsed_documents(spark, sf))
     return rows.withColumn("pos", F.col("pos").cast("bigint"))
+
+
+# Bars kept up to date ---------------------------------------------------------------------
+
+def merged_documents(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """The documents in three batches, the newest first: a store of candles and its bars.
+
+    Candles overlap between batches, as a document also holds the minute after its own.
+    """
+    store, output = scratch_folder(spark, "store"), scratch_folder(spark, "bars")
+    documents = feeds.event_documents(spark, sf).where(f"{ENVELOPE}.s <> 'error'").withColumn("symbol", symbol_key(F.col("symbol")))
+    at = F.col("ingest_ts")
+    for n, part in enumerate([at >= "2024-01-21", (at >= "2024-01-11") & (at < "2024-01-21"), at < "2024-01-11"]):
+        merge_arrivals(spark, documents.where(part), store, output, n)
+    return store, output
+
+
+LANDED_CANDLES = (*ROWS, o.DOCUMENT_CANDLES.replace("from document_rows", "from document_rows where status <> 'error'"))
+
+
+@query("incremental_bars", o.with_(*LANDED_CANDLES, body=o.all_bars()))
+def incremental_bars(spark, sf):
+    """AGG-1 to AGG-3, OP-4: batches merged into stored candles and the bars that they touch."""
+    return sources.read_dated_bars(spark, merged_documents(spark, sf)[1])
+
+
+@query("incremental_candles", o.with_(
+    *LANDED_CANDLES,
+    body="select * from candles where strftime(" + o.clock("ts") + f", '%Y-%m-%d') in ('{DAY_BEFORE}', '{SAMPLE_DAY}')",
+))
+def incremental_candles(spark, sf):
+    """AGG-5: the newest copies that the store holds of some dates, after their batches became one."""
+    store, _ = merged_documents(spark, sf)
+    squash_candles(spark, store, [SAMPLE_DAY])
+    return stored_candles(spark, store, [DAY_BEFORE, SAMPLE_DAY]).drop("ingest_ts", "pos")
+
+
+@query("stream_bars_15m", o.with_(*EVENTS, body=o.bars("15m")))
+def stream_bars_15m(spark, sf):
+    """AGG-5 and 2.11: bars from a stream of deliveries, of which the newest counts.
+
+    Three parts of the month land one after the other; what is delivered again lands with the part
+    after its own, within the delay. A candle of two months later closes the last bars.
+    """
+    raw, output, check = (scratch_folder(spark, n) for n in ("raw", "bars", "check"))
+    documents = feeds.delivery_documents(spark, sf)
+    first, middle, last = ("2024-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2024-02-01")
+    closing = documents.agg((F.max("ts") + 60 * 86_400).cast("double").alias("t")).select(
+        F.lit("closing").alias("symbol"), F.lit("NSE").alias("exchange"), F.lit("2024-04-01T00:00:00Z").alias("ingest_ts"),
+        F.struct(F.array(F.array(F.col("t"), *[F.lit(0.0)] * 5)).alias("candles"), F.lit("ok").alias("s")).alias(ENVELOPE),
+    )
+
+    def landing(fresh, again):
+        parts = [
+            documents.where((F.col("ingest_ts") >= a) & (F.col("ingest_ts") < b) & (F.col("ingest_seq") == seq)).drop("ts", "ingest_seq")
+            for seq, span in ((1, fresh), (2, again)) if span for a, b in [span]
+        ]
+        return op.union_timeframes(parts if fresh else [*parts, closing])
+
+    for fresh, again in ((first, None), (middle, first), (last, middle), (None, last)):
+        sinks.land_raw(landing(fresh, again), raw, one_per_file=False)
+        stream = start_bar_stream(
+            spark, raw, output, check, M15, delay="21 days", multi_line=False,
+            state_partitions=spark.sparkContext.defaultParallelism,
+        )
+        stream.awaitTermination()
+    return sources.read_dated_bars(spark, output)

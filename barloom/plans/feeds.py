@@ -120,6 +120,18 @@ def day_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def delivery_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One payload a delivered tick, with ``ingest_seq``; the version rises as deliveries do."""
+    ticks = event_ticks(spark, sf_dir)
+    instant = iso_instant(F.timestamp_seconds(F.col("ts")).cast("timestamp_ntz"))
+    version = F.concat(instant, F.format_string("#%d-%012d", "ingest_seq", "row_id"))
+    candle = F.array(*[F.col(c).cast("double") for c in ("ts", *VALUES)])
+    return ticks.select(
+        "symbol", "exchange", version.alias("ingest_ts"), "ts", "ingest_seq",
+        F.struct(F.array(candle).alias("candles"), F.lit("ok").alias("s")).alias(ENVELOPE),
+    )
+
+
 def event_document_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The text of one document per event, some of them broken in one of the known ways."""
     price = F.col("value").cast("string")

@@ -112,3 +112,12 @@ BAR = T.StructType([
 ])
 
 DATED_BAR = T.StructType([BAR[name] for name in DATED_COLUMNS[:-1]] + [T.StructField("date", T.StringType())])
+
+# A candle as the store of incremental bars keeps it, with its version and the batch it came in.
+STORED_CANDLE = T.StructType([
+    *_strings((*SERIES, "ingest_ts")),
+    T.StructField("pos", T.IntegerType()),
+    T.StructField("ts", T.LongType()),
+    *[T.StructField(name, T.DoubleType()) for name in CANDLE_FIELDS[1:]],
+    *_strings(("date", "batch")),
+])

@@ -51,3 +51,21 @@ def load_matching(
 
 def empty_frame(spark: SparkSession, schema: StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder, sorted; none if there is no such folder."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in system.listStatus(hadoop_path)) if system.exists(hadoop_path) else []
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file, made in one step."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).create(hadoop_path, True).close()

@@ -12,9 +12,10 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from barloom.functions import wall_clock
+from barloom.functions import ingest_version, wall_clock
 from barloom.operators import base_rows
 from barloom.plans.day_job import aggregate_day
+from barloom.plans.incremental import merge_arrivals
 from barloom.schema import DEFAULT_ZONE, RAW
 from barloom.sources import read_raw
 
@@ -89,3 +90,39 @@ def rebuild_on_arrival(
         .trigger(**trigger)
         .start()
     )
+
+
+def merge_on_arrival(
+    spark: SparkSession,
+    input_path: str,
+    store_path: str,
+    output_path: str,
+    checkpoint_path: str,
+    *,
+    zone: str = DEFAULT_ZONE,
+    multi_line: bool = True,
+    interval: str | None = None,
+    files_per_batch: int | None = None,
+) -> StreamingQuery:
+    """Start a stream that merges each batch into stored candles and bars; see ``merge_arrivals``.
+
+    A document is parsed once, in the batch it lands in; late and revised candles meet the stored
+    ones, however old. Bars lie by width and date. A batch that is repeated after a failure changes
+    nothing further. Without ``interval`` the stream handles what has landed and then ends.
+    """
+    reader = spark.readStream.schema(RAW).option("multiLine", multi_line)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    version = F.coalesce("ingest_ts", ingest_version(F.col("_metadata.file_name")))
+
+    def merge(documents: DataFrame, batch_id: int) -> None:
+        merge_arrivals(spark, documents, store_path, output_path, batch_id, zone=zone)
+
+    trigger = {"processingTime": interval} if interval else {"availableNow": True}
+    return (
+        reader.json(input_path).withColumn("ingest_ts", version)
+        .writeStream.foreachBatch(merge)
+        .option("checkpointLocation", checkpoint_path)
+        .trigger(**trigger)
+        .start()
+    )

@@ -13,6 +13,7 @@ from barloom.functions import (
 from barloom.operators import branches
 from barloom.plans import feeds, oracle as o
 from barloom.plans.day_job import ALL_DATES, aggregate_day
+from barloom.plans.landing import compact_landing, read_landed
 from barloom.plans.incremental import merge_arrivals, squash_candles, stored_candles
 from barloom.schema import (
     BAR_COLUMNS, CANDLE_FIELDS, CANDLE_KEY, ENVELOPE, TIMEFRAMES, Timeframe,
@@ -86,6 +87,50 @@ def src_raw_documents(spark, sf):
     )
 
 
+def half_compacted(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """Documents that land in two parts, of which the first is taken into an archive."""
+    raw, compacted = scratch_folder(spark, "raw"), scratch_folder(spark, "compacted")
+    documents = feeds.event_documents(spark, sf)
+    for early in (True, False):
+        sinks.land_raw(documents.where((F.col("ingest_ts") < "2024-01-20") == early), raw, one_per_file=False)
+        if early:
+            compact_landing(spark, raw, compacted, multi_line=False)
+    return raw, compacted
+
+
+@query("src_compacted_documents", o.with_(
+    o.DOCUMENTS,
+    body=f"""select symbol, exchange, ingest_ts, substr(ingest_ts, 1, 4) as year,
+        substr(ingest_ts, 6, 2) as month, substr(ingest_ts, 9, 2) as day,
+        cast(coalesce(len(candles), -1) as bigint) as n_candles
+    from docs where status <> 'error'""",
+))
+def src_compacted_documents(spark, sf):
+    """SRC-1, SRC-2: documents from compacted landings and from files that came later."""
+    raw, compacted = half_compacted(spark, sf)
+    size = F.coalesce(F.size(F.col(f"{ENVELOPE}.candles")), F.lit(-1)).cast("bigint")
+    return read_landed(spark, raw, compacted, multi_line=False).select(
+        "symbol", "exchange", "ingest_ts", "year", "month", "day", size.alias("n_candles")
+    )
+
+
+@query("day_job_compacted", o.with_(
+    *ROWS,
+    f"""day_rows as (
+    select * from document_rows where status <> 'error'
+        and strftime({o.clock('ts')}, '%Y-%m-%d') in ('2024-01-19', '2024-01-20'))""",
+    o.DOCUMENT_CANDLES.replace("from document_rows", "from day_rows"),
+    body=o.all_bars(),
+))
+def day_job_compacted(spark, sf):
+    """OP-5 of two dates, one of them compacted, the other not yet."""
+    raw, compacted = half_compacted(spark, sf)
+    output = scratch_folder(spark, "bars")
+    dates = ["2024-01-19", "2024-01-20"]
+    aggregate_day(spark, raw, output, dates, ["2024-01-18", *dates], multi_line=False, compacted=compacted, layout="dated")
+    return sources.read_dated_bars(spark, output)
+
+
 @query("src_raw_on_date", o.with_(
     *ROWS,
     body=f"""select symbol, exchange, ingest_ts, cast(pos as bigint) as pos, ts, {o.FIELDS}

@@ -14,6 +14,7 @@ from barloom.operators import (
     all_timeframes, common_home, dedup_latest, found_candles, judged, on_session, on_session_date,
     usable_candles,
 )
+from barloom.plans.landing import read_landed
 from barloom.schema import CANDLE_KEY, DEFAULT_ZONE, ENVELOPE, SERIES, TIMEFRAMES, Timeframe
 from barloom.session import get_session
 from barloom.sinks import folder_writers, write_bars, write_dated_bars
@@ -81,6 +82,7 @@ def aggregate_day(
     multi_line: bool = True,
     writers: int | None = None,
     layout: str = "series",
+    compacted: str | None = None,
 ) -> DayReport:
     """Read landed documents, build every bar width, replace the bar folders they fall in.
 
@@ -91,6 +93,7 @@ def aggregate_day(
     that will be written go on; where there is none, no bar is touched, whatever the mode.
     ``layout`` is ``"series"`` for a folder a series and day (``write_bars``) or ``"dated"`` for one a
     width and day (``write_dated_bars``), whose dates are replaced with all their symbols.
+    ``compacted`` is an archive of ``compact_landing``, from which all but the newest documents come.
 
     Two shuffles in all: copies of a candle meet by (symbol, ts), then each local day of a
     series meets once for all widths and the write. A dynamic run reads its input once; a static
@@ -100,7 +103,10 @@ def aggregate_day(
         raise ValueError(f"unknown layout {layout!r}")
     days = _days(session_date, local_date(zone))
     landed = _days(raw_date, days if days is not None else local_date(zone))
-    raw = load_raw(spark, input_path, landed, text=salvage, multi_line=multi_line)
+    if compacted is not None:
+        raw = read_landed(spark, input_path, compacted, landed, text=salvage, multi_line=multi_line)
+    else:
+        raw = load_raw(spark, input_path, landed, text=salvage, multi_line=multi_line)
     if raw is None or days == []:
         return DayReport()
 
@@ -154,6 +160,7 @@ def main(argv: Sequence[str] | None = None) -> DayReport:
     parser.add_argument("--salvage", action="store_true")
     parser.add_argument("--json-lines", action="store_true", help="documents are JSON Lines")
     parser.add_argument("--writers", type=int, help="tasks that write folders")
+    parser.add_argument("--compacted", help="archive of compacted landings")
     parser.add_argument("--layout", choices=("series", "dated"), default="series")
     args = parser.parse_args(argv)
     session_date = args.date or local_date(args.zone, args.days_back)
@@ -173,6 +180,7 @@ def main(argv: Sequence[str] | None = None) -> DayReport:
         multi_line=not args.json_lines,
         writers=args.writers,
         layout=args.layout,
+        compacted=args.compacted,
     )
     print(
         f"{session_date}: {report.candles} candles, {report.bars} bars from {report.documents} documents; "

@@ -22,11 +22,12 @@ def matching_folders(spark: SparkSession, base: str, patterns: Sequence[str]) ->
         statuses = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
         for status in statuses or ():
             # a path made of its text reads back as the same folder, whatever its name holds
-            found[_literal(status.getPath().toString())] = None
+            found[literal_path(status.getPath().toString())] = None
     return list(found)
 
 
-def _literal(path: str) -> str:
+def literal_path(path: str) -> str:
+    """A path as a pattern that matches nothing else."""
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 

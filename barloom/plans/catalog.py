@@ -963,3 +963,141 @@ def stream_bars_15m(spark, sf):
         )
         stream.awaitTermination()
     return sources.read_dated_bars(spark, output)
+
+
+# Versions, sessions, coverage ---------------------------------------------------------------
+
+INSTANTS = ("2024-01-12T00:00:00Z", "2024-01-20T12:00:00Z", "2024-02-05T00:00:00Z")
+
+
+def _known_at(instant: str) -> str:
+    newest = f"""select symbol, exchange, ts, open, high, low, "close", volume from versions
+        where ingest_ts <= '{instant}' qualify row_number() over (partition by symbol, ts order by ingest_ts desc,
+            row_id desc, exchange desc, open desc, high desc, low desc, "close" desc, volume desc) = 1"""
+    return f"select *, '{instant}' as as_of from ({o.bars('15m', source=f'({newest})')})"
+
+
+@query("bars_as_of", o.with_(
+    o.EVENT_TICKS, o.TICK_VERSIONS, body=" union all ".join(f"({_known_at(i)})" for i in INSTANTS),
+))
+def bars_as_of(spark, sf):
+    """AGG-5, SRC-6: bars as they were known at three instants, from one table of versions."""
+    known = op.as_of_each(op.candle_versions(feeds.tick_versions(spark, sf)), INSTANTS)
+    return op.union_timeframes([
+        op.resample(known.where(F.col("as_of") == i), M15).withColumn("as_of", F.lit(i)) for i in INSTANTS
+    ])
+
+
+@query("candle_versions", o.with_(
+    o.EVENT_TICKS, o.TICK_VERSIONS,
+    body=f"""select symbol, exchange, ts, {o.FIELDS}, ingest_ts, row_id as pos, ingest_ts as valid_from,
+        lead(ingest_ts) over (partition by symbol, ts order by ingest_ts) as valid_to
+    from (select * from versions qualify row_number() over (partition by symbol, ts, ingest_ts order by row_id desc,
+        exchange desc, open desc, high desc, low desc, "close" desc, volume desc) = 1)""",
+))
+def candle_versions(spark, sf):
+    """SRC-6: every version of a candle with the interval in which it was the newest."""
+    return op.candle_versions(feeds.tick_versions(spark, sf))
+
+
+_PLACED = """placed as (
+    select c.*, s.session, s.opens, s.closes from candles c
+    join calendar s on c.exchange = s.exchange and c.ts >= s.opens and c.ts < s.closes)"""
+
+
+def _session_bars(start: str, end: str) -> str:
+    return f"""select symbol, exchange, session, {o.clock('interval_start_epoch')} as interval_start, interval_start_epoch,
+        interval_end_epoch, {o.FIELDS} from (
+        select symbol, exchange, session, {start} as interval_start_epoch, {end} as interval_end_epoch,
+            arg_min(open, ts) as open, max(high) as high, min(low) as low, arg_max("close", ts) as "close", sum(volume) as volume
+        from placed group by all)"""
+
+
+@query("session_bars_50m", o.with_(
+    *EVENTS, o.CALENDAR, _PLACED,
+    body=_session_bars("opens + (ts - opens) // 3000 * 3000", "least(opens + (ts - opens) // 3000 * 3000 + 3000, closes)"),
+))
+def session_bars_50m(spark, sf):
+    """FLT-4, OP-2: buckets from the open of each session, the last one cut at its close."""
+    return op.session_bars(event_candles(spark, sf), feeds.calendar(spark, sf), 3_000)
+
+
+@query("session_bars_whole", o.with_(*EVENTS, o.CALENDAR, _PLACED, body=_session_bars("opens", "closes")))
+def session_bars_whole(spark, sf):
+    """OP-2: one bar a session, half days included."""
+    return op.session_bars(event_candles(spark, sf), feeds.calendar(spark, sf))
+
+
+@query("session_outside", o.with_(
+    *EVENTS, o.CALENDAR,
+    body="""select * from candles c where not exists (
+        select 1 from calendar s where c.exchange = s.exchange and c.ts >= s.opens and c.ts < s.closes)""",
+))
+def session_outside(spark, sf):
+    """FLT-4: candles that no session holds."""
+    return op.outside_sessions(event_candles(spark, sf), feeds.calendar(spark, sf))
+
+
+@query("session_counts", o.with_(
+    *EVENTS, o.CALENDAR,
+    body="""select c.exchange, cast(count(s.session) as bigint) as inside, cast(count(*) - count(s.session) as bigint) as outside
+        from candles c left join calendar s on c.exchange = s.exchange and c.ts >= s.opens and c.ts < s.closes group by 1""",
+))
+def session_counts(spark, sf):
+    """FLT-4: how many candles the calendar takes and leaves."""
+    return op.session_counts(event_candles(spark, sf), feeds.calendar(spark, sf))
+
+
+FIRST_RUN, LAST_RUN, EVERY = 1_704_067_200, 1_706_745_600, 1_800  # January 2024, every half hour
+
+
+def covered_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs of the event types' symbols and of some customers' tickers, which never ran."""
+    outcomes = feeds.event_outcomes(spark, sf)
+    run = op.run_of(F.unix_timestamp(F.to_timestamp("run_ts", "yyyy-MM-dd'T'HH:mm:ssX")), FIRST_RUN, EVERY)
+    fetched = outcomes.withColumn("run", run)
+    tickers = sources.parse_tickers(feeds.ticker_lines(spark, sf)).where(F.col("symbol").endswith("0/X-EQ"))
+    universe = tickers.unionByName(outcomes.select("symbol").where("symbol is not null"))
+    return op.run_coverage(
+        op.expected_runs(universe, FIRST_RUN, LAST_RUN - EVERY, EVERY),
+        op.successes(fetched).select("symbol", "run"), op.failures(fetched).select("symbol", "run"),
+    )
+
+
+_COVERAGE = (
+    o.OUTCOMES, o.TICKERS,
+    f"""universe as (
+    select symbol from tickers where symbol like '%0/X-EQ' union select symbol from outcomes where symbol is not null)""",
+    f"""fetches as (
+    select symbol, {FIRST_RUN} + (cast(epoch(strptime(run_ts, '%Y-%m-%dT%H:%M:%SZ')) as bigint) - {FIRST_RUN}) // {EVERY} * {EVERY} as run,
+        cast(count(*) filter (where ok) as bigint) as landed, cast(count(*) filter (where not ok) as bigint) as failed
+    from outcomes where symbol is not null group by all)""",
+    f"""coverage as (
+    select symbol, run, case when landed > 0 then 'landed' when failed > 0 then 'failed' else 'absent' end as status,
+        coalesce(landed + failed, 0) as fetches
+    from (select symbol, unnest(range({FIRST_RUN}, {LAST_RUN}, {EVERY})) as run from universe) left join fetches using (symbol, run))""",
+)
+
+
+@query("run_coverage", o.with_(*_COVERAGE, body="select * from coverage"))
+def run_coverage(spark, sf):
+    """SRC-3, AGG-6: the state of every scheduled run of every ticker."""
+    return covered_runs(spark, sf)
+
+
+@query("run_coverage_counts", o.with_(*_COVERAGE, body="""select symbol,
+    cast(count(*) filter (where status = 'landed') as bigint) as landed, cast(count(*) filter (where status = 'failed') as bigint) as failed,
+    cast(count(*) filter (where status = 'absent') as bigint) as absent, cast(0 as bigint) as unexpected,
+    count(*) filter (where status = 'landed') / count(*) as share from coverage group by symbol"""))
+def run_coverage_counts(spark, sf):
+    """AGG-7, AGG-8: runs by symbol and state."""
+    return op.coverage_counts(covered_runs(spark, sf))
+
+
+@query("run_absences", o.with_(*_COVERAGE, body=f"""select symbol, min(run) as first_run, max(run) as last_run,
+    cast(count(*) as bigint) as runs, cast(count(*) filter (where status = 'failed') as bigint) as failed
+    from (select *, run - row_number() over (partition by symbol order by run) * {EVERY} as span from coverage where status <> 'landed')
+    group by symbol, span"""))
+def run_absences(spark, sf):
+    """SRC-3, AGG-6 to AGG-8: unbroken spans of runs that did not land."""
+    return op.absences(covered_runs(spark, sf), EVERY)

@@ -132,6 +132,27 @@ def delivery_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tick_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks as candle rows with a version: a second delivery came ten days after the first."""
+    ticks = event_ticks(spark, sf_dir)
+    landed = F.timestamp_seconds(F.col("ts") + (F.col("ingest_seq") - 1) * 864_000).cast("timestamp_ntz")
+    return ticks.select(
+        "symbol", "exchange", "ts", *VALUES, iso_instant(landed).alias("ingest_ts"), F.col("row_id").alias("pos")
+    )
+
+
+def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of the dates of events: 09:15 to 15:30 local, to 12:30 where the day divides by 7, none on Sundays."""
+    days = table(spark, sf_dir, "events").agg(F.min("ts").cast("date").alias("a"), F.max("ts").cast("date").alias("b")).select(
+        F.explode(F.sequence("a", "b")).alias("session")
+    ).where(F.dayofweek("session") != 1)
+    midnight = F.unix_date("session").cast("bigint") * 86_400 - 19_800
+    length = F.when(F.dayofmonth("session") % 7 == 0, 11_700).otherwise(22_500)
+    return days.select(
+        F.lit(DEFAULT_EXCHANGE).alias("exchange"), "session", (midnight + 33_300).alias("opens"), (midnight + 33_300 + length).alias("closes")
+    )
+
+
 def event_document_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The text of one document per event, some of them broken in one of the known ways."""
     price = F.col("value").cast("string")

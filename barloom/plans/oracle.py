@@ -119,6 +119,18 @@ DOCUMENT_TEXT = f"""texts as (
         cast({epoch("ts")} as varchar) as t
     from events)"""
 
+# Ticks with a version: a second delivery came ten days after the first.
+TICK_VERSIONS = f"""versions as (
+    select symbol, exchange, ts, {FIELDS}, row_id,
+        strftime(make_timestamp((ts + (ingest_seq - 1) * 864000) * 1000000), '%Y-%m-%dT%H:%M:%SZ') as ingest_ts
+    from ticks)"""
+
+CALENDAR = """calendar as (
+    select 'NSE' as exchange, cast(d as date) as session, cast(epoch(d) as bigint) - 19800 + 33300 as opens,
+        cast(epoch(d) as bigint) - 19800 + 33300 + case when day(d) % 7 = 0 then 11700 else 22500 end as closes
+    from (select unnest(generate_series(date_trunc('day', min(ts)), date_trunc('day', max(ts)), interval 1 day)) as d from events)
+    where dayofweek(d) <> 0)"""
+
 RANKED = """ranked as (
     select symbol, exchange, ts, open, {b} as interval_start_epoch,
         row_number() over (partition by symbol, exchange, {b} order by ts {order}) as rn

@@ -238,6 +238,22 @@ def src_dated_bars(spark, sf):
     )
 
 
+@query("sql_bars_between", o.with_(
+    *EVENTS,
+    body=f"""select symbol, month, cast(count(*) as bigint) as bars, max(high) as high, sum(volume) as volume
+    from ({o.bars('15m')}) where year || month || day between '20240110' and '20240202' group by symbol, month""",
+))
+def sql_bars_between(spark, sf):
+    """SRC-5 by SQL: a table function over a catalog table of bars."""
+    folder = scratch_folder(spark, "dated")
+    sinks.write_dated_bars(op.all_timeframes(event_candles(spark, sf), unique_ts=True), folder)
+    name = folder.rsplit("/", 1)[-1].replace("-", "_")  # unlike any other table's
+    sources.create_bar_table(spark, name, folder)
+    between, _ = sources.create_bar_functions(spark, name, name)
+    return spark.sql(f"""select symbol, month, count(*) as bars, max(high) as high, sum(volume) as volume
+        from {between}('15m', date'2024-01-10', date'2024-02-02') group by symbol, month""")
+
+
 @query("snk_dated_overwrite", o.with_(
     *EVENTS,
     body=f"""select * replace (case when year || '-' || month || '-' || day = '{SAMPLE_DAY}'

@@ -2,9 +2,10 @@
 
 A rule is a regular expression over a text's words (A-Z lowered, joined by single spaces), with a
 keyword, a label and a priority. Rules come from families of licenses and from forms of speech, so
-a new family or form adds one line. A text is searched only if a cheap look at the raw text finds
-one of the rules' keywords, and then only by rules whose keyword occurs in it. A detection that lies
-inside another one of at least its priority is dropped; of equal ones the higher priority stays.
+a new family or form adds one line. A text's words are searched only by the rules whose keyword
+occurs among them, together with a word of the rule's form; both are plain strings, which every match of
+the rule holds. A detection that lies inside another one of at least its priority is dropped; of
+equal ones the higher priority stays.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ import string
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from barloom.llm.texts import table
+from barloom.llm.texts import free_names, table
 
 #: Words that stand consecutively, and their labels.
 BASE_PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -84,9 +85,6 @@ NOTICES = [
 ]
 
 _OTHER = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: What parts words in the raw text.
-_BETWEEN = r"\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F"
-_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 TOP = 6
 BASE_CONFIDENCE = {"cc-by": 0.7, "gpl": 0.8, "reserved": 0.6}
 
@@ -106,18 +104,24 @@ def rules() -> list[tuple[str, str, str, int, float]]:
     return [(label, keyword, f"(?<= ){words}(?= )", priority, sure) for label, keyword, words, priority, sure in made]
 
 
-def gate() -> str:
-    """What a text must show before its words are looked at: any rule's keyword, in any case and with anything between words.
+def gate() -> dict[str, list[tuple[str, tuple[str, str, int, float]]]]:
+    """The rules as (form's word, (label, expression, priority, confidence)) by the string that their matches hold.
 
-    Every match of a rule holds its keyword, as whole words unless a blank may be left out, so no
-    text that a rule matches is passed over.
+    A keyword stands as whole words, unless a blank may be left out before or after it.
     """
-    loose = {keyword for _, keyword, expression, *_ in rules() if " ?" in expression}
-    keywords = {keyword for _, keyword, *_ in rules()}
-    # a keyword that holds another's words needs no branch of its own
-    least = sorted(k for k in keywords if k in loose or not any(o != k and f" {o} " in f" {k} " for o in keywords))
-    words = [k.replace(" ", f"[{_BETWEEN}]+") for k in least]
-    return "(?i)" + "|".join(w if k in loose else f"(?<![^{_BETWEEN}]){w}(?![^{_BETWEEN}])" for k, w in zip(least, words, strict=True))
+    out: dict[str, list] = {}
+    for label, keyword, expression, priority, sure in rules():
+        held = keyword if " ?" in expression else f" {keyword} "
+        if "identifier " in expression:
+            form = " identifier "
+        elif " under " in expression:
+            form = " under "
+        elif expression.endswith(" licen[cs]e(?= )"):
+            form = " licen"
+        else:
+            form = " "
+        out.setdefault(held, []).append((form, (label, expression, priority, sure)))
+    return out
 
 
 def _spaces(x: Column) -> Column:
@@ -170,31 +174,37 @@ def scan_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     empty or wordless text has 0 words and empty arrays. Repeated rows give the same.
     """
     docs = docs.drop(*({"n_words", "base", "detections"} - {text}))
-    made = rules()
-    one = lambda r: F.struct(
-        F.lit(r[0]).alias("label"), F.lit(r[1]).alias("keyword"), F.lit(r[2]).alias("expression"), F.lit(r[3]).alias("priority"), F.lit(r[4]).alias("sure")
-    )
-    bases, signatures = F.array(*map(one, made[: len(BASE_PHRASES)])), F.array(*map(one, made))
+    held = gate()
+    base_phrases = {f" {phrase} ": label for phrase, label in BASE_PHRASES.items()}
+
+    def rule(form: str, made: tuple[str, str, int, float]) -> Column:
+        names = ("label", "expression", "priority", "sure")
+        return F.struct(F.lit(form).alias("form"), *[F.lit(v).alias(n) for n, v in zip(names, made, strict=True)])
+
+    signatures = F.array(*[
+        F.struct(F.lit(word).alias("held"), F.array(*[rule(*r) for r in some]).alias("rules")) for word, some in held.items()
+    ])
+    # a base phrase's places are those of the rule made from it
+    bases = F.array(*[rule(word, (label, f"(?<={word[0]}){word[1:-1]}(?= )", 1, 0.0)) for word, label in base_phrases.items()])
     value = F.coalesce(F.col(text), F.lit(""))
     lowered = F.translate(value, string.ascii_uppercase, string.ascii_lowercase)
     words = F.concat(F.lit(" "), F.regexp_replace(lowered, _OTHER, " "), F.lit(" "))
     words = F.regexp_replace(words, "^ +| +$", " ")
 
     def search(spaced: Column, which: Column) -> Column:
-        live = F.filter(which, lambda r: F.contains(spaced, r["keyword"]))
+        live = F.filter(which, lambda r: F.contains(spaced, r["form"]))
         return F.flatten(F.transform(live, lambda r: _places(spaced, r)))
 
     def all_of(spaced: Column) -> Column:
+        near = F.filter(signatures, lambda s: F.contains(spaced, s["held"]))
         base = F.transform(search(spaced, bases), lambda x: F.struct(x["label"].alias("label"), x["first"].alias("first")))
-        return F.struct(base.alias("base"), _kept(search(spaced, signatures)).alias("detections"))
+        detections = _kept(search(spaced, F.flatten(F.transform(near, lambda s: s["rules"]))))
+        return F.struct((_spaces(spaced) - 1).cast("long").alias("n_words"), base.alias("base"), detections.alias("detections"))
 
     # the array of one text binds its words once for all rules
-    found = F.when(value.rlike(gate()), F.transform(F.array(words), all_of)[0])
-    return docs.withColumn("n_words", F.regexp_count(value, F.lit(_WORD)).cast("long")).withColumn("_found", found).withColumn(
-        "base", F.coalesce(F.col("_found.base"), F.array().cast("array<struct<label:string,first:int>>"))
-    ).withColumn(
-        "detections", F.coalesce(F.col("_found.detections"), F.array().cast("array<struct<first:int,last:int,priority:int,label:string,sure:double>>"))
-    ).drop("_found")
+    (found,) = free_names(docs.columns, "_found")
+    docs = docs.withColumn(found, F.transform(F.array(words), all_of)[0])
+    return docs.withColumns({name: F.col(found)[name] for name in ("n_words", "base", "detections")}).drop(found)
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,6 +18,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_names(columns: Iterable[str], *wanted: str) -> list[str]:
+    """Names for helper columns that a table does not have yet, in any case of letters."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a text column and each row's first byte, with one more at the end. Null is empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -39,4 +39,5 @@ def components(links: DataFrame, scratch: Scratch) -> DataFrame:
         scratch.drop(f"labels-{step - 1}")
         labels = now.select("node", "label")
         if not changed:
+            scratch.drop("links")
             return labels

@@ -18,7 +18,8 @@ Sets of a key are first tried against its smallest only. Keys that still hold se
 are then gone through in blocks of bounded size. The first time a block gives only pairs that would
 join components if they linked, then up to ``16`` and ``128`` pairs a set, then all: near copies by
 the thousand need about one trial each, most of them are one component before many pairs are tried,
-and no link between different components is lost.
+and no link between different components is lost. Near copies share many keys, so a pair is left to
+the smallest key that both bring along, wherever else it meets.
 """
 
 from __future__ import annotations
@@ -32,12 +33,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from barloom.llm.graph import components
 from barloom.llm.scratch import Scratch
-from barloom.llm.texts import U64, all_chunks, i64, mix, table, words_of
+from barloom.llm.texts import U64, all_chunks, free_names, mix, table, words_of
 
 BITS = 1024
 BLOCK = 1024
 ROWS = 128
 SEEDS = 3
+#: Keys that a set brings along, the smallest of its own, to tell pairs that meet elsewhere too.
+LEAST_KEYS = 32
 #: Exact sets a task remembers, so that their copies are not posted again.
 SEEN = 200_000
 
@@ -203,10 +206,25 @@ def _tile_pairs(num: int, den: int, limit: int):
             x = up
         return x
 
+    def smaller_keys(rows: pa.Table) -> np.ndarray:
+        """Which of the keys below the tile's own each member brings along, of those that several do."""
+        lists = rows["least_keys"].combine_chunks()
+        keys = lists.flatten().to_numpy()
+        member = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+        below = keys < rows["key"][0].as_py()
+        found, code, many = np.unique(keys[below], return_inverse=True, return_counts=True)
+        several = many > 1
+        place = np.cumsum(several) - 1
+        kept = several[code]
+        out = np.zeros((len(lists), int(several.sum())), np.float32)
+        out[member[below][kept], place[code[kept]]] = 1
+        return out
+
     def tile(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, bool]:
         ids, size = rows["set_id"].to_numpy(), rows["size"].to_numpy()
         label, block = rows["label"].to_numpy(), rows["block"].to_numpy()
         bits = rows["bits"].combine_chunks().flatten().to_numpy().reshape(len(ids), -1).view(U64)
+        holds = smaller_keys(rows)
         i, j = rows["i"][0].as_py(), rows["j"][0].as_py()
         left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
         out, more = [], False
@@ -221,6 +239,8 @@ def _tile_pairs(num: int, den: int, limit: int):
             allowed = (overlap * den >= (sizes - overlap) * num) & (label[x][:, None] != label[right])
             if i == j:
                 allowed &= right > x[:, None]
+            if holds.shape[1] and allowed.any():
+                allowed &= holds[x] @ holds[right].T == 0  # no smaller key at which both meet
             if limit:
                 within = np.cumsum(allowed, axis=1) <= limit
                 more |= bool((allowed & ~within).any())
@@ -283,9 +303,13 @@ def _members(met: DataFrame, labels: DataFrame, sets: DataFrame) -> DataFrame:
     members = members.withColumn("block", F.floor((F.row_number().over(place) - 1) / BLOCK)).withColumn(
         "blocks", F.max("block").over(Window.partitionBy("key"))
     )
-    members = members.join(sets.select("set_id", "size", "bits"), "set_id").withColumn(
+    # a set's keys grow with its own size; a part of them is enough, as a pair is only left to a key that both show
+    own = members.groupBy("set_id").agg(F.slice(F.sort_array(F.collect_list("key")), 1, LEAST_KEYS).alias("least_keys"))
+    members = members.join(sets.select("set_id", "size", "bits").join(own, "set_id"), "set_id").withColumn(
         "other", F.explode(F.expr("sequence(0L, blocks)"))
-    ).select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "set_id", "label", "size", "bits")
+    ).select(
+        "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "set_id", "label", "size", "bits", "least_keys"
+    )
     return members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
 
 
@@ -329,6 +353,7 @@ def _components(docs: DataFrame, n: int, num: int, den: int, key: str, text: str
             links = links.union(found)
             labels = components(links, scratch)
         left = scratch.keep(pairs.where("more").select("key").distinct(), f"jaccard-left-{step}")
+        scratch.drop(f"jaccard-pairs-{step}")
         if not left.limit(1).count():
             break
         keys = met.select("key", "set_id").distinct().join(left, "key", "left_semi")
@@ -339,7 +364,7 @@ def _components(docs: DataFrame, n: int, num: int, den: int, key: str, text: str
     )
     smallest = numbered.groupBy("label").agg(F.min("least").alias("component_id"))
     owner = scratch.keep(numbered.join(smallest, "label").select("set_id", "label", "component_id"), "jaccard-components")
-    scratch.drop("jaccard-met", "jaccard-sets", "jaccard-first")
+    scratch.drop(*(n for n in list(scratch.folders) if n not in ("jaccard-sizes", "jaccard-components")))
     return signed, owner
 
 
@@ -369,15 +394,16 @@ def one_of_each_component(
     empty and blank texts link with nothing and all stay.
     """
     signed, owner = _components(docs, n, num, den, key, text)
+    mark, place = free_names(docs.columns, "__text", "__place")
     first = signed.join(owner.select("set_id", "label"), "set_id").groupBy("label").agg(
         F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), "text_id")).alias("first")
-    ).select(F.col("first.text_id").alias("__text"))
+    ).select(F.col("first.text_id").alias(mark))
     worded = F.coalesce(F.col(text).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
     others = [F.to_json(F.struct(*[f"`{c}`" for c in docs.columns if c not in (key, text)]))] if len(docs.columns) > 2 else []
-    order = Window.partitionBy("__text").orderBy(F.col(key).asc_nulls_last(), *others)
+    order = Window.partitionBy(mark).orderBy(F.col(key).asc_nulls_last(), *others)
     # copies of a text meet by its hash, all but the first of each task left out before
-    copies = docs.where(worded).withColumn("__text", text_id(text)).withColumn("__place", F.row_number().over(order)).where("__place = 1")
-    return copies.join(first, "__text", "left_semi").select(*[f"`{c}`" for c in docs.columns]).union(docs.where(~worded))
+    copies = docs.where(worded).withColumn(mark, text_id(text)).withColumn(place, F.row_number().over(order)).where(F.col(place) == 1)
+    return copies.join(first, mark, "left_semi").select(*[f"`{c}`" for c in docs.columns]).union(docs.where(~worded))
 
 
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

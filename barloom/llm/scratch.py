@@ -12,19 +12,18 @@ class Scratch:
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
-        self.folders: dict[str, str] = {}
+        self.folders: dict[str, list[str]] = {}
 
     def keep(self, rows: DataFrame, name: str) -> DataFrame:
         """Write rows and scan what was written; this cuts their lineage."""
         folder = scratch_folder(self.spark, name)
         rows.write.parquet(folder)
-        self.folders[name] = folder
+        self.folders.setdefault(name, []).append(folder)
         return self.spark.read.schema(rows.schema).parquet(folder)
 
     def drop(self, *names: str) -> None:
-        """Delete tables that nothing reads any more."""
+        """Delete tables that nothing reads any more, all that were kept under a name."""
         for name in names:
-            folder = self.folders.pop(name, None)
-            if folder:
+            for folder in self.folders.pop(name, []):
                 path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
                 path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

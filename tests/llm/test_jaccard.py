@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from barloom.llm.graph import components
-from barloom.llm.jaccard import Tiles, jaccard_components, op4_ngram_jaccard
+from barloom.llm.jaccard import Tiles, jaccard_components, one_of_each_component, op4_ngram_jaccard
 from barloom.llm.scratch import Scratch
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -92,3 +92,18 @@ def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(1, 60)] + [(100, 101)], "a long, b long")
     labels = {r.node: r.label for r in components(links, Scratch(spark)).collect()}
     assert labels == {i: 1 for i in range(1, 61)} | {100: 100, 101: 100}
+
+
+def test_helper_columns_give_way(spark):
+    frame = spark.createDataFrame([(1, "a b c d e f", "x", 5), (2, "a b c d e f", "y", 6)], "doc_id long, text string, __text string, __place int")
+    assert [tuple(r) for r in one_of_each_component(frame).collect()] == [(1, "a b c d e f", "x", 5)]
+
+
+def test_large_groups_that_do_not_link(spark):
+    """Texts with a common passage that stay just under the fraction meet under many keys; blocks of them are whole."""
+    rnd = random.Random(11)
+    passage = [f"p{i}" for i in range(55)]
+    docs = [(i, " ".join([*passage, *(f"x{rnd.randrange(10**6)}" for _ in range(7 if i % 4 else 3))])) for i in range(160)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(frame, 1, 4, 5).collect())
+    assert got == brute_force(docs, 1, 4, 5)

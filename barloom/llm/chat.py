@@ -17,7 +17,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
 
-from barloom.llm.texts import table
+from barloom.llm.texts import free_names, table
 
 BEGIN, END = "<|im_start|>", "<|im_end|>"
 #: Control strings of common templates; none of them stays whole inside a text.
@@ -31,13 +31,15 @@ class Layout:
     """How one layout becomes turns.
 
     ``single``: (role, path) of text fields, in order. ``items``: the path of a list of messages,
-    with the names of its role and text fields. ``optional`` paths may be missing.
+    with the names of its role and text fields. ``optional`` paths may be missing. ``renames``: the
+    layout has names of its own for roles (``ROLES``); otherwise roles stay as they are written.
     """
 
     name: str
     single: tuple[tuple[str, str], ...] = ()
     items: tuple[str, str, str] | None = None
     optional: frozenset[str] = field(default_factory=frozenset)
+    renames: bool = False
 
     def paths(self) -> list[str]:
         found = [path for _, path in self.single]
@@ -49,7 +51,7 @@ class Layout:
 
 LAYOUTS = (
     Layout("messages", items=("messages", "role", "content"), single=(("system", "system"),), optional=frozenset({"system"})),
-    Layout("conversations", items=("conversations", "from", "value"), single=(("system", "system"),), optional=frozenset({"system"})),
+    Layout("conversations", items=("conversations", "from", "value"), single=(("system", "system"),), optional=frozenset({"system"}), renames=True),
     Layout("turns", items=("turns", "role", "text")),
     Layout("instruction", single=(("system", "system"), ("user", "instruction"), ("user", "input"), ("assistant", "output")), optional=frozenset({"system", "input"})),
     Layout("prompt-response", single=(("system", "system"), ("user", "prompt"), ("assistant", "response")), optional=frozenset({"system"})),
@@ -57,7 +59,7 @@ LAYOUTS = (
     Layout("question-answer", single=(("user", "question"), ("assistant", "answer"))),
 )
 
-#: Names of the same role in different layouts.
+#: Names of the same role in layouts that have names of their own.
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
 
@@ -110,7 +112,7 @@ def _turns(layout: Layout, known: set[str]) -> Column:
         return made
     where, role, text = layout.items
     return F.concat(made, F.transform(
-        where, lambda m: F.struct(_role(m[role]).alias("role"), F.coalesce(m[text].cast("string"), F.lit("")).alias("text"))
+        where, lambda m: F.struct((_role(m[role]) if layout.renames else F.coalesce(m[role].cast("string"), F.lit(""))).alias("role"), F.coalesce(m[text].cast("string"), F.lit("")).alias("text"))
     ))
 
 
@@ -122,14 +124,14 @@ def canonical_turns(records: DataFrame, layouts: tuple[Layout, ...] = LAYOUTS) -
     else than a list of role and text.
     """
     known = set(field_paths(records.schema))
-    mark = fingerprint(records.schema, layouts)
+    (mark,) = free_names(records.columns, "__mark")
     name, turns = F.lit(None).cast("string"), F.array().cast(TURNS)
     for layout in layouts:
         if all(p in known for p in layout.paths() if p not in layout.optional):
-            mine = F.col("__mark").isin(*[x for x in _fingerprints(layout)])
+            mine = F.col(mark).isin(*[x for x in _fingerprints(layout)])
             name, turns = F.when(mine, layout.name).otherwise(name), F.when(mine, _turns(layout, known)).otherwise(turns)
     kept = [c for c in records.columns if c not in ("layout", "turns")]
-    return records.withColumn("__mark", mark).select(
+    return records.withColumn(mark, fingerprint(records.schema, layouts)).select(
         *[F.col(f"`{c}`") for c in kept], name.alias("layout"), turns.cast(TURNS).alias("turns")
     )
 
@@ -176,9 +178,10 @@ def format_turns(rows: DataFrame, turns: str = "turns", trained: str = "assistan
             F.when(turn["mine"], F.concat(state["spans"], one)).otherwise(state["spans"]).alias("spans"),
         )
 
-    whole = F.array_join(F.transform("__marked", lambda t: F.concat(t["head"], t["body"], F.lit(END + "\n"))), "")
-    spans = F.aggregate("__marked", start, step, lambda s: s["spans"])
-    return rows.withColumn("__marked", marked).withColumn("formatted", whole).withColumn("loss_spans", spans).drop("__marked")
+    (parts,) = free_names(rows.columns, "__marked")
+    whole = F.array_join(F.transform(parts, lambda t: F.concat(t["head"], t["body"], F.lit(END + "\n"))), "")
+    spans = F.aggregate(parts, start, step, lambda s: s["spans"])
+    return rows.withColumn(parts, marked).withColumn("formatted", whole).withColumn("loss_spans", spans).drop(parts)
 
 
 def read_turns(formatted: Column) -> Column:
@@ -236,9 +239,7 @@ with said as (
   union all select -1, 0, 'user', '</s>[INST] ok [/INST]'
   union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
 turns as (
-  select *, regexp_replace(text, '(<|\[)(\\*)(\||/?s>|/?INST\]|<SYS>>|</SYS>>)', '\1\2\\\3', 'g') as escaped,
-         case when role in ('human') then 'user' when role in ('gpt', 'bot', 'model') then 'assistant' else role end as name
-  from said)
+  select *, regexp_replace(text, '(<|\[)(\\*)(\||/?s>|/?INST\]|<SYS>>|</SYS>>)', '\1\2\\\3', 'g') as escaped, role as name from said)
 select conv_id, count(*) as n_turns,
        sha256(string_agg(name || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
        coalesce(sum(length(text)) filter (name = 'assistant'), 0)::bigint as loss_chars,

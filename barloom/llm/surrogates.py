@@ -14,23 +14,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from barloom.llm.scratch import Scratch
-from barloom.llm.texts import table
+from barloom.llm.texts import free_names, table
 
 #: Titles tell the gender of the name behind them.
 MALE = "Mr|Mister|Sir|Herr|Monsieur|Señor|Sr|Господин|Κύριος"
 FEMALE = "Mrs|Ms|Miss|Madam|Frau|Madame|Mme|Señora|Sra|Госпожа|Κυρία"
+#: Titles that tell nothing of the kind.
+NEUTRAL = "Dr|Prof|Professor|Doctor"
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 ACCESS = r"\bAKIA[0-9A-Z]{16}\b"
 SECRET_NAME = r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key)\s*[=:]\s*[\"']?)"
 SECRET = SECRET_NAME + r"[^\s\"']{6,}"
-PHONE = r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,3}\b"
-CARD = r"\b[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}\b|\b[0-9]{13,19}\b"
+#: Secrets known by how they begin.
+TOKEN_HEAD = r"(?:\b[spr]k_(?:live|test)_|\bgh[pousr]_|\bxox[abprs]-)"
+TOKEN = TOKEN_HEAD + r"[0-9A-Za-z-]{10,}"
+IBAN = r"\b[A-Z]{2}[0-9]{2}(?=(?:[A-Z ]{0,6}[0-9]){6})(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b"
+#: In groups behind a country code, unseparated behind one, or national.
+NATIONAL = r"(?:\([0-9]{3}\) ?|(?<![0-9.-])[0-9]{3}[.-])[0-9]{3}[.-][0-9]{4}(?![0-9])"
+PHONE = r"\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-][0-9]{2,4}){1,3}\b|\+[1-9][0-9]{7,14}\b|" + NATIONAL
+CARD = r"\b[0-9]{4}[ .-][0-9]{4}[ .-][0-9]{4}[ .-][0-9]{4}\b|\b[0-9]{13,19}\b"
 NUMBER = r"\b[0-9]{3}-[0-9]{2}-[0-9]{4}\b"
 ADDRESS = r"\b[0-9]{1,3}(?:\.[0-9]{1,3}){3}\b"
-PERSON = rf"\b(?:{MALE}|{FEMALE})\.? \p{{Lu}}\p{{L}}+(?: \p{{Lu}}\p{{L}}+)?"
-MENTION = "|".join([EMAIL, ACCESS, SECRET, PHONE, CARD, NUMBER, ADDRESS, PERSON])
+ADDRESS_6 = (
+    r"(?<![0-9A-Za-z:])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|"
+    r"(?=[A-Fa-f:]*[0-9])(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![0-9A-Za-z:])"
+)
+#: With hyphens and apostrophes.
+NAME = r"\p{Lu}(?:['’]\p{Lu})?\p{L}+(?:[-'’]\p{L}+)*"
+PERSON = rf"\b(?:{MALE}|{FEMALE}|{NEUTRAL})\.? {NAME}(?: {NAME})?"
+MENTION = "|".join([EMAIL, ACCESS, SECRET, TOKEN, IBAN, PHONE, CARD, NUMBER, ADDRESS, ADDRESS_6, PERSON])
 #: What a text with a mention must show, cheap to look for.
-GATE = rf"[0-9@]|\b(?:{MALE}|{FEMALE})\.? \p{{Lu}}|(?i:password|passwd|pwd|secret|token|key)\s*[=:]"
+GATE = rf"[0-9@]|AKIA|_live_|_test_|gh[pousr]_|xox|\b(?:{MALE}|{FEMALE}|{NEUTRAL})\.? \p{{Lu}}|(?i:password|passwd|pwd|secret|token|key)\s*[=:]"
 
 SYLLABLES = {
     "latin": "ba da fe ga ha jo ka la mi na or pe ra sa ti ul va we xi zo".split(),
@@ -67,17 +81,24 @@ def parts(mention: Column) -> Column:
         return F.substr(mention, F.length(prefix) + 1)
 
     name = F.regexp_extract(mention, "^" + SECRET_NAME, 0)
-    country = F.regexp_extract(mention, r"^\+([0-9]{1,3})", 1)
+    country = F.coalesce(
+        F.nullif(F.regexp_extract(mention, r"^\+([0-9]{1,3})[^0-9]", 1), F.lit("")), F.regexp_extract(mention, r"^\+(1|7|[0-9]{2})", 1)
+    )
+    token = F.regexp_extract(mention, "^" + TOKEN_HEAD, 0)
     title = F.regexp_extract(mention, r"^[^ ]+ ", 0)
     names = F.split(after(title), " ")
-    gender = F.when(title.rlike(rf"^(?:{FEMALE})\.? $"), "given-f").otherwise("given-m")
+    gender = F.when(title.rlike(rf"^(?:{FEMALE})\.? $"), "given-f").when(title.rlike(rf"^(?:{NEUTRAL})\.? $"), "given-n").otherwise("given-m")
     family = F.element_at(names, -1)
     return (
         F.when(mention.rlike("^[^@ ]+@"), F.array(piece("email", F.lower(mention), mention)))
         .when(mention.rlike("^" + SECRET_NAME), F.array(kept(name), piece("secret", after(name), after(name))))
         .when(mention.startswith("AKIA"), F.array(kept(F.lit("AKIA")), piece("secret", after(F.lit("AKIA")), after(F.lit("AKIA")))))
+        .when(token != "", F.array(kept(token), piece("secret", after(token), after(token))))
+        .when(mention.rlike("^[A-Z]{2}[0-9]{2}[ 0-9A-Z]+$"), F.array(piece("iban", F.replace(mention, F.lit(" "), F.lit("")), mention)))
+        .when(mention.rlike(f"^{NATIONAL}$"), F.array(piece("phone", F.concat(F.lit("|"), _digits(mention)), mention)))
         .when(mention.startswith("+"), F.array(piece("phone", F.concat(country, F.lit("|"), F.substr(_digits(mention), F.length(country) + 1)), mention)))
-        .when(mention.rlike(r"^[0-9.]+$") & mention.contains("."), F.array(piece("address", mention, mention)))
+        .when(mention.rlike(f"^(?:{ADDRESS})$"), F.array(piece("address", mention, mention)))
+        .when(mention.rlike("^[0-9A-Fa-f:]+$") & mention.contains(":"), F.array(piece("address-6", F.lower(mention), mention)))
         .when(mention.rlike("^[0-9]"), F.array(piece("number", _digits(mention), mention)))
         .when(
             F.size(names) > 1,
@@ -115,6 +136,31 @@ def _check_digit(body: Column) -> Column:
     return ((10 - total % 10) % 10).cast("string")
 
 
+def _hexed(text: Column, stream: Column) -> Column:
+    """Other hexadecimal digits in the place of a text's own."""
+    one = lambda char, at: F.when(char.rlike("[0-9a-f]"), F.substr(F.lit("0123456789abcdef"), _draw(stream, at) % 16 + 1, F.lit(1))).otherwise(char)
+    return F.array_join(F.transform(F.split(text, ""), one), "")
+
+
+def _modulo_97(text: Column) -> Column:
+    """Digits and capital letters as one number, letters counting from 10, modulo 97."""
+
+    def step(rest: Column, char: Column) -> Column:
+        return F.when(char.rlike("[0-9]"), (rest * 10 + char.cast("int")) % 97).when(char.rlike("[A-Z]"), (rest * 100 + F.ascii(char) - 55) % 97).otherwise(rest)
+
+    return F.aggregate(F.split(text, ""), F.lit(0), step)
+
+
+def _account(canonical: Column, stream: Column, more: Column) -> Column:
+    """Another account number of the country, its check digits right if the original's are."""
+    country, check, own = F.substr(canonical, F.lit(1), F.lit(2)), F.substr(canonical, F.lit(3), F.lit(2)), F.substr(canonical, F.lit(5))
+    other = F.concat(_alike(own, stream), more)
+    right = F.lit(98) - _modulo_97(F.concat(other, country, F.lit("00")))
+    valid = _modulo_97(F.concat(own, country, check)) == 1
+    wrong = (right + 1 + _draw(stream, 31) % 95) % 97
+    return F.concat(country, F.lpad(F.when(valid, right).otherwise(wrong).cast("string"), 2, "0"), other)
+
+
 def _name(piece_kind: Column, canonical: Column, stream: Column, extra: Column) -> Column:
     def of(script: str) -> Column:
         syllables = F.array(*map(F.lit, SYLLABLES[script]))
@@ -147,6 +193,7 @@ def surrogate(kind: Column, canonical: Column, draw: Column, key: str) -> Column
     octets = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: F.when(i == 0, F.when(draw < SAME_SIZE_DRAWS, F.lit(10)).otherwise(_draw(own, i) % 223 + 1)).otherwise(_draw(own, i) % 256).cast("string"))
     return (
         F.when(kind == "email", email).when(kind == "phone", phone).when(kind == "number", number)
+        .when(kind == "iban", _account(canonical, own, more)).when(kind == "address-6", F.concat(_hexed(canonical, own), more))
         .when(kind == "address", F.array_join(octets, ".")).when(kind == "secret", F.concat(_alike(canonical, own), more))
         .otherwise(_name(kind, canonical, own, extra))
     )
@@ -154,23 +201,25 @@ def surrogate(kind: Column, canonical: Column, draw: Column, key: str) -> Column
 
 def rendered(kind: Column, piece: Column, drawn: Column) -> Column:
     """A canonical surrogate in the form of a piece: its digits put in place, or its case followed."""
-    numbers = _digits(drawn)
+    def placed(signs: Column, which: str) -> Column:
+        def step(state: Column, char: Column) -> Column:
+            mine = char.rlike(which)
+            return F.struct(
+                F.when(mine, state["at"] + 1).otherwise(state["at"]).alias("at"),
+                F.concat(state["out"], F.when(mine, F.substr(signs, state["at"], F.lit(1))).otherwise(char)).alias("out"),
+            )
 
-    def step(state: Column, char: Column) -> Column:
-        digit = char.rlike("[0-9]")
-        return F.struct(
-            F.when(digit, state["at"] + 1).otherwise(state["at"]).alias("at"),
-            F.concat(state["out"], F.when(digit, F.substr(numbers, state["at"], F.lit(1))).otherwise(char)).alias("out"),
-        )
+        start = F.struct(F.lit(1).alias("at"), F.lit("").alias("out"))
+        return F.aggregate(F.split(piece, ""), start, step, lambda s: F.concat(s["out"], F.substr(signs, s["at"])))
 
-    placed = F.aggregate(
-        F.split(piece, ""), F.struct(F.lit(1).alias("at"), F.lit("").alias("out")), step,
-        lambda s: F.concat(s["out"], F.substr(numbers, s["at"])),
-    )
     cased = F.when((F.upper(piece) == piece) & (F.length(piece) > 1), F.upper(drawn)).when(
         F.substr(piece, F.lit(1), F.lit(1)) == F.upper(F.substr(piece, F.lit(1), F.lit(1))), F.initcap(drawn)
     ).otherwise(drawn)
-    return F.when(kind.isin("phone", "number"), placed).when(kind.isin("address", "secret", "email"), drawn).otherwise(cased)
+    upper = F.when(F.upper(piece) == piece, F.upper(drawn)).otherwise(drawn)
+    return (
+        F.when(kind.isin("phone", "number"), placed(_digits(drawn), "[0-9]")).when(kind == "iban", placed(drawn, "[0-9A-Z]"))
+        .when(kind == "address-6", upper).when(kind.isin("address", "secret", "email"), drawn).otherwise(cased)
+    )
 
 
 def assign(entities: DataFrame, key: str, scratch: Scratch) -> DataFrame:
@@ -207,12 +256,14 @@ def replace_entities(docs: DataFrame, key: str, id_column: str = "doc_id", text:
     scratch = Scratch(docs.sparkSession)
     plain = docs.drop(*({count} - {text, id_column, None})) if count else docs
     order = [*plain.columns, *([count] if count else [])]
-    found = plain.withColumn("__mentions", mentions(F.col(text)))
-    own = [F.xxhash64(text).alias("__id"), F.length(text).alias("__size")]
-    with_some = found.where(F.size("__mentions") > 0)
-    without = found.where(F.size("__mentions") == 0)
+    has, mark, size, given = free_names(order, "mentions", "text_hash", "text_size", "given")
+    found = plain.withColumn(has, mentions(F.col(text)))
+    own = [F.xxhash64(text).alias(mark), F.length(text).alias(size)]
+    # their mentions are found once, and what they are replaced by is looked up twice
+    with_some = scratch.keep(found.where(F.size(has) > 0).select("*", *own), "pii-texts")
+    without = found.where(F.size(has) == 0)
     said = scratch.keep(
-        with_some.select(*own, F.explode(F.array_distinct("__mentions")).alias("mention")).distinct(), "pii-mentions"
+        with_some.select(mark, size, F.explode(F.array_distinct(has)).alias("mention")).distinct(), "pii-mentions"
     )
     forms = scratch.keep(
         said.select("mention").distinct().select("mention", F.posexplode(parts(F.col("mention"))).alias("at", "part"))
@@ -225,19 +276,20 @@ def replace_entities(docs: DataFrame, key: str, id_column: str = "doc_id", text:
     new = scratch.keep(
         shown.groupBy("mention").agg(F.array_join(F.array_sort(F.collect_list(F.struct("at", "shown"))).getField("shown"), "").alias("new")), "pii-shown"
     )
-    maps = said.join(new, "mention").groupBy("__id", "__size").agg(F.map_from_entries(F.collect_list(F.struct("mention", "new"))).alias("__new"))
+    maps = said.join(new, "mention").groupBy(mark, size).agg(F.map_from_entries(F.collect_list(F.struct("mention", "new"))).alias(given))
     # written, so that the join's shuffles stand alone and a text of many copies can be split
     maps = scratch.keep(maps, "pii-maps")
-    joined = with_some.select("*", *own).join(maps, ["__id", "__size"], "left").drop("__id", "__size")
+    scratch.drop("pii-mentions", "pii-forms", "pii-shown", *(n for n in list(scratch.folders) if n.startswith("pii-draw")))
+    joined = with_some.join(maps, [mark, size], "left").drop(mark, size)
     pieces = F.split(F.col(text), MENTION, -1)
     put = F.zip_with(
-        pieces, F.transform("__mentions", lambda m: F.element_at("__new", m)),
+        pieces, F.transform(has, lambda m: F.element_at(given, m)),
         lambda piece, replacement: F.concat(piece, F.coalesce(replacement, F.lit(""))),
     )
-    done = joined.withColumn(text, F.array_join(put, "")).drop("__new")
+    done = joined.withColumn(text, F.array_join(put, "")).drop(given)
     out = done.unionByName(without)
     if count:
-        out = out.withColumn(count, F.size("__mentions").cast("long"))
+        out = out.withColumn(count, F.size(has).cast("long"))
     return out.select(*[F.col(f"`{c}`") for c in order])
 
 

@@ -8,18 +8,18 @@ the tokens and the distinct words seen behind ``h``, ``lower`` is the word's wei
 history. A state gives out one by construction. The last history is empty; its arcs are unigrams with
 a floor, which are the base score as well.
 
-The model grows with the corpus, so it is never sent whole. N-grams are 64-bit hashes, dealt out in
-buckets by their upper bits as sorted arrays, counted a bucket at a time. Texts are encoded into
-blocks of about ``BLOCK_TOKENS`` tokens; each block asks the buckets for its own distinct n-grams and
-histories, and what comes back is its part of the automaton. As all n-grams are kept, the two words
-before a token tell the state a walk is in, and all steps of a block are taken at once.
+The model grows with the corpus, so it is never sent whole. Texts are encoded into blocks of about
+``BLOCK_TOKENS`` tokens. Words get whole numbers, small ones for frequent words of their bucket. Each
+block then posts its distinct pairs with the words behind them, in order, to buckets by a hash of the
+pair: its training counts, which are also its question. As a pair is whole in its bucket, the answer
+is complete, and it comes back in the order of the post, without keys. A block builds its part of the
+automaton from that, and its texts are walked from left to right, the state carried along.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -27,18 +27,16 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from barloom.llm.scratch import Scratch
-from barloom.llm.texts import U64, Words, all_chunks, buffers, mix, table
+from barloom.llm.texts import U64, Words, all_chunks, buffers, free_names, mix, table
 
 DISCOUNT, FLOOR = 0.7, 0.1
-BLOCK_TOKENS = 2_000_000
-PENDING = 4_000_000
-#: About as many n-grams, before they are counted, lie in a bucket; and the fewest bits of a bucket's number.
-BUCKET_GRAMS, LEAST_BITS = 2_000_000, 6
-END = 0x5EED0E4D
-#: The empty history, and the history of a text's first word.
-ROOT, START = U64(0x1D2E3F4A5B6C7D81), U64(0x9C0FFEE123456789)
+BLOCK_TOKENS = 3_000_000
+#: About as many n-grams, before they are added up, lie in a bucket; words of a bucket; the fewest bits of a bucket's number.
+BUCKET_GRAMS, BUCKET_WORDS, LEAST_BITS = 1_500_000, 500_000, 4
+#: Tokens that are walked in turn; longer texts are cut, and a piece starts in the state its two words before lead to.
+WALK = 512
+END, START = U64(0x5EED0E4D), U64(0x9C0FFEE123456789)
 _LEFT, _RIGHT = U64(0x9E3779B97F4A7C15), U64(0xC2B2AE3D27D4EB4F)
-SHAPES = 32
 
 
 def held_out(key: str = "doc_id") -> Column:
@@ -46,253 +44,322 @@ def held_out(key: str = "doc_id") -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(key).cast("string").cast("binary")), F.lit(10)) == 0, F.lit(False))
 
 
-def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word hashes with an end after each text, their shapes, and each text's first token."""
-    data, offsets = buffers(column)
-    words = Words(data, offsets)
+def tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Word hashes with an end after each text, and each text's first token."""
+    words = Words(*buffers(column))
     first = words.first + np.arange(len(words.first))
     out = np.full(first[-1], END, U64)
-    shape = np.zeros(first[-1], np.uint8)
-    at = np.arange(len(words.hash)) + np.searchsorted(words.first[1:], np.arange(len(words.hash)), "right")
-    out[at] = words.hash
-    if len(words.hash):
-        wide = np.concatenate(([0], np.cumsum(data >= 128)))
-        other = (wide[words.end] > wide[words.start]).astype(np.uint8)
-        last = words.data[words.end - 1]
-        kind = np.select([last == 46, last == 44, (last >= 97) & (last <= 122) | (last >= 128)], [0, 1, 2], 3)
-        size = np.searchsorted([3, 6, 10], words.end - words.start)
-        shape[at] = other * 16 + kind.astype(np.uint8) * 4 + size.astype(np.uint8)
-    return out, shape, first
-
-
-@dataclass
-class Classes:
-    """Words by hash, and the shape classes behind them, of an automaton held in one place."""
-
-    words: np.ndarray  # sorted hashes of frequent words
-    counts: np.ndarray
-    rare_tokens: np.ndarray  # by shape
-    rare_words: np.ndarray
-    tokens: int
-    distinct: int
-
-    @property
-    def size(self) -> int:
-        return len(self.words) + SHAPES
-
-    def of(self, hashes: np.ndarray, shapes: np.ndarray) -> np.ndarray:
-        if not len(self.words):
-            return len(self.words) + shapes.astype(np.int64)
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return np.where(self.words[at] == hashes, at, len(self.words) + shapes.astype(np.int64))
+    out[np.arange(len(words.hash)) + np.searchsorted(words.first[1:], np.arange(len(words.hash)), "right")] = words.hash
+    return out, first
 
 
-class Automaton:
-    """A small automaton in one place: states, arcs with log10 weights, and failure arcs."""
-
-    def __init__(self, classes: Classes, pairs: np.ndarray, pair_n: np.ndarray, triples: np.ndarray, triple_n: np.ndarray, texts: int):
-        self.classes, self.pairs, self.triples = classes, pairs, triples
-        size = classes.size
-        self.wide = U64(size + 1)
-        n = np.concatenate((classes.counts, classes.rare_tokens)) + 0.5
-        one = n / n.sum()
-        self.one = np.log10(one)
-        left, right = (pairs // self.wide).astype(np.int64), (pairs % self.wide).astype(np.int64)
-        heads = np.append(np.concatenate((classes.counts, classes.rare_tokens)), texts)
-        two = np.maximum(pair_n - DISCOUNT, 0.1) / np.maximum(heads[left], pair_n)
-        self.two = np.log10(two)
-        self.fail_one = self._fail(left, two, one[right], size + 1)
-        head = (triples // self.wide).astype(np.int64)
-        tail = (triples % self.wide).astype(np.int64)
-        three = np.maximum(triple_n - DISCOUNT, 0.1) / np.maximum(pair_n[head], triple_n) if len(head) else np.zeros(0)
-        self.three = np.log10(three)
-        at = np.searchsorted(pairs, right[head].astype(U64) * self.wide + tail.astype(U64)) if len(head) else head
-        self.fail_two = self._fail(head, three, two[at], len(pairs))
-
-    @staticmethod
-    def _fail(state: np.ndarray, given: np.ndarray, lower: np.ndarray, states: int) -> np.ndarray:
-        """What a state's own arcs leave, over what the shorter history leaves beside them."""
-        left = np.maximum(1 - np.bincount(state, given, states), 1e-9)
-        beside = np.maximum(1 - np.bincount(state, lower, states), 1e-9)
-        return np.log10(np.minimum(left / beside, 1e9))
+def pack(values: np.ndarray) -> bytes:
+    """Whole numbers by planes of their bytes, compressed; the first byte is their width."""
+    width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
+    planes = np.ascontiguousarray(values, "<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
+    raw = np.ascontiguousarray(planes).tobytes()
+    return bytes([width]) + len(values).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True) if raw else b""
 
-    @staticmethod
-    def _arc(arcs: np.ndarray, key: np.ndarray) -> np.ndarray:
-        """Number of the arc, or -1."""
-        if not len(arcs):
-            return np.full(len(key), -1)
-        at = np.minimum(np.searchsorted(arcs, key), len(arcs) - 1)
-        return np.where(arcs[at] == key, at, -1)
-
-    def score(self, words: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """log10 probability of each text's classes.
-
-        One traversal from left to right: step ``t`` takes the ``t``-th token of every text that
-        has one, from the state that its text carries.
-        """
-        size = np.diff(first)
-        order = np.argsort(-size, kind="stable")
-        sizes, begin = size[order], first[:-1][order]
-        total = np.zeros(len(order))
-        pair = np.full(len(order), -1)  # longest history: a kept pair, if there is one
-        last = np.full(len(order), self.classes.size)
-        active = len(order)
-        for t in range(int(sizes[0]) if len(sizes) else 0):
-            while sizes[active - 1] <= t:
-                active -= 1
-            word = words[begin[:active] + t]
-            key = word.astype(U64)
-            arc = self._arc(self.pairs, last[:active].astype(U64) * self.wide + key)
-            gain = np.where(arc >= 0, self.two[arc], self.fail_one[last[:active]] + self.one[word]) if len(self.two) else self.fail_one[last[:active]] + self.one[word]
-            if len(self.three):
-                state = pair[:active]
-                long = self._arc(self.triples, np.maximum(state, 0).astype(U64) * self.wide + key)
-                gain = np.where(state < 0, gain, np.where(long >= 0, self.three[long], self.fail_two[state] + gain))
-            total[:active] += gain
-            pair[:active] = np.where(last[:active] == self.classes.size, -1, arc)
-            last[:active] = word
-        out = np.empty(len(order))
-        out[order] = total
-        return out
 
+def unpack(data: bytes) -> np.ndarray:
+    if not data:
+        return np.zeros(0, np.int64)
+    width, n = data[0], int.from_bytes(data[1:9], "little")
+    raw = pa.decompress(data[9:], width * n, codec="zstd", asbytes=True)
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :width] = np.frombuffer(raw, np.uint8).reshape(width, n).T
+    return out.reshape(-1).view(np.int64)
 
-def grams(words: np.ndarray, first: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
-    """Histories and n-grams of each token for one, two and three words; whether it has the last ones."""
-    begins = np.zeros(len(words), bool)
-    begins[first[:-1]] = True
-    before = np.roll(words, 1)
-    before[begins] = START
-    pair = mix(before * _LEFT + words * _RIGHT + U64(2))
-    head = np.roll(pair, 1)
-    triple = mix(head * _LEFT + words * _RIGHT + U64(3))
-    return [np.full(len(words), ROOT), before, head], [words, pair, triple], ~begins
 
+def packs(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """One binary for each run between cuts."""
+    return pa.array([pack(values[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())
 
-def _flat(columns: list[np.ndarray], has: np.ndarray) -> np.ndarray:
-    return np.concatenate((columns[0], columns[1], columns[2][has]))
 
+def unpacks(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs in one, and where each begins, with one more at the end."""
+    parts = [unpack(x.as_py()) for x in column]
+    return np.concatenate([np.zeros(0, np.int64), *parts]), np.concatenate(([0], np.cumsum([len(p) for p in parts], dtype=np.int64)))
 
-def _cuts(keys: np.ndarray, bits: int) -> np.ndarray:
-    """Where each bucket begins among sorted keys, with one more at the end."""
-    edges = np.arange(1 << bits, dtype=U64) << U64(64 - bits)
-    return np.append(np.searchsorted(keys, edges), len(keys))
 
+def steps(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Differences to the value before; the value itself where a run begins."""
+    out = np.diff(values, prepend=0)
+    out[begins] = values[begins]
+    return out
 
-def _bytes(values: np.ndarray, cuts: np.ndarray, some: np.ndarray) -> pa.Array:
-    return pa.array([values[cuts[b] : cuts[b + 1]].tobytes() for b in some], pa.binary())
 
+def summed(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """What ``steps`` was made from."""
+    total = np.cumsum(values)
+    base = total[begins] - values[begins]
+    return total - np.repeat(base, np.diff(np.append(begins, len(values))))
 
-def _joined(column: pa.ChunkedArray, kind: type) -> np.ndarray:
-    return np.concatenate([np.zeros(0, kind), *(np.frombuffer(x.as_buffer(), kind) for x in column)])
 
+def joint(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs in order, as places of their first occurrence; each pair's number; how often each occurs."""
+    wide = int(y.max()) + 1 if len(y) else 1
+    if len(x) and (int(x.max()) + 1) * wide >= 1 << 63:
+        x, y = np.unique(x, return_inverse=True)[1], np.unique(y, return_inverse=True)[1]
+        wide = int(y.max()) + 1
+    _, at, number, many = np.unique(x * wide + y, return_index=True, return_inverse=True, return_counts=True)
+    return at, number, many
 
-def gram_counts(docs: DataFrame, bits: int, text: str) -> DataFrame:
-    """N-grams with their histories and counts, added up within parts of a task, by bucket of the n-gram."""
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        heads: list[np.ndarray] = []
-        keys: list[np.ndarray] = []
-
-        def part() -> pa.RecordBatch:
-            head, key = np.concatenate(heads), np.concatenate(keys)
-            heads.clear(), keys.clear()
-            key, at, n = np.unique(key, return_index=True, return_counts=True)
-            cuts = _cuts(key, bits)
-            some = np.flatnonzero(np.diff(cuts))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(some.astype(np.int32)), _bytes(head[at], cuts, some), _bytes(key, cuts, some), _bytes(n.astype(np.uint32), cuts, some)],
-                ["bucket", "heads", "keys", "n"],
-            )
 
-        for batch in all_chunks(batches, text):
-            words, _, first = tokens(batch.column(text))
-            histories, found, has = grams(words, first)
-            heads.append(_flat(histories, has))
-            keys.append(_flat(found, has))
-            if sum(map(len, keys)) >= PENDING:
-                yield part()
-        if keys:
-            yield part()
+def added(number: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
+    """Counts by number, exact up to 2^53."""
+    return np.bincount(number, n, size).astype(np.int64)
 
-    return docs.select(text).mapInArrow(run, "bucket int, heads binary, keys binary, n binary")
 
+def ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places ``first[i] ... first[i] + size[i] - 1`` of all ``i`` in turn."""
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
 
-def blocks_of(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Texts in blocks: their words as places in the block's own sorted list."""
-    from pyspark import TaskContext
 
+def _blocks(key: str, text: str, train: str, word_bits: int):
+    """Texts in blocks: tokens as ranks in the block's own list of words, the start of a text being 0."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
         task, number = TaskContext.get().partitionId(), 0
-        held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []
+        held: list[tuple[pa.Array, pa.Array, np.ndarray, np.ndarray]] = []
 
         def block() -> pa.RecordBatch:
-            words, code = np.unique(np.concatenate([h[1] for h in held]), return_inverse=True)
-            size = np.concatenate([h[2] for h in held]).astype(np.int32)
-            ids = pa.concat_arrays([h[0] for h in held])
+            ids, trains = (pa.concat_arrays([h[i] for h in held]) for i in (0, 1))
+            size = np.concatenate([h[3] for h in held])
+            words, code, many = np.unique(np.concatenate([h[2] for h in held]), return_inverse=True, return_counts=True)
             held.clear()
+            used = trains.to_numpy(zero_copy_only=False).astype(bool)
+            n = added(code, np.repeat(used, size), len(words))
+            order = np.argsort(-many, kind="stable")
+            rank = np.empty(len(order), np.int64)
+            rank[order] = np.arange(1, len(order) + 1)
+            words, n = np.append(START, words[order]), np.append(used.sum(), n[order])
+            bucket = (words >> U64(64 - word_bits)).astype(np.int64)
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([f"{task}-{number}"]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
-                    pa.array([size.tobytes()], pa.binary()), pa.array([code.astype(np.int32).tobytes()], pa.binary()),
-                    pa.array([words.tobytes()], pa.binary()),
+                    *(pa.array([pack(x)], pa.binary()) for x in (size, used, rank[code], bucket)),
+                    pa.array([words.tobytes()], pa.binary()), pa.array([pack(n)], pa.binary()),
                 ],
-                ["block", "ids", "sizes", "codes", "words"],
+                ["block", "ids", "sizes", "trains", "codes", "places", "words", "n"],
             )
 
         for batch in all_chunks(batches, text):
-            words, _, first = tokens(batch.column(text))
-            held.append((batch.column(key), words, np.diff(first)))
-            if sum(len(h[1]) for h in held) >= BLOCK_TOKENS:
+            words, first = tokens(batch.column(text))
+            held.append((batch.column(key), batch.column(train), words, np.diff(first)))
+            if sum(len(h[2]) for h in held) >= BLOCK_TOKENS:
                 yield block()
                 number += 1
         if held:
             yield block()
 
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInArrow(run, f"block string, ids array<{kind}>, sizes binary, codes binary, words binary")
+    return run
 
 
-def _block_grams(sizes: pa.Scalar, codes: pa.Scalar, words: pa.Scalar):
-    """A block's token numbers by text, and its histories and n-grams."""
-    size = np.frombuffer(sizes.as_buffer(), np.int32)
-    first = np.concatenate(([0], np.cumsum(size, dtype=np.int64)))
-    return first, *grams(np.frombuffer(words.as_buffer(), U64)[np.frombuffer(codes.as_buffer(), np.int32)], first)
+def _by_place(place: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Order by bucket, the buckets that occur, and where each begins, with one more at the end."""
+    order = np.argsort(place, kind="stable")
+    cuts = np.searchsorted(place[order], np.arange((1 << bits) + 1))
+    some = np.flatnonzero(np.diff(cuts))
+    return order, some, np.append(cuts[some], len(place))
 
 
-def asked(blocks: DataFrame, bits: int, which: str) -> DataFrame:
-    """Each block's distinct n-grams, or its distinct histories, by bucket."""
+def _word_posts(bits: int):
+    """Words of a block with their training counts, by bucket, in the order of their ranks."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                _, histories, found, has = _block_grams(*(batch.column(c)[row] for c in ("sizes", "codes", "words")))
-                keys = np.unique(_flat(found if which == "grams" else histories, has))
-                cuts = _cuts(keys, bits)
-                some = np.flatnonzero(np.diff(cuts))
+            for row in batch.to_pylist():
+                words, n = np.frombuffer(row["words"], U64), unpack(row["n"])
+                order, some, cuts = _by_place(unpack(row["places"]), bits)
+                words = words[order]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([batch.column("block")[row].as_py()] * len(some)), pa.array(some.astype(np.int32)), _bytes(keys, cuts, some)],
-                    ["block", "bucket", "keys"],
+                    [pa.array([row["block"]] * len(some), pa.string()), pa.array(some.astype(np.int32)),
+                     pa.array([words[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()), packs(n[order], cuts)],
+                    ["block", "bucket", "words", "n"],
                 )
 
-    return blocks.select("block", "sizes", "codes", "words").mapInArrow(run, "block string, bucket int, keys binary")
+    return run
+
+
+def _numbered(bits: int):
+    """Numbers and counts of a bucket's words for each block that has them; tokens and distinct words of the bucket."""
+    def run(rows: pa.Table) -> pa.Table:
+        size = [len(x.as_py()) // 8 for x in rows["words"]]
+        words = np.concatenate([np.frombuffer(x.as_py(), U64) for x in rows["words"]])
+        words, at = np.unique(words, return_inverse=True)
+        n = added(at, unpacks(rows["n"])[0], len(words))
+        order = np.lexsort((words, -n))
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        number = (rank << bits) + rows["bucket"][0].as_py()
+        cuts = np.concatenate(([0], np.cumsum(size)))
+        own = words != START
+        totals = [pa.array(np.full(rows.num_rows, x), pa.int64()) for x in (n[own].sum(), (n[own] > 0).sum())]
+        return pa.table([rows["block"], rows["bucket"], packs(number[at], cuts), packs(n[at], cuts), *totals], ["block", "bucket", "numbers", "n", "tokens", "distinct"])
+
+    return run
+
+
+class Block:
+    """Tokens of a block, its distinct pairs and the words behind each, all in the order of the words' numbers."""
+
+    def __init__(self, row: dict, numbers: np.ndarray, word_bits: int, bits: int) -> None:
+        order, _, _ = _by_place(unpack(row["places"]), word_bits)
+        number = np.empty(len(order), np.int64)
+        number[order] = numbers  # by rank
+        by_number = np.argsort(number)
+        local = np.empty(len(order), np.int64)
+        local[by_number] = np.arange(len(order))
+        self.numbers, self.posted = number[by_number], local[order]
+        self.size = unpack(row["sizes"])
+        self.first = np.concatenate(([0], np.cumsum(self.size)))
+        self.start = int(local[0])
+        self.word = local[unpack(row["codes"])]
+        begins, ends = self.first[:-1], self.first[1:] - 1
+        self.before = np.roll(self.word, 1)
+        self.before[begins] = self.start
+        behind = np.roll(self.word, -1)
+        self.end = int(self.word[ends[0]])
+        behind[ends] = self.end  # nothing is behind an end: a second one stands there
+        at, self.pair_at, _ = joint(self.before, self.word)
+        self.left, self.right = self.before[at], self.word[at]
+        at, self.gram_at, _ = joint(self.pair_at, behind)
+        self.head, self.tail = self.pair_at[at], behind[at]
+        self.used = np.repeat(unpack(row["trains"]), self.size)
+        place = mix(self.numbers[self.left].astype(U64) * _LEFT + self.numbers[self.right].astype(U64) * _RIGHT) >> U64(64 - bits)
+        self.pair_order, self.buckets, self.pair_cuts = _by_place(place.astype(np.int64), bits)
+        width = np.bincount(self.head, minlength=len(self.left))
+        self.width = width[self.pair_order]
+        self.gram_order = ranges((np.cumsum(width) - width)[self.pair_order], self.width)
+        self.gram_cuts = np.concatenate(([0], np.cumsum(self.width)))[self.pair_cuts]
+
+    def posts(self, block: str) -> pa.Table:
+        left, right = self.numbers[self.left[self.pair_order]], self.numbers[self.right[self.pair_order]]
+        new = np.zeros(len(left), bool)
+        new[self.pair_cuts[:-1]] = True
+        a = steps(left, np.flatnonzero(new))
+        b = steps(right, np.flatnonzero(new | (np.diff(left, prepend=-1) != 0)))
+        c = steps(self.numbers[self.tail[self.gram_order]], np.cumsum(self.width) - self.width)
+        n = added(self.gram_at, self.used, len(self.head))[self.gram_order]
+        columns = [packs(x, self.pair_cuts) for x in (a, b, self.width)] + [packs(x, self.gram_cuts) for x in (c, n)]
+        return pa.table([pa.array([block] * len(self.buckets), pa.string()), pa.array(self.buckets.astype(np.int32)), *columns], ["block", "bucket", *"abkcn"])
+
+
+def _counted(word_bits: int):
+    """A bucket's posts added up and answered in their order; and the distinct words behind each left word."""
+    def run(rows: pa.Table) -> pa.Table:
+        (a, cuts), (b, _), (k, _), (c, gram_cuts), (n, _) = (unpacks(rows[x]) for x in "abkcn")
+        new = np.zeros(len(a), bool)
+        new[cuts[:-1]] = True
+        left = summed(a, np.flatnonzero(new))
+        right = summed(b, np.flatnonzero(new | (np.diff(left, prepend=-1) != 0)))
+        tail = summed(c, np.cumsum(k) - k)
+        at, pair, _ = joint(left, right)
+        first, gram, _ = joint(np.repeat(pair, k), tail)
+        count = added(gram, n, len(first))
+        head = np.repeat(pair, k)[first]
+        total, kinds = added(head, count, len(at)), np.bincount(head, count > 0, len(at)).astype(np.int64)
+        words, which = np.unique(left[at], return_inverse=True)
+        followers = np.bincount(which, total > 0, len(words)).astype(np.int64)
+        order, some, word_cuts = _by_place(words & ((1 << word_bits) - 1), word_bits)
+        return pa.table(
+            [
+                pa.array(rows["block"].to_pylist() + [None] * len(some), pa.string()), pa.array(rows["bucket"].to_pylist() + some.tolist(), pa.int32()),
+                pa.concat_arrays([packs(count[gram], gram_cuts), packs(words[order], word_cuts)]),
+                pa.concat_arrays([packs(total[pair], cuts), packs(followers[order], word_cuts)]),
+                pa.concat_arrays([packs(kinds[pair], cuts), pa.nulls(len(some), pa.binary())]),
+            ],
+            ["block", "bucket", "x", "y", "z"],
+        )
 
+    return run
 
-def _looked_up(asks: pa.Table, keys: np.ndarray, *values: np.ndarray) -> list[list[bytes]]:
-    """For each block that asks, the values of its keys; 0 where a key is not there."""
-    out: list[list[bytes]] = [[] for _ in values]
-    for row in asks["keys"]:
-        wanted = np.frombuffer(row.as_buffer(), U64)
-        at = np.minimum(np.searchsorted(keys, wanted), max(len(keys) - 1, 0))
-        there = keys[at] == wanted if len(keys) else np.zeros(len(wanted), bool)
-        for o, value in zip(out, values, strict=True):
-            o.append((np.where(there, value[at], 0) if len(keys) else np.zeros(len(wanted))).astype(np.int64).tobytes())
-    return out
 
+def _followed(words: pa.Table, partial: pa.Table) -> pa.Table:
+    """To the words of blocks the distinct words behind each, added up over the buckets of pairs."""
+    number, at = np.unique(unpacks(partial["x"])[0], return_inverse=True)
+    kinds = added(at, unpacks(partial["y"])[0], len(number))
+    asked, cuts = unpacks(words["numbers"])
+    at = np.minimum(np.searchsorted(number, asked), max(len(number) - 1, 0))
+    found = np.where(number[at] == asked, kinds[at], 0) if len(number) else np.zeros(len(asked), np.int64)
+    return pa.table([words["block"], words["bucket"], words["numbers"], words["n"], packs(found, cuts)], ["block", "bucket", "x", "y", "z"])
 
-ANSWER = "block string, bucket int, n binary, kinds binary, keys binary"
 
+class Automaton:
+    """The part of the automaton that a block's n-grams touch.
+
+    States: the root 0, words from 1 on, then pairs. Arcs lie sorted by (state, word); each state
+    but the root has a failure arc. The root has an arc for every word.
+    """
+
+    def __init__(
+        self, word_n: np.ndarray, word_kinds: np.ndarray, tokens: int, distinct: int, start: int, end: int,
+        left: np.ndarray, right: np.ndarray, pair_n: np.ndarray, pair_kinds: np.ndarray,
+        head: np.ndarray, tail: np.ndarray, gram_n: np.ndarray,
+    ) -> None:
+        words, pairs = len(word_n), len(left)
+        self.words, self.start = words, start
+        base = (word_n + FLOOR) / (tokens + FLOOR * (distinct + 1))
+        self.base = np.log10(base)
+        behind = np.where(np.arange(words) == end, 0, word_n)  # tokens behind a word, and behind the start of texts
+        fail_one = np.where(behind > 0, DISCOUNT * word_kinds / np.maximum(behind, 1), 1)
+        two = np.where(behind[left] > 0, np.maximum(pair_n - DISCOUNT, 0) / np.maximum(behind[left], 1) + fail_one[left] * base[right], base[right])
+        fail_two = np.where(pair_n > 0, DISCOUNT * pair_kinds / np.maximum(pair_n, 1), 1)
+        follows = self._place(left * words + right, right[head] * words + tail)
+        own = (gram_n > 0) & (right[head] != end)
+        lower = two[np.maximum(follows[own], 0)]
+        three = (gram_n[own] - DISCOUNT) / pair_n[head[own]] + fail_two[head[own]] * lower
+        seen = np.flatnonzero(pair_n > 0)
+        word_state = np.where(behind > 0, np.arange(words) + 1, 0)
+        # a pair that an end closes is no state: a text is over there
+        self.pair_state = np.where((pair_n > 0) & (right != end), np.arange(pairs) + words + 1, word_state[right])
+        self.word_state = word_state
+        self.arcs = np.concatenate((left[seen] + 1, head[own] + words + 1)) * words + np.concatenate((right[seen], tail[own]))
+        self.arc_weight = np.log10(np.concatenate((two[seen], three)))
+        self.arc_to = np.concatenate((self.pair_state[seen], self.pair_state[follows[own]]))
+        self.fail_weight = np.log10(np.concatenate(([1], fail_one, fail_two)))
+        self.fail_to = np.concatenate(([0], np.zeros(words, np.int64), word_state[right]))
 
-def _answers(blocks: list, buckets, n: list, kinds: list, keys: list) -> pa.Table:
-    columns = [pa.array(blocks, pa.string()), pa.array(buckets, pa.int32()), *(pa.array(x, pa.binary()) for x in (n, kinds, keys))]
-    return pa.table(columns, ["block", "bucket", "n", "kinds", "keys"])
+    @staticmethod
+    def _place(sorted_: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+        """Where each one stands, or -1."""
+        if not len(sorted_):
+            return np.full(len(wanted), -1)
+        at = np.minimum(np.searchsorted(sorted_, wanted), len(sorted_) - 1)
+        return np.where(sorted_[at] == wanted, at, -1)
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The log10 weight of each walk's next word and the state it leads to, by failure arcs where needed."""
+        weight, to = np.zeros(len(state)), np.zeros(len(state), np.int64)
+        walk = np.arange(len(state))
+        while len(walk):
+            arc = np.where(state == 0, -1, self._place(self.arcs, state * self.words + word))
+            root, found = state == 0, arc >= 0
+            weight[walk[root]] += self.base[word[root]]
+            to[walk[root]] = self.word_state[word[root]]
+            weight[walk[found]] += self.arc_weight[arc[found]]
+            to[walk[found]] = self.arc_to[arc[found]]
+            left = ~(root | found)
+            weight[walk[left]] += self.fail_weight[state[left]]
+            walk, state, word = walk[left], self.fail_to[state[left]], word[left]
+        return weight, to
+
+    def walk(self, word: np.ndarray, first: np.ndarray, pair_at: np.ndarray) -> np.ndarray:
+        """Weights of all tokens: texts are walked side by side from left to right, long ones in pieces."""
+        size = np.diff(first)
+        pieces = -(-size // WALK)
+        begin = np.repeat(first[:-1] - WALK * (np.cumsum(pieces) - pieces), pieces) + WALK * np.arange(int(pieces.sum()))
+        long = np.minimum(np.repeat(first[1:], pieces) - begin, WALK)
+        state = np.where(np.isin(begin, first[:-1]), self.word_state[self.start], self.pair_state[pair_at[begin - 1]])
+        order = np.argsort(-long, kind="stable")
+        begin, long, state = begin[order], long[order], state[order]
+        out = np.zeros(len(word))
+        for t in range(int(long[0]) if len(long) else 0):
+            active = int(np.searchsorted(-long, -t, "left"))
+            at = begin[:active] + t
+            out[at], state = self.step(state[:active], word[at])
+        return out
 
 
 def lm_scores(docs: DataFrame, training: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -302,78 +369,67 @@ def lm_scores(docs: DataFrame, training: Column, key: str = "doc_id", text: str
     floor) and ``score`` (the automaton), log10 probabilities of the whole text and its end. A null,
     empty or blank text is its end alone. Repeated rows score alike; training on them counts each.
     Without training rows both scores are 0 for each token. Only the named columns are read. Words
-    and n-grams are told apart by a 64-bit hash.
+    are told apart by a 64-bit hash, n-grams by the numbers of their words.
     """
     scratch = Scratch(docs.sparkSession)
-    train = docs.where(training).select(text)
-    letters = train.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    # about six bytes a word, and three n-grams
-    bits = max(LEAST_BITS, math.ceil(math.log2(max(letters / 2 / BUCKET_GRAMS, 1))))
-
-    def arcs(left: pa.Table, right: pa.Table) -> pa.Table:
-        """A bucket's n-grams counted: what blocks asked for, and the tokens and distinct words of each history."""
-        keys, heads, n = _joined(left["keys"], U64), _joined(left["heads"], U64), _joined(left["n"], np.uint32)
-        order = np.argsort(keys)
-        keys, heads = keys[order], heads[order]
-        begin = np.flatnonzero(np.concatenate((np.ones(min(len(keys), 1), bool), keys[1:] != keys[:-1])))
-        n = np.add.reduceat(n[order].astype(np.int64), begin) if len(begin) else np.zeros(0, np.int64)
-        keys, heads = keys[begin], heads[begin]
-        told, = _looked_up(right, keys, n)
-        order = np.argsort(heads)
-        heads, n = heads[order], n[order]
-        begin = np.flatnonzero(np.concatenate((np.ones(min(len(heads), 1), bool), heads[1:] != heads[:-1])))
-        total = np.add.reduceat(n, begin) if len(begin) else n
-        kinds, heads = np.diff(np.append(begin, len(heads))), heads[begin]
-        cuts = _cuts(heads, bits)
-        some = np.flatnonzero(np.diff(cuts))
-        none, some_bytes = [None] * len(told), [_bytes(x, cuts, some).to_pylist() for x in (total, kinds.astype(np.int64), heads)]
-        return pa.concat_tables([
-            _answers(right["block"].to_pylist(), right["bucket"].to_pylist(), told, none, none),
-            _answers([None] * len(some), some, *some_bytes),
-        ])
-
-    def states(left: pa.Table, right: pa.Table) -> pa.Table:
-        """Tokens and distinct words behind the histories that blocks asked for, over all buckets of n-grams."""
-        heads, at = np.unique(_joined(left["keys"], U64), return_inverse=True)
-        n, kinds = np.zeros(len(heads), np.int64), np.zeros(len(heads), np.int64)
-        np.add.at(n, at, _joined(left["n"], np.int64))
-        np.add.at(kinds, at, _joined(left["kinds"], np.int64))
-        return _answers(right["block"].to_pylist(), right["bucket"].to_pylist(), *_looked_up(right, heads, n, kinds), [None] * right.num_rows)
-
-    blocks = scratch.keep(blocks_of(docs, key, text), "lm-blocks")
-    counted = scratch.keep(
-        gram_counts(train, bits, text).groupBy("bucket").cogroup(asked(blocks, bits, "grams").groupBy("bucket")).applyInArrow(arcs, ANSWER), "lm-arcs"
+    train, = free_names([key, text], "train")
+    letters = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    # about six bytes a token
+    bits, word_bits = (max(LEAST_BITS, math.ceil(math.log2(max(letters / 6 / size, 1)))) for size in (BUCKET_GRAMS, BUCKET_WORDS))
+    kind = docs.schema[key].dataType.simpleString()
+    blocks = scratch.keep(
+        docs.select(key, text, F.coalesce(training, F.lit(False)).alias(train)).mapInArrow(
+            _blocks(key, text, train, word_bits),
+            f"block string, ids array<{kind}>, sizes binary, trains binary, codes binary, places binary, words binary, n binary",
+        ), "lm-blocks",
     )
-    partial = counted.where("block is null")
-    behind = partial.groupBy("bucket").cogroup(asked(blocks, bits, "histories").groupBy("bucket")).applyInArrow(states, ANSWER)
-    told = counted.where("block is not null").union(behind).drop("keys")
+    words = scratch.keep(
+        blocks.select("block", "places", "words", "n").mapInArrow(_word_posts(word_bits), "block string, bucket int, words binary, n binary")
+        .groupBy("bucket").applyInArrow(_numbered(word_bits), "block string, bucket int, numbers binary, n binary, tokens long, distinct long"), "lm-words",
+    )
+    totals = words.select("bucket", "tokens", "distinct").distinct().agg(F.sum("tokens"), F.sum("distinct")).first()
+    tokens_, distinct = totals[0] or 0, totals[1] or 0
+
+    def post(rows: pa.Table, numbers: pa.Table) -> pa.Table:
+        numbers = numbers.sort_by("bucket")
+        row = rows.to_pylist()[0]
+        return Block(row, unpacks(numbers["numbers"])[0], word_bits, bits).posts(row["block"])
+
+    texts = blocks.select("block", "ids", "sizes", "trains", "codes", "places")
+    posts = texts.drop("ids").groupBy("block").cogroup(words.select("block", "bucket", "numbers").groupBy("block")).applyInArrow(
+        post, "block string, bucket int, a binary, b binary, k binary, c binary, n binary"
+    )
+    answer = "block string, bucket int, x binary, y binary, z binary"
+    counted = scratch.keep(posts.groupBy("bucket").applyInArrow(_counted(word_bits), answer), "lm-counts")
+    partial = counted.where("block is null").select("bucket", "x", "y")
+    told = words.select("block", "bucket", "numbers", "n").groupBy("bucket").cogroup(partial.groupBy("bucket")).applyInArrow(_followed, answer)
+    told = told.select("*", F.lit(True).alias("word")).union(counted.where("block is not null").select("*", F.lit(False)))
     names = [key, "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def score(rows: pa.Table, told: pa.Table) -> pa.Table:
         told = told.sort_by("bucket")
-        mine, own = told.filter(pc.is_null(told["kinds"])), told.filter(pc.is_valid(told["kinds"]))
-        first, histories, found, has = _block_grams(*(rows[c][0] for c in ("sizes", "codes", "words")))
-        count, total, kinds = _joined(mine["n"], np.int64), _joined(own["n"], np.int64), _joined(own["kinds"], np.int64)
-        keys, heads = np.unique(_flat(found, has)), np.unique(_flat(histories, has))
-        root = np.searchsorted(heads, ROOT)
-        tokens_, distinct = total[root], kinds[root]
-        seen = count[np.searchsorted(keys, found[0])]
-        weight = base = (seen + FLOOR) / (tokens_ + FLOOR * (distinct + 1))
-        for order, which in ((1, slice(None)), (2, has)):
-            n = count[np.searchsorted(keys, found[order][which])]
-            at = np.searchsorted(heads, histories[order][which])
-            lower = weight[which]
-            one = np.where(total[at] > 0, (np.maximum(n - DISCOUNT, 0) + DISCOUNT * kinds[at] * lower) / np.maximum(total[at], 1), lower)
-            weight = weight.copy()
-            weight[which] = one
-        add = lambda x: pa.array(np.add.reduceat(x, first[:-1]))
-        ids = rows["ids"].combine_chunks().flatten()
-        return pa.table(
-            [ids, pa.array(np.diff(first)), add((seen > 0).astype(np.int64)), pa.array(np.full(len(ids), tokens_)), add(np.log10(base)), add(np.log10(weight))], names
+        own, grams = told.filter(told["word"]), told.filter(pc.invert(told["word"]))
+        row = rows.drop_columns("ids").to_pylist()[0]
+        block = Block(row, unpacks(own["x"])[0], word_bits, bits)
+
+        def placed(column: pa.ChunkedArray, order: np.ndarray) -> np.ndarray:
+            out = np.empty(len(order), np.int64)
+            out[order] = unpacks(column)[0]
+            return out
+
+        word_n = placed(own["y"], block.posted)
+        machine = Automaton(
+            word_n, placed(own["z"], block.posted), tokens_, distinct, block.start, block.end,
+            block.left, block.right, placed(grams["y"], block.pair_order), placed(grams["z"], block.pair_order),
+            block.head, block.tail, placed(grams["x"], block.gram_order),
         )
+        add = lambda x: pa.array(np.add.reduceat(x, block.first[:-1]))
+        ids = rows["ids"].combine_chunks().flatten()
+        known = (word_n[block.word] > 0).astype(np.int64)
+        gains = machine.walk(block.word, block.first, block.pair_at)
+        return pa.table([ids, pa.array(block.size), add(known), pa.array(np.full(len(ids), tokens_)), add(machine.base[block.word]), add(gains)], names)
 
-    kind = docs.schema[key].dataType.simpleString()
-    return blocks.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
+    return texts.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(
         score, f"`{key}` {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
 

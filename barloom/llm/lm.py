@@ -19,7 +19,7 @@ automaton from that, and its texts are walked from left to right, the state carr
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +30,9 @@ from barloom.llm.scratch import Scratch
 from barloom.llm.texts import U64, Words, all_chunks, buffers, free_names, mix, table
 
 DISCOUNT, FLOOR = 0.7, 0.1
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 1_500_000
 #: About as many n-grams, before they are added up, lie in a bucket; words of a bucket; the fewest bits of a bucket's number.
-BUCKET_GRAMS, BUCKET_WORDS, LEAST_BITS = 1_500_000, 500_000, 4
+BUCKET_GRAMS, BUCKET_WORDS, LEAST_BITS = 1_000_000, 500_000, 4
 #: Tokens that are walked in turn; longer texts are cut, and a piece starts in the state its two words before lead to.
 WALK = 512
 END, START = U64(0x5EED0E4D), U64(0x9C0FFEE123456789)
@@ -96,14 +96,19 @@ def summed(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
     return total - np.repeat(base, np.diff(np.append(begins, len(values))))
 
 
-def joint(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct pairs in order, as places of their first occurrence; each pair's number; how often each occurs."""
+def joint(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs in order, as places where each occurs, and each pair's number."""
     wide = int(y.max()) + 1 if len(y) else 1
     if len(x) and (int(x.max()) + 1) * wide >= 1 << 63:
         x, y = np.unique(x, return_inverse=True)[1], np.unique(y, return_inverse=True)[1]
         wide = int(y.max()) + 1
-    _, at, number, many = np.unique(x * wide + y, return_index=True, return_inverse=True, return_counts=True)
-    return at, number, many
+    both = x * wide + y
+    order = np.argsort(both)
+    both = both[order]
+    new = np.diff(both, prepend=-1) != 0
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return order[new], number
 
 
 def added(number: np.ndarray, n: np.ndarray, size: int) -> np.ndarray:
@@ -217,15 +222,16 @@ class Block:
         self.start = int(local[0])
         self.word = local[unpack(row["codes"])]
         begins, ends = self.first[:-1], self.first[1:] - 1
-        self.before = np.roll(self.word, 1)
-        self.before[begins] = self.start
+        before = np.roll(self.word, 1)
+        before[begins] = self.start
         behind = np.roll(self.word, -1)
         self.end = int(self.word[ends[0]])
         behind[ends] = self.end  # nothing is behind an end: a second one stands there
-        at, self.pair_at, _ = joint(self.before, self.word)
-        self.left, self.right = self.before[at], self.word[at]
-        at, self.gram_at, _ = joint(self.pair_at, behind)
+        at, self.pair_at = joint(before, self.word)
+        self.left, self.right = before[at], self.word[at]
+        at, self.gram_at = joint(self.pair_at, behind)
         self.head, self.tail = self.pair_at[at], behind[at]
+        self.follows = np.roll(self.pair_at, -1)[at]  # the pair that an n-gram ends with, unless an end closes its first
         self.used = np.repeat(unpack(row["trains"]), self.size)
         place = mix(self.numbers[self.left].astype(U64) * _LEFT + self.numbers[self.right].astype(U64) * _RIGHT) >> U64(64 - bits)
         self.pair_order, self.buckets, self.pair_cuts = _by_place(place.astype(np.int64), bits)
@@ -255,8 +261,8 @@ def _counted(word_bits: int):
         left = summed(a, np.flatnonzero(new))
         right = summed(b, np.flatnonzero(new | (np.diff(left, prepend=-1) != 0)))
         tail = summed(c, np.cumsum(k) - k)
-        at, pair, _ = joint(left, right)
-        first, gram, _ = joint(np.repeat(pair, k), tail)
+        at, pair = joint(left, right)
+        first, gram = joint(np.repeat(pair, k), tail)
         count = added(gram, n, len(first))
         head = np.repeat(pair, k)[first]
         total, kinds = added(head, count, len(at)), np.bincount(head, count > 0, len(at)).astype(np.int64)
@@ -296,7 +302,7 @@ class Automaton:
     def __init__(
         self, word_n: np.ndarray, word_kinds: np.ndarray, tokens: int, distinct: int, start: int, end: int,
         left: np.ndarray, right: np.ndarray, pair_n: np.ndarray, pair_kinds: np.ndarray,
-        head: np.ndarray, tail: np.ndarray, gram_n: np.ndarray,
+        head: np.ndarray, tail: np.ndarray, follows: np.ndarray, gram_n: np.ndarray,
     ) -> None:
         words, pairs = len(word_n), len(left)
         self.words, self.start = words, start
@@ -306,10 +312,8 @@ class Automaton:
         fail_one = np.where(behind > 0, DISCOUNT * word_kinds / np.maximum(behind, 1), 1)
         two = np.where(behind[left] > 0, np.maximum(pair_n - DISCOUNT, 0) / np.maximum(behind[left], 1) + fail_one[left] * base[right], base[right])
         fail_two = np.where(pair_n > 0, DISCOUNT * pair_kinds / np.maximum(pair_n, 1), 1)
-        follows = self._place(left * words + right, right[head] * words + tail)
         own = (gram_n > 0) & (right[head] != end)
-        lower = two[np.maximum(follows[own], 0)]
-        three = (gram_n[own] - DISCOUNT) / pair_n[head[own]] + fail_two[head[own]] * lower
+        three = (gram_n[own] - DISCOUNT) / pair_n[head[own]] + fail_two[head[own]] * two[follows[own]]
         seen = np.flatnonzero(pair_n > 0)
         word_state = np.where(behind > 0, np.arange(words) + 1, 0)
         # a pair that an end closes is no state: a text is over there
@@ -318,47 +322,59 @@ class Automaton:
         self.arcs = np.concatenate((left[seen] + 1, head[own] + words + 1)) * words + np.concatenate((right[seen], tail[own]))
         self.arc_weight = np.log10(np.concatenate((two[seen], three)))
         self.arc_to = np.concatenate((self.pair_state[seen], self.pair_state[follows[own]]))
+        self.pair_arc, self.gram_arc = np.full(pairs, -1), np.full(len(head), -1)
+        self.pair_arc[seen] = np.arange(len(seen))
+        self.gram_arc[own] = len(seen) + np.arange(len(three))
         self.fail_weight = np.log10(np.concatenate(([1], fail_one, fail_two)))
         self.fail_to = np.concatenate(([0], np.zeros(words, np.int64), word_state[right]))
 
-    @staticmethod
-    def _place(sorted_: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-        """Where each one stands, or -1."""
-        if not len(sorted_):
-            return np.full(len(wanted), -1)
-        at = np.minimum(np.searchsorted(sorted_, wanted), len(sorted_) - 1)
-        return np.where(sorted_[at] == wanted, at, -1)
+    def search(self, word: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+        """Arcs of walks for their next words, from any states; -1 for none."""
+        def arc(walk: np.ndarray, state: np.ndarray) -> np.ndarray:
+            wanted = state * self.words + word[walk]
+            at = np.minimum(np.searchsorted(self.arcs, wanted), max(len(self.arcs) - 1, 0))
+            return np.where(self.arcs[at] == wanted, at, -1) if len(self.arcs) else np.full(len(walk), -1)
 
-    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return arc
+
+    def step(self, state: np.ndarray, word: np.ndarray, arc: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """The log10 weight of each walk's next word and the state it leads to, by failure arcs where needed."""
         weight, to = np.zeros(len(state)), np.zeros(len(state), np.int64)
         walk = np.arange(len(state))
         while len(walk):
-            arc = np.where(state == 0, -1, self._place(self.arcs, state * self.words + word))
-            root, found = state == 0, arc >= 0
+            root = state == 0
+            found = arc(walk, state)
+            found[root] = -1
             weight[walk[root]] += self.base[word[root]]
             to[walk[root]] = self.word_state[word[root]]
-            weight[walk[found]] += self.arc_weight[arc[found]]
-            to[walk[found]] = self.arc_to[arc[found]]
-            left = ~(root | found)
+            has = found >= 0
+            weight[walk[has]] += self.arc_weight[found[has]]
+            to[walk[has]] = self.arc_to[found[has]]
+            left = ~(root | has)
             weight[walk[left]] += self.fail_weight[state[left]]
             walk, state, word = walk[left], self.fail_to[state[left]], word[left]
         return weight, to
 
-    def walk(self, word: np.ndarray, first: np.ndarray, pair_at: np.ndarray) -> np.ndarray:
-        """Weights of all tokens: texts are walked side by side from left to right, long ones in pieces."""
+    def walk(self, word: np.ndarray, first: np.ndarray, pair_at: np.ndarray, gram_at: np.ndarray) -> np.ndarray:
+        """Weights of all tokens: texts are walked side by side from left to right, long ones in pieces.
+
+        Arcs need no search here: a word's state and a token are the token's pair, a pair's state
+        and a token the n-gram that begins a token before.
+        """
+        short, long = self.pair_arc[pair_at], np.roll(self.gram_arc[gram_at], 1)
         size = np.diff(first)
         pieces = -(-size // WALK)
         begin = np.repeat(first[:-1] - WALK * (np.cumsum(pieces) - pieces), pieces) + WALK * np.arange(int(pieces.sum()))
-        long = np.minimum(np.repeat(first[1:], pieces) - begin, WALK)
+        length = np.minimum(np.repeat(first[1:], pieces) - begin, WALK)
         state = np.where(np.isin(begin, first[:-1]), self.word_state[self.start], self.pair_state[pair_at[begin - 1]])
-        order = np.argsort(-long, kind="stable")
-        begin, long, state = begin[order], long[order], state[order]
+        order = np.argsort(-length, kind="stable")
+        begin, length, state = begin[order], length[order], state[order]
         out = np.zeros(len(word))
-        for t in range(int(long[0]) if len(long) else 0):
-            active = int(np.searchsorted(-long, -t, "left"))
-            at = begin[:active] + t
-            out[at], state = self.step(state[:active], word[at])
+        for t in range(int(length[0]) if len(length) else 0):
+            at = begin[: int(np.searchsorted(-length, -t, "left"))] + t
+            out[at], state = self.step(
+                state[: len(at)], word[at], lambda walk, state: np.where(state > self.words, long[at[walk]], short[at[walk]])  # noqa: B023
+            )
         return out
 
 
@@ -421,12 +437,12 @@ def lm_scores(docs: DataFrame, training: Column, key: str = "doc_id", text: str
         machine = Automaton(
             word_n, placed(own["z"], block.posted), tokens_, distinct, block.start, block.end,
             block.left, block.right, placed(grams["y"], block.pair_order), placed(grams["z"], block.pair_order),
-            block.head, block.tail, placed(grams["x"], block.gram_order),
+            block.head, block.tail, block.follows, placed(grams["x"], block.gram_order),
         )
         add = lambda x: pa.array(np.add.reduceat(x, block.first[:-1]))
         ids = rows["ids"].combine_chunks().flatten()
         known = (word_n[block.word] > 0).astype(np.int64)
-        gains = machine.walk(block.word, block.first, block.pair_at)
+        gains = machine.walk(block.word, block.first, block.pair_at, block.gram_at)
         return pa.table([ids, pa.array(block.size), add(known), pa.array(np.full(len(ids), tokens_)), add(machine.base[block.word]), add(gains)], names)
 
     return texts.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(

@@ -70,36 +70,49 @@ def machine_of(sequences, words):
     at = {p: i for i, p in enumerate(pairs)}
     grams = sorted(gram_n)
     kinds = lambda h: len(behind.get(h, ()))
-    return pairs, Automaton(
+    return pairs, grams, Automaton(
         np.array([word_n[w] for w in range(words)]), np.array([kinds((w,)) for w in range(words)]),
         sum(n for w, n in word_n.items() if w), sum(w > 0 for w in word_n), 0, 1,
         np.array([a for a, _ in pairs]), np.array([b for _, b in pairs]), np.array([pair_n[p] for p in pairs]), np.array([kinds(p) for p in pairs]),
-        np.array([at[g[:2]] for g in grams]), np.array([g[2] for g in grams]), np.array([gram_n[g] for g in grams]),
+        np.array([at[g[:2]] for g in grams]), np.array([g[2] for g in grams]), np.array([at[g[1:]] for g in grams]), np.array([gram_n[g] for g in grams]),
     )
 
 
 def test_every_state_gives_out_one():
     rng = np.random.default_rng(3)
     words = 8  # the last one is unknown to training, which is what the floor's share is for
-    pairs, machine = machine_of([(rng.choice(5, rng.integers(0, 12), p=[0.4, 0.3, 0.1, 0.1, 0.1]) + 2).tolist() for _ in range(60)], words)
+    _, _, machine = machine_of([(rng.choice(5, rng.integers(0, 12), p=[0.4, 0.3, 0.1, 0.1, 0.1]) + 2).tolist() for _ in range(60)], words)
     states = sorted({0, *machine.word_state.tolist(), *machine.pair_state.tolist()})
     assert len(states) > 20
     for state in states:
-        weight, _ = machine.step(np.full(words - 1, state), np.arange(1, words))
+        word = np.arange(1, words)
+        weight, _ = machine.step(np.full(words - 1, state), word, machine.search(word))
         assert (10**weight).sum() == pytest.approx(1, rel=1e-12)
 
 
-def test_pieces_of_long_texts_walk_like_whole_ones(monkeypatch):
+def test_texts_walk_by_number_as_by_search(monkeypatch):
+    """Also in pieces; and some texts that the training texts lack."""
     rng = np.random.default_rng(4)
     sequences = [(rng.choice(5, n) + 2).tolist() for n in (0, 3, 400, 41)]
-    pairs, machine = machine_of(sequences[1:], 8)
-    at = {p: i for i, p in enumerate(pairs)}
-    whole = [[*s, 1] for s in sequences]
+    pairs, grams, machine = machine_of(sequences[1:], 8)
+    at, gram = ({p: i for i, p in enumerate(x)} for x in (pairs, grams))
+    walked = [*sequences, [4, 5, 7, 7, 2, 3], [7]]
+    whole = [[*s, 1] for s in walked]
     word, first = np.concatenate(whole), np.cumsum([0, *map(len, whole)])
     pair_at = np.array([at[p] for s in whole for p in zip([0, *s], s)])
-    expected = machine.walk(word, first, pair_at)
+    none = len(grams)  # n-grams that training lacks have no arc
+    machine.gram_arc = np.append(machine.gram_arc, -1)
+    gram_at = np.array([gram.get(g, none) for s in whole for g in zip([0, *s], s, [*s[1:], 1])])
+    expected = []
+    for s in whole:
+        state = np.array([machine.word_state[0]])
+        for w in s:
+            one = np.array([w])
+            weight, state = machine.step(state, one, machine.search(one))
+            expected.append(weight[0])
+    assert machine.walk(word, first, pair_at, gram_at).tolist() == expected
     monkeypatch.setattr(lm, "WALK", 7)
-    assert machine.walk(word, first, pair_at).tolist() == expected.tolist()
+    assert machine.walk(word, first, pair_at, gram_at).tolist() == expected
 
 
 @pytest.mark.parametrize("values", [[], [0], [1, 255, 256], [0, 2**40, 2**62]])

@@ -9,7 +9,8 @@ Links are needed between sets whose Jaccard coefficient reaches a fraction ``num
    its digest is the key under which they meet. Empty segments are no places to meet: there are
    ``spare`` segments more, and a set with more empty ones is cut again under another seed. Exact
    copies share all keys and count as one set; unrelated texts with a passage in common seldom
-   agree on a whole segment.
+   agree on a whole segment. Keys are sent packed, with the bits that tell them and their sets
+   apart in all likelihood; who only seems to meet is told apart by the exact test.
 3. *Bitmaps.* Every set met by another has a hashed bitmap. Two sets differ in at least as many
    shingles as their bitmaps differ in bits, which bounds the overlap from above.
 4. *Exact intersection* of the sorted shingle arrays for pairs that pass.
@@ -24,6 +25,7 @@ the smallest key that both bring along, wherever else it meets.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -33,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from barloom.llm.graph import components
 from barloom.llm.scratch import Scratch
-from barloom.llm.texts import U64, all_chunks, free_names, mix, table, words_of
+from barloom.llm.texts import U64, all_chunks, free_names, i64, mix, table, words_of
 
 BITS = 1024
 BLOCK = 1024
@@ -43,6 +45,13 @@ SEEDS = 3
 LEAST_KEYS = 32
 #: Exact sets a task remembers, so that their copies are not posted again.
 SEEN = 200_000
+#: Posts of a block of sets, packed together; and sets of a block that may share a key before they are told apart there.
+BLOCK_POSTS = 1 << 19
+HEAVY = 8
+#: Characters of text for each bucket of keys, which bounds the posts that meet in a task (about one for 13 characters).
+BUCKET_CHARS = 4_000_000
+#: Bits of a set's id that its posts leave out.
+PREFIX = 24
 
 
 class Tiles:
@@ -122,35 +131,114 @@ def text_id(text: str) -> Column:
     return F.xxhash64(text).alias("text_id")
 
 
-def signatures(docs: DataFrame, n: int, tiles: Tiles, key: str, text: str) -> DataFrame:
-    """``key``, ``n_shingles``, ``text_id``, ``set_id`` and the keys of each set; null keys for a copy in the task."""
+def set_sizes(docs: DataFrame, n: int, key: str, text: str) -> DataFrame:
+    """``key``, ``n_shingles``, ``text_id`` and ``set_id`` of each row; a set without shingles has no id."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in all_chunks(batches, text):
+            sets = list(_sets(batch.column(text), n))
+            ids = [_identity(x) if len(x) else None for x in sets]
+            sizes = [len(x) for x in sets]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(key), pa.array(sizes, pa.int64()), batch.column("text_id"), pa.array(ids, pa.int64())],
+                [key, "n_shingles", "text_id", "set_id"],
+            )
+
+    kind = docs.schema[key].dataType.simpleString()
+    return docs.select(key, text, text_id(text)).mapInArrow(run, f"`{key}` {kind}, n_shingles long, text_id long, set_id long")
+
+
+def _planes(values: np.ndarray, width: int) -> bytes:
+    """The low ``width`` bytes of sorted values, byte by byte of all: the upper ones hardly change and pack well."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def _from_planes(data: np.ndarray, width: int) -> np.ndarray:
+    out = np.zeros((len(data) // width, 8), np.uint8)
+    out[:, :width] = data.reshape(width, -1).T
+    return out.view("<u8").reshape(-1)
+
+
+def posts(docs: DataFrame, n: int, tiles: Tiles, buckets: int, text: str) -> DataFrame:
+    """``place`` and ``posts``: the keys of the sets, packed by bucket of keys.
+
+    A post takes nine bytes: four of the key, as the bucket tells more of it, and five of the set's id.
+    Of a key that more than ``HEAVY`` sets of a block share, its bucket hears of the first only; that
+    these have met is known already, and they go by a place of their own, below zero.
+    """
+    def packed(keys: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+        short = ((((keys >> U64(32)) * U64(buckets)) >> U64(32)) << U64(32)) | (keys & U64(0xFFFFFFFF))
+        order = np.lexsort((ids, short))
+        short, ids = short[order], ids[order]
+        begins = np.concatenate(([True], short[1:] != short[:-1]))
+        run = np.cumsum(begins) - 1
+        heavy = (np.bincount(run) > HEAVY)[run]
+        first = ids[np.flatnonzero(begins)[run]]
+        place, rows = [], []
+        if heavy.any():
+            place.append(-1 - int(mix(short[:1])[0] >> U64(2)))
+            rows.append(np.concatenate((short[heavy], ids[heavy], first[heavy])).tobytes())
+        sent = begins | ~heavy
+        short, ids = short[sent], ids[sent]
+        bucket = (short >> U64(32)).astype(np.int64)
+        cuts = [*np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))).tolist(), len(bucket)]
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            place.append(int(bucket[lo]))
+            rows.append(_planes(short[lo:hi], 4) + _planes(ids[lo:hi], 5))
+        return pa.RecordBatch.from_arrays([pa.array(place, pa.int64()), pa.array(rows, pa.binary())], ["place", "posts"])
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
+        keys: list[np.ndarray] = []
+        ids: list[np.ndarray] = []
+        held = 0
         for batch in all_chunks(batches, text):
-            sizes, ids, keys = [], [], []
             for shingles in _sets(batch.column(text), n):
-                sizes.append(len(shingles))
-                if not len(shingles):
-                    ids.append(None)
-                    keys.append(None)
-                    continue
-                ids.append(_identity(shingles))
-                if ids[-1] in seen:
-                    keys.append(None)
+                if not len(shingles) or (own := _identity(shingles)) in seen:
                     continue
                 if len(seen) >= SEEN:
                     seen.clear()
-                seen.add(ids[-1])
-                keys.append(tiles.keys(shingles).view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(key), pa.array(sizes, pa.int64()), batch.column("text_id"), pa.array(ids, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                [key, "n_shingles", "text_id", "set_id", "keys"],
-            )
-
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text, text_id(text)).mapInArrow(
-        run, f"`{key}` {kind}, n_shingles long, text_id long, set_id long, keys array<long>"
-    )
+                seen.add(own)
+                keys.append(tiles.keys(shingles))
+                ids.append(np.full(len(keys[-1]), own >> PREFIX & 0xFFFFFFFFFF, U64))
+                held += len(keys[-1])
+                if held >= BLOCK_POSTS:
+                    yield packed(np.concatenate(keys), np.concatenate(ids))
+                    keys, ids, held = [], [], 0
+        if held:
+            yield packed(np.concatenate(keys), np.concatenate(ids))
+
+    return docs.select(text).mapInArrow(run, "place long, posts binary")
+
+
+def _meet(rows: pa.Table) -> pa.Table:
+    """``key``, ``part`` of a set's id and the ``first`` of them, of keys that more than one set has; rows of one place."""
+    place = rows["place"][0].as_py()
+    short, ids, first = [], [], []
+    for post in rows["posts"]:
+        if place < 0:
+            a, b, c = np.frombuffer(post.as_buffer(), U64).reshape(3, -1)
+            short.append(a)
+            ids.append(b)
+            first.append(c)
+        else:
+            data = np.frombuffer(post.as_buffer(), np.uint8)
+            count = len(data) // 9
+            short.append(_from_planes(data[: 4 * count], 4) | U64(place << 32))
+            ids.append(_from_planes(data[4 * count :], 5))
+    short, ids = np.concatenate(short), np.concatenate(ids)
+    if place < 0:
+        first = np.concatenate(first)
+    else:
+        order = np.lexsort((ids, short))
+        short, ids = short[order], ids[order]
+        new = np.concatenate(([True], (short[1:] != short[:-1]) | (ids[1:] != ids[:-1])))
+        short, ids = short[new], ids[new]
+        begins = np.concatenate(([True], short[1:] != short[:-1]))
+        run = np.cumsum(begins) - 1
+        met = (np.bincount(run) > 1)[run]
+        first = ids[np.flatnonzero(begins)[run]][met]
+        short, ids = short[met], ids[met]
+    return pa.table([i64(short), i64(ids), i64(first)], ["key", "part", "first"])
 
 
 def shingle_sets(docs: DataFrame, n: int, text: str) -> DataFrame:
@@ -318,25 +406,29 @@ def _components(docs: DataFrame, n: int, num: int, den: int, key: str, text: str
     spark = docs.sparkSession
     scratch = Scratch(spark)
     tiles = Tiles(num, den)
-    signed = scratch.keep(signatures(docs, n, tiles, key, text), "jaccard-signatures")
-
-    posted = signed.where("keys is not null").select("set_id", F.explode("keys").alias("key"))
-    met = Window.partitionBy("key")
+    chars = docs.select(F.sum(F.length(text)).alias("chars")).first()["chars"] or 0
+    buckets = max(1, math.ceil(chars / BUCKET_CHARS))
     met = scratch.keep(
-        posted.select("key", "set_id", F.min("set_id").over(met).alias("first"), F.max("set_id").over(met).alias("last"))
-        .where("first <> last").select("key", "set_id", "first"), "jaccard-met",
+        posts(docs, n, tiles, buckets, text).groupBy("place").applyInArrow(_meet, "key long, part long, first long"), "jaccard-posts"
+    )
+    signed = scratch.keep(set_sizes(docs, n, key, text), "jaccard-sizes")
+    ids = scratch.keep(
+        signed.where("set_id is not null").select("set_id").distinct().withColumn("part", F.expr(f"shiftrightunsigned(set_id, {PREFIX})")), "jaccard-ids"
     )
-    # the keys are the bulk of the signatures, and have met now
-    signed = scratch.keep(signed.select(key, "n_shingles", "text_id", "set_id"), "jaccard-sizes")
-    scratch.drop("jaccard-signatures")
-    wanted = met.select("set_id").distinct()
+    met = scratch.keep(met.join(ids, "part").select("key", "set_id", "first"), "jaccard-met")
+    scratch.drop("jaccard-posts")
+    first = met.select("first", "set_id").distinct().join(ids.select(F.col("part").alias("first"), F.col("set_id").alias("a")), "first")
+    first = first.select("a", F.col("set_id").alias("b"))
+    # sets whose ids begin alike look like one where they meet
+    alike = ids.groupBy("part").agg(F.min("set_id").alias("a"), F.max("set_id").alias("b"))
+    first = scratch.keep(first.union(alike.select("a", "b")).where("a <> b").distinct(), "jaccard-starts")
+    wanted = scratch.keep(first.select(F.explode(F.array("a", "b")).alias("set_id")).distinct(), "jaccard-wanted")
     one = signed.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min("text_id").alias("text_id"))
     texts = docs.select(text_id(text), text).groupBy("text_id").agg(F.first(text).alias(text)).join(one.select("text_id").distinct(), "text_id", "left_semi")
     sets = scratch.keep(
         shingle_sets(texts, n, text).join(wanted, "set_id", "left_semi").dropDuplicates(["set_id"]), "jaccard-sets"
     )
 
-    first = met.where("set_id <> first").select(F.col("first").alias("a"), F.col("set_id").alias("b")).distinct()
     first = scratch.keep(_bounded(first, sets, num, den), "jaccard-first")
     links = scratch.keep(_verified(first, sets, num, den), "jaccard-links")
     labels = components(links, scratch)

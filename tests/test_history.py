@@ -105,3 +105,24 @@ def test_run_coverage(spark):
     ]))
     instants = spark.createDataFrame([(i,) for i in (5, 14, 15, 24)], "at long")
     assert sorted(r.run for r in instants.select(op.run_of(F.col("at"), 5, 10).alias("run")).collect()) == [5, 5, 15, 15]
+
+
+def test_expected_runs_are_spread_by_their_number(spark):
+    tickers = spark.range(3_000).select(F.concat(F.lit("S"), "id").alias("symbol"))
+    runs = op.expected_runs(tickers, 0, 999 * 60, 60)
+    by_task = runs.groupBy(F.spark_partition_id().alias("task")).count().collect()
+    assert sum(r["count"] for r in by_task) == 3_000_000
+    assert max(r["count"] for r in by_task) < 2_000_000
+
+
+def test_run_coverage_meets_in_tasks_of_bounded_size(spark):
+    tickers = spark.range(3_000).select(F.concat(F.lit("S"), "id").alias("symbol"))
+    runs = op.expected_runs(tickers, 0, 999 * 60, 60)
+    landed = runs.where("run < 600")
+    coverage = op.run_coverage(runs, landed, landed.limit(0))
+    by_task = coverage.groupBy(F.spark_partition_id().alias("task")).agg(
+        F.count("*").alias("rows"), F.count_if(F.col("status") == "landed").alias("landed")
+    ).collect()
+    assert sum(r["rows"] for r in by_task) == 3_000_000 and sum(r.landed for r in by_task) == 30_000
+    assert max(r["rows"] for r in by_task) < 2_000_000
+    assert op.absences(coverage, 60).agg(F.count("*"), F.sum("runs")).first()[:] == (3_000, 2_970_000)

@@ -5,7 +5,8 @@ whose buckets they fall in, and no others, are made again from the stored candle
 the bars of their dates (layout by width and date). The newest copy of a candle wins whatever the
 order of the batches, so the bars equal those of one job over all documents.
 
-The store holds ``candles/date=/batch=``, ``staged/<batch>`` and ``done/<batch>``. The bars of the
+The store holds ``candles/date=/batch=``, ``staged/<batch>`` and ``done/<batch>``, and ``work`` while a
+batch is merged: what several steps read is made once and written there. The bars of the
 touched dates are staged as a whole before any folder of the output is replaced, so a run that
 ends half-way is finished by the next one, and a batch that was done is not done again.
 """
@@ -84,6 +85,11 @@ def _in_buckets(rows: DataFrame, timeframes: Sequence[Timeframe], zone: str) ->
     return rows.select("*", F.inline(frames))
 
 
+def _kept(rows: DataFrame, path: str) -> DataFrame:
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def _finish(spark: SparkSession, store: str, output: str, name: str) -> None:
     """Put staged bars in place; may be done any number of times."""
     staged = f"{store}/staged/{name}"
@@ -126,12 +132,13 @@ def merge_arrivals(
     if not days:
         touch(spark, f"{store}/done/{name}")
         return MergeReport()
-    touched = _in_buckets(new.select("symbol", "ts"), timeframes, zone).select(*BUCKET).distinct()
+    touched = _kept(_in_buckets(new.select("symbol", "ts"), timeframes, zone).select(*BUCKET).distinct(), f"{store}/work/touched")
     home = common_home(timeframes, zone)
     reach = 0 if home is not None and home.is_day else 1
     around = {d + timedelta(days=i) for d in days for i in range(-reach, reach + 1)}
     rows = _in_buckets(stored_candles(spark, store, around), timeframes, zone).join(touched, list(BUCKET), "left_semi")
-    bars = as_bars(rows.groupBy(*SERIES, "timeframe", "interval_start_epoch").agg(*ohlcv()), zone)
+    # the ranges of the write are found by a pass of their own, which would make the bars twice
+    bars = _kept(as_bars(rows.groupBy(*SERIES, "timeframe", "interval_start_epoch").agg(*ohlcv()), zone), f"{store}/work/bars")
 
     # a bucket belongs to the date on which it starts
     started = wall_clock(F.col("interval_start_epoch"), zone).cast("date").alias("date")
@@ -144,7 +151,9 @@ def merge_arrivals(
     counted = Observation("bars")
     write_dated_bars(old.unionByName(bars), f"{store}/staged/{name}", mode="static", counted=counted)
     _finish(spark, store, output, name)
-    return MergeReport(new.count(), touched.count(), len(bar_days), counted.get["rows"])
+    report = MergeReport(new.count(), touched.count(), len(bar_days), counted.get["rows"])
+    delete_path(spark, f"{store}/work")
+    return report
 
 
 def squash_candles(spark: SparkSession, store: str, dates: Iterable[date | str]) -> int:

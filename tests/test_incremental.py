@@ -167,3 +167,19 @@ def test_empty_batches_and_names(spark, tmp_path):
     with pytest.raises(ValueError, match="a/b"):
         merge_arrivals(spark, documents(spark, []), store, output, "a/b")
     assert stored_candles(spark, store).select(F.count("*")).first()[0] == 0
+
+
+def test_bars_of_a_batch_are_made_once(spark, tmp_path, monkeypatch):
+    """Neither the ranges of the write nor the counts of the report make bars or buckets again."""
+    plans = []
+    write = incremental.write_dated_bars
+
+    def seen(bars, *args, **kwargs):
+        plans.append(bars._jdf.queryExecution().executedPlan().toString())
+        return write(bars, *args, **kwargs)
+
+    monkeypatch.setattr(incremental, "write_dated_bars", seen)
+    for batch in range(2):
+        merge_arrivals(spark, documents(spark, random_rows(batch)), str(tmp_path / "store"), str(tmp_path / "bars"), batch)
+    assert len(plans) == 4 and not any("Aggregate" in p or "Window" in p for p in plans)
+    assert not (tmp_path / "store" / "work").exists()

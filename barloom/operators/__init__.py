@@ -1,7 +1,7 @@
 """DataFrame operators."""
 
 from barloom.operators.bars import (
-    all_timeframes, as_bars, common_home, ohlcv, on_session_date, resample, union_timeframes,
+    all_timeframes, as_bars, common_home, ohlcv, on_session_date, placement_tasks, resample, union_timeframes,
     with_date_parts, with_interval,
 )
 from barloom.operators.branches import (
@@ -28,7 +28,7 @@ __all__ = [
     "bucket_opens", "cached", "candle_fields", "candle_versions", "changes_between", "clean_candles", "common_home",
     "complete_candles", "coverage_counts", "dead_letters", "dedup_latest", "expected_runs", "explode_candles", "failure_reasons", "failures",
     "first_of_group", "found_candles", "in_sessions", "judged", "judged_candles", "nested_candles", "ohlcv", "on_session",
-    "on_session_date", "outside_sessions", "rejected_candles", "resample", "resample_by_joins", "row_numbers",
+    "on_session_date", "outside_sessions", "placement_tasks", "rejected_candles", "resample", "resample_by_joins", "row_numbers",
     "run_coverage", "run_metrics", "run_of", "run_summary", "salvaged_rows", "session_bars", "session_counts", "successes", "symbol_counts",
     "triage_counts", "triage_raw", "union_timeframes", "usable_candles", "with_candles", "with_date_parts",
     "with_interval", "with_wall_clock",

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from barloom import TIMEFRAMES, Timeframe
 from barloom import operators as op
-from barloom.operators import branches
+from barloom.operators import bars as bar_operators, branches
+from barloom.plans.catalog import QUERIES
 
 SCHEMA = (
     "symbol string, exchange string, ts bigint, open double, high double, low double, "
@@ -209,3 +210,20 @@ def test_copies_of_a_hot_key_shrink_before_the_shuffle(spark):
     assert kept.count() == 2 * n // 3 + 1
     hot = kept.where("symbol = 'HOT'").collect()
     assert len(hot) == 1 and hot[0].ingest_ts == "9999"
+
+
+def lineitem(spark, folder):
+    spark.range(3000).selectExpr(
+        "id as l_orderkey", "id % 7 as l_suppkey", "cast(id % 3 as int) as l_linenumber", "'O' as l_linestatus",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(id % 90 as int)) as l_shipdate",
+        "cast(id as double) as l_extendedprice", "1.0D as l_quantity",
+    ).write.parquet(f"{folder}/lineitem.parquet")
+
+
+def test_placement_takes_tasks_by_rows(spark, tmp_path, monkeypatch):
+    lineitem(spark, tmp_path)
+    whole = collected(QUERIES["all_timeframes_many_series"](spark, str(tmp_path)))
+    monkeypatch.setattr(bar_operators, "ROWS_OF_TASK", 100)
+    bars = QUERIES["all_timeframes_many_series"](spark, str(tmp_path))
+    assert bars.rdd.getNumPartitions() == 30
+    assert collected(bars) == whole == collected(QUERIES["all_timeframes_by_joins"](spark, str(tmp_path)))

@@ -11,8 +11,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from barloom.operators.bars import as_bars, with_interval
-from barloom.schema import DEFAULT_ZONE, SERIES, Timeframe
+from barloom.functions import interval_epoch
+from barloom.operators.bars import VALUES, as_bars, common_home, with_interval
+from barloom.schema import DAY_SECONDS, DEFAULT_ZONE, SERIES, Timeframe
 
 BUCKET = (*SERIES, "interval_start_epoch")
 
@@ -31,18 +32,18 @@ def first_of_group(
     return row_numbers(rows, keys, order).where("rn = 1").drop("rn")
 
 
-def bucket_opens(rows: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
-    firsts = first_of_group(rows, order=["ts", *tie_break])
-    return firsts.select(*BUCKET, "open")
+def bucket_opens(rows: DataFrame, tie_break: Sequence[str] = (), keys: Sequence[str] = BUCKET) -> DataFrame:
+    firsts = first_of_group(rows, keys, order=["ts", *tie_break])
+    return firsts.select(*keys, "open")
 
 
-def bucket_closes(rows: DataFrame, tie_break: Sequence[str] = ()) -> DataFrame:
-    lasts = first_of_group(rows, order=[F.desc(c) for c in ("ts", *tie_break)])
-    return lasts.select(*BUCKET, "close")
+def bucket_closes(rows: DataFrame, tie_break: Sequence[str] = (), keys: Sequence[str] = BUCKET) -> DataFrame:
+    lasts = first_of_group(rows, keys, order=[F.desc(c) for c in ("ts", *tie_break)])
+    return lasts.select(*keys, "close")
 
 
-def bucket_aggregates(rows: DataFrame) -> DataFrame:
-    return rows.groupBy(*BUCKET).agg(
+def bucket_aggregates(rows: DataFrame, keys: Sequence[str] = BUCKET) -> DataFrame:
+    return rows.groupBy(*keys).agg(
         F.max("high").alias("high"), F.min("low").alias("low"), F.sum("volume").alias("volume")
     )
 
@@ -57,9 +58,21 @@ def resample_by_joins(
     timeframe: Timeframe,
     zone: str = DEFAULT_ZONE,
     tie_break: Sequence[str] = (),
+    unique_ts: bool = False,
 ) -> DataFrame:
-    """The bars of ``bars.resample``, put together from three branches and two joins."""
+    """The bars of ``bars.resample``, put together from three branches and two joins.
+
+    ``unique_ts`` promises at most one row per series and second, as after ``dedup_latest``. Rows are
+    then placed by (symbol, local day) before the branches, which find them there and join without
+    another shuffle; every width that nests in days asks for the same placement, so bars of
+    several widths stacked into one frame share it. Without the promise each branch is reduced first.
+    """
+    keys = BUCKET
+    if unique_ts:
+        home = common_home((timeframe, Timeframe("1d", DAY_SECONDS)), zone) or timeframe
+        rows = rows.select(*SERIES, "ts", *VALUES).withColumn("_home", interval_epoch(F.col("ts"), home, zone)).repartition("symbol", "_home")
+        keys = ("interval_start_epoch", "_home", *SERIES)
     bucketed = with_interval(rows, timeframe, zone)
-    bars = attach(bucket_aggregates(bucketed), bucket_opens(bucketed, tie_break))
-    bars = attach(bars, bucket_closes(bucketed, tie_break))
+    bars = attach(bucket_aggregates(bucketed, keys), bucket_opens(bucketed, tie_break, keys), keys)
+    bars = attach(bars, bucket_closes(bucketed, tie_break, keys), keys)
     return as_bars(bars.withColumn("timeframe", F.lit(timeframe.label)), zone)

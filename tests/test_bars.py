@@ -227,3 +227,16 @@ def test_placement_takes_tasks_by_rows(spark, tmp_path, monkeypatch):
     bars = QUERIES["all_timeframes_many_series"](spark, str(tmp_path))
     assert bars.rdd.getNumPartitions() == 30
     assert collected(bars) == whole == collected(QUERIES["all_timeframes_by_joins"](spark, str(tmp_path)))
+
+
+def test_joins_of_several_widths_read_their_candles_once(spark, tmp_path):
+    lineitem(spark, tmp_path)
+    plan = QUERIES["all_timeframes_by_joins"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "lineitem.parquet" not in plan and "l_suppkey" not in plan
+
+
+def test_joins_after_a_placement_give_the_bars_of_the_plain_ones(spark):
+    rows = make_rows(2000) + [(None, "NSE", START, *[1.0] * 5), ("A", None, START, *[2.0] * 5), ("B", "NSE", None, *[3.0] * 5)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    for t in TIMEFRAMES:
+        assert collected(branches.resample_by_joins(frame, t, unique_ts=True)) == collected(branches.resample_by_joins(frame, t))

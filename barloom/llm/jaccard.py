@@ -43,6 +43,10 @@ ROWS = 128
 SEEDS = 3
 #: Keys that a set brings along, the smallest of its own, to tell pairs that meet elsewhere too.
 LEAST_KEYS = 32
+#: Words of such keys' bits looked at at once.
+PAIR_WORDS = 1 << 20
+#: Words of 64 bits of the filter for texts that are asked for; a power of two.
+FILTER_WORDS = 1 << 18
 #: Exact sets a task remembers, so that their copies are not posted again.
 SEEN = 200_000
 #: Posts of a block of sets, packed together; and sets of a block that may share a key before they are told apart there.
@@ -109,9 +113,9 @@ class Tiles:
 
 
 def bitmap(shingles: np.ndarray) -> np.ndarray:
-    bits = np.zeros(BITS, np.uint8)
-    bits[(shingles & U64(BITS - 1)).astype(np.int64)] = 1
-    return np.packbits(bits).view(np.int64)
+    """Whether the number of shingles at each place is odd: a set larger than the bitmap does not fill it."""
+    bits = np.bincount((shingles & U64(BITS - 1)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
 
 
 def _sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
@@ -242,13 +246,13 @@ def _meet(rows: pa.Table) -> pa.Table:
 
 
 def shingle_sets(docs: DataFrame, n: int, text: str) -> DataFrame:
-    """``set_id``, size, bitmap and sorted shingles of texts."""
+    """``set_id`` as given, size, bitmap and sorted shingles of texts."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in all_chunks(batches, text):
-            sets = [s for s in _sets(batch.column(text), n) if len(s)]
+            sets = list(_sets(batch.column(text), n))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([_identity(s) for s in sets], pa.int64()),
+                    batch.column("set_id"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([bitmap(s) for s in sets], pa.list_(pa.int64())),
                     pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64())),
@@ -256,11 +260,20 @@ def shingle_sets(docs: DataFrame, n: int, text: str) -> DataFrame:
                 ["set_id", "size", "bits", "shingles"],
             )
 
-    return docs.select(text).mapInArrow(
+    return docs.select("set_id", text).mapInArrow(
         run, "set_id long, size long, bits array<long>, shingles array<long>"
     )
 
 
+def _perhaps(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose ``set_id`` is not wanted, before they move: by a bitmap of fixed size."""
+    word = F.col("set_id").bitwiseAND(FILTER_WORDS - 1).alias("word")
+    bit = "cast(shiftrightunsigned(set_id, 58) as int)"
+    words = wanted.groupBy(word).agg(F.bit_or(F.expr(f"shiftleft(1L, {bit})")).alias("there"))
+    # at most FILTER_WORDS rows, however many ids there are
+    return rows.select("*", word).join(F.broadcast(words), "word").where(f"(shiftright(there, {bit}) & 1) = 1").drop("word", "there")
+
+
 def _reaches(overlap: Column, sizes: Column, num: int, den: int) -> Column:
     return overlap * den >= (sizes - overlap) * num
 
@@ -295,7 +308,7 @@ def _tile_pairs(num: int, den: int, limit: int):
         return x
 
     def smaller_keys(rows: pa.Table) -> np.ndarray:
-        """Which of the keys below the tile's own each member brings along, of those that several do."""
+        """Which of the keys below the tile's own each member brings along, of those that several do; a bit each."""
         lists = rows["least_keys"].combine_chunks()
         keys = lists.flatten().to_numpy()
         member = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
@@ -304,10 +317,16 @@ def _tile_pairs(num: int, den: int, limit: int):
         several = many > 1
         place = np.cumsum(several) - 1
         kept = several[code]
-        out = np.zeros((len(lists), int(several.sum())), np.float32)
-        out[member[below][kept], place[code[kept]]] = 1
+        out = np.zeros((len(lists), (int(several.sum()) + 63) // 64), U64)
+        at = place[code[kept]]
+        np.bitwise_or.at(out, (member[below][kept], at >> 6), U64(1) << (at & 63).astype(U64))
         return out
 
+    def share_none(holds: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Which of the pairs have no smaller key at which both meet."""
+        step = max(1, PAIR_WORDS // holds.shape[1])
+        return np.concatenate([~(holds[x[k : k + step]] & holds[y[k : k + step]]).any(axis=1) for k in range(0, len(x), step)])
+
     def tile(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, bool]:
         ids, size = rows["set_id"].to_numpy(), rows["size"].to_numpy()
         label, block = rows["label"].to_numpy(), rows["block"].to_numpy()
@@ -328,7 +347,8 @@ def _tile_pairs(num: int, den: int, limit: int):
             if i == j:
                 allowed &= right > x[:, None]
             if holds.shape[1] and allowed.any():
-                allowed &= holds[x] @ holds[right].T == 0  # no smaller key at which both meet
+                at, to = np.nonzero(allowed)
+                allowed[at, to] = share_none(holds, x[at], right[to])
             if limit:
                 within = np.cumsum(allowed, axis=1) <= limit
                 more |= bool((allowed & ~within).any())
@@ -412,8 +432,11 @@ def _components(docs: DataFrame, n: int, num: int, den: int, key: str, text: str
         posts(docs, n, tiles, buckets, text).groupBy("place").applyInArrow(_meet, "key long, part long, first long"), "jaccard-posts"
     )
     signed = scratch.keep(set_sizes(docs, n, key, text), "jaccard-sizes")
+    # from here on a set goes by the least hash of its texts: where these meet, it is made and stays
     ids = scratch.keep(
-        signed.where("set_id is not null").select("set_id").distinct().withColumn("part", F.expr(f"shiftrightunsigned(set_id, {PREFIX})")), "jaccard-ids"
+        signed.where("set_id is not null").groupBy("set_id").agg(F.min("text_id").alias("text_id")).select(
+            F.col("text_id").alias("set_id"), F.expr(f"shiftrightunsigned(set_id, {PREFIX})").alias("part")
+        ), "jaccard-ids",
     )
     met = scratch.keep(met.join(ids, "part").select("key", "set_id", "first"), "jaccard-met")
     scratch.drop("jaccard-posts")
@@ -423,11 +446,8 @@ def _components(docs: DataFrame, n: int, num: int, den: int, key: str, text: str
     alike = ids.groupBy("part").agg(F.min("set_id").alias("a"), F.max("set_id").alias("b"))
     first = scratch.keep(first.union(alike.select("a", "b")).where("a <> b").distinct(), "jaccard-starts")
     wanted = scratch.keep(first.select(F.explode(F.array("a", "b")).alias("set_id")).distinct(), "jaccard-wanted")
-    one = signed.join(wanted, "set_id", "left_semi").groupBy("set_id").agg(F.min("text_id").alias("text_id"))
-    texts = docs.select(text_id(text), text).groupBy("text_id").agg(F.first(text).alias(text)).join(one.select("text_id").distinct(), "text_id", "left_semi")
-    sets = scratch.keep(
-        shingle_sets(texts, n, text).join(wanted, "set_id", "left_semi").dropDuplicates(["set_id"]), "jaccard-sets"
-    )
+    texts = _perhaps(docs.select(text_id(text).alias("set_id"), text), wanted).groupBy("set_id").agg(F.first(text).alias(text)).join(wanted, "set_id", "left_semi")
+    sets = scratch.keep_in_buckets(shingle_sets(texts, n, text), "jaccard-sets", "set_id")
 
     first = scratch.keep(_bounded(first, sets, num, den), "jaccard-first")
     links = scratch.keep(_verified(first, sets, num, den), "jaccard-links")
@@ -450,10 +470,8 @@ def _components(docs: DataFrame, n: int, num: int, den: int, key: str, text: str
             break
         keys = met.select("key", "set_id").distinct().join(left, "key", "left_semi")
 
-    numbered = signed.where("set_id is not null").groupBy("set_id").agg(F.min(key).alias("least"))
-    numbered = numbered.join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").select(
-        "set_id", "least", F.coalesce("label", "set_id").alias("label")
-    )
+    numbered = signed.where("set_id is not null").groupBy("set_id").agg(F.min(key).alias("least"), F.min("text_id").alias("node"))
+    numbered = numbered.join(labels, "node", "left").select("set_id", "least", F.coalesce("label", "node").alias("label"))
     smallest = numbered.groupBy("label").agg(F.min("least").alias("component_id"))
     owner = scratch.keep(numbered.join(smallest, "label").select("set_id", "label", "component_id"), "jaccard-components")
     scratch.drop(*(n for n in list(scratch.folders) if n not in ("jaccard-sizes", "jaccard-components")))

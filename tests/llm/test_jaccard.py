@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from barloom.llm.graph import components
-from barloom.llm.jaccard import Tiles, jaccard_components, one_of_each_component, op4_ngram_jaccard
+from barloom.llm.jaccard import Tiles, _perhaps, _verified, bitmap, jaccard_components, one_of_each_component, op4_ngram_jaccard, shingle_sets
 from barloom.llm.scratch import Scratch
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -107,3 +107,37 @@ def test_large_groups_that_do_not_link(spark):
     frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(4)
     got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in jaccard_components(frame, 1, 4, 5).collect())
     assert got == brute_force(docs, 1, 4, 5)
+
+
+def test_sets_stay_where_they_are(spark):
+    """Pairs are sent to the sets: the table of sets is read in its buckets, and nothing of it is left behind."""
+    scratch = Scratch(spark)
+    docs = spark.createDataFrame([(i, f"a b c d e f{i}") for i in range(20)], "set_id long, text string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sets = scratch.keep_in_buckets(shingle_sets(docs, 1, "text"), "sets", "set_id")
+        pairs = scratch.keep(spark.createDataFrame([(1, 2), (1, 3)], "a long, b long"), "pairs")
+        linked = _verified(pairs, sets, 5, 7)
+        plan = linked._jdf.queryExecution().executedPlan().toString()
+        assert len(re.findall("Exchange hashpartitioning", plan)) == 2
+        assert linked.count() == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        scratch.drop("sets", "pairs")
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("sets_")]
+
+
+def test_texts_not_wanted_go_before_they_move(spark):
+    ids = spark.range(20_000).selectExpr("xxhash64(id) as set_id", "id as text")
+    wanted = ids.where("text % 50 = 0").select("set_id")
+    kept = {r.text for r in _perhaps(ids, wanted).collect()}
+    assert kept >= set(range(0, 20_000, 50)) and len(kept) < 500
+
+
+def test_bitmaps_of_large_sets_tell_them_apart():
+    rnd = np.random.default_rng(3)
+    a, b = (np.unique(rnd.integers(0, 1 << 63, 4000, dtype=np.uint64)) for _ in range(2))
+    differ = lambda x, y: int(np.bitwise_count(bitmap(x) ^ bitmap(y)).sum())
+    assert differ(a, b) > 400
+    assert differ(a, a[20:]) <= 20

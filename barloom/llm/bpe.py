@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from barloom.llm.texts import all_chunks, table
 
 #: Memo entries of a worker; longer pieces are never kept. Bounds memory, not results.
-MEMO_PIECES, MEMO_CHARS, MEMO_PAIRS = 600_000, 48, 1_000_000
+MEMO_PIECES, MEMO_CHARS, MEMO_PAIRS = 300_000, 48, 250_000
 
 VOCABULARY = "byte_bpe_50k.json"
 

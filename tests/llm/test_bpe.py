@@ -67,3 +67,20 @@ def test_registered_queries(spark, sf):
         assert r.decoded_sha256 == hashlib.sha256(docs[r.doc_id].encode()).hexdigest()
     counts = {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in op8_token_counts(spark, sf).collect()}
     assert counts == {d: (len(docs[d].encode()), len(i), len(i) > 1024) for d, i in expected.items()}
+
+
+def test_memos_of_a_worker_stay_small():
+    """A worker keeps them for the stages that follow in it."""
+    import tracemalloc
+
+    from barloom.llm.bpe import PairTable, PieceMemo
+
+    tracemalloc.start()
+    try:
+        memo, pairs = PieceMemo(lambda piece: [2000, 3000, 4000]), PairTable(lambda a, b: True)
+        for i in range(500_000):
+            memo[f" piece{i}"]
+            pairs[i << 32 | 5000]
+        assert tracemalloc.get_traced_memory()[0] < 120e6
+    finally:
+        tracemalloc.stop()

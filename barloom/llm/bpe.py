@@ -24,10 +24,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from barloom.llm.texts import all_chunks, table
+from barloom.llm.texts import all_chunks, give_back, table
 
-#: Memo entries of a worker; longer pieces are never kept. Bounds memory, not results.
-MEMO_PIECES, MEMO_CHARS, MEMO_PAIRS = 300_000, 48, 250_000
+#: Memo entries of a task; longer pieces are never kept. Bounds memory, not results.
+MEMO_PIECES, MEMO_CHARS, MEMO_PAIRS = 200_000, 48, 60_000
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -211,15 +211,14 @@ class Vocabulary:
 
 
 class PieceMemo(dict):
-    """Ids of pre-tokens as text and as bytes, made when first asked for; bounded."""
+    """Ids of pre-tokens as bytes, made when first asked for; bounded."""
 
     def __init__(self, encode) -> None:
         super().__init__()
         self.encode = encode
 
-    def __missing__(self, piece: str) -> tuple[str, bytes]:
-        ids = self.encode(piece.encode())
-        made = ",".join(map(str, ids)), array("i", ids).tobytes()
+    def __missing__(self, piece: str) -> bytes:
+        made = array("i", self.encode(piece.encode())).tobytes()
         if len(piece) <= MEMO_CHARS:
             if len(self) >= MEMO_PIECES:
                 self.clear()
@@ -239,24 +238,29 @@ class Encoder:
         special = self.vocabulary.special
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
         self.memo = PieceMemo(self.vocabulary.encode)
+        self.decimal = list(map(str, range(len(self.vocabulary.length))))
 
-    def parts(self, text: str) -> list[tuple[str, bytes]]:
+    def encode(self, text: str) -> np.ndarray:
         special = self.vocabulary.special
         if self.special is None or not self.special.search(text):
-            return self._parts(text)
-        out: list[tuple[str, bytes]] = []
-        for i, part in enumerate(self.special.split(text)):
-            if i % 2:
-                out.append((str(special[part]), np.array([special[part]], np.int32).tobytes()))
-            elif part:
-                out.extend(self._parts(part))
-        return out
+            return np.frombuffer(self._bytes(text), np.int32)
+        parts = self.special.split(text)
+        return np.frombuffer(
+            b"".join([np.array([special[p]], np.int32).tobytes() if i % 2 else self._bytes(p) for i, p in enumerate(parts)]), np.int32
+        )
 
-    def _parts(self, text: str) -> list[tuple[str, bytes]]:
-        return list(map(self.memo.__getitem__, self.pieces(text)))
+    def _bytes(self, text: str) -> bytes:
+        return b"".join(map(self.memo.__getitem__, self.pieces(text)))
 
-    def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join([p[1] for p in self.parts(text)]), np.int32)
+    def forget(self) -> None:
+        """Empty the memos: the worker runs other stages after a task, and a new task soon knows its pieces again."""
+        self.memo.clear()
+        self.vocabulary.compatible.clear()
+        give_back()
+
+    def digits(self, ids: np.ndarray) -> str:
+        """The ids in decimal, joined by commas."""
+        return ",".join(map(self.decimal.__getitem__, ids.tolist()))
 
     def decode(self, ids: np.ndarray) -> str:
         return self.vocabulary.decode(ids).decode("utf-8", "replace")
@@ -265,14 +269,16 @@ class Encoder:
 @lru_cache(maxsize=2)
 def encoder(path: str) -> Encoder:
     """One encoder a worker process and vocabulary file."""
-    return Encoder(path)
+    code = Encoder(path)
+    give_back()
+    return code
 
 
 def encode_texts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key`` and ``ids``, the array of token ids of the whole text; null is empty.
 
     One row out for each row in, repeated rows included; other columns are not read. Memory: one
-    chunk of texts and a bounded memo a worker.
+    chunk of texts and a bounded memo a task.
     """
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = encoder(path)
@@ -280,6 +286,7 @@ def encode_texts(docs: DataFrame, path: str, key: str = "doc_id", text: str = "t
             ids = [code.encode(t or "") for t in batch.column(text).to_pylist()]
             column = pa.array(ids, pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(key), column], [key, "ids"])
+        code.forget()
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, text).mapInArrow(run, f"`{key}` {kind}, ids array<int>")
@@ -312,10 +319,9 @@ def encode_digests(
         for batch in all_chunks(batches, text):
             counts, ids_sha, text_sha, kept = [], [], [], []
             for value in batch.column(text).to_pylist():
-                parts = code.parts(value or "")
-                ids = np.frombuffer(b"".join([p[1] for p in parts]), np.int32)
+                ids = code.encode(value or "")
                 counts.append(len(ids))
-                ids_sha.append(hashlib.sha256(",".join([p[0] for p in parts]).encode()).hexdigest())
+                ids_sha.append(hashlib.sha256(code.digits(ids).encode()).hexdigest())
                 if with_ids:
                     kept.append(ids)
                 decoded = code.vocabulary.decode(ids).decode("utf-8", "replace")
@@ -325,6 +331,7 @@ def encode_digests(
                 ends = pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32())
                 columns.append(pa.ListArray.from_arrays(ends, pa.array(np.concatenate(kept) if kept else np.zeros(0, np.int32))))
             yield pa.RecordBatch.from_arrays(columns, names)
+        code.forget()
 
     kind = docs.schema[key].dataType.simpleString()
     return docs.select(key, text).mapInArrow(

@@ -84,3 +84,16 @@ def test_memos_of_a_worker_stay_small():
         assert tracemalloc.get_traced_memory()[0] < 120e6
     finally:
         tracemalloc.stop()
+
+
+def test_a_stage_leaves_no_memos_to_the_next(odd, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(type(odd), "mapInArrow", lambda rows, run, schema: run)
+    code = encoder(PATH)
+    texts = [f"word{i} zqx{i % 5}y" for i in range(5_000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5_000)), pa.array(texts)], ["doc_id", "text"])
+    for stage in (encode_digests, encode_texts):
+        for n, out in enumerate(stage(odd, PATH)(iter([batch, batch.slice(0, 1)])), 1):
+            assert code.memo and out.num_rows
+        assert n == 2 and not code.memo and not code.vocabulary.compatible

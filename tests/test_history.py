@@ -6,6 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from barloom import operators as op
+from barloom.operators.coverage import RUNS_OF_TASK
+from barloom.plans.catalog import QUERIES
 from test_files import triples
 
 FIELDS = "symbol string, exchange string, ts long, open double, high double, low double, close double, volume double"
@@ -126,3 +128,35 @@ def test_run_coverage_meets_in_tasks_of_bounded_size(spark):
     assert sum(r["rows"] for r in by_task) == 3_000_000 and sum(r.landed for r in by_task) == 30_000
     assert max(r["rows"] for r in by_task) < 2_000_000
     assert op.absences(coverage, 60).agg(F.count("*"), F.sum("runs")).first()[:] == (3_000, 2_970_000)
+
+
+def test_run_coverage_leaves_expected_runs_where_they_lie(spark):
+    tickers = spark.range(50).select(F.concat(F.lit("S"), "id").alias("symbol"))
+    landed = spark.createDataFrame([("S1", 0), ("S1", 60), ("S3", 60), ("T", 60), (None, 0), ("S4", 7)], "symbol string, run long")
+    failed = spark.createDataFrame([("S1", 0), ("S2", 120)], "symbol string, run long")
+    tasks = op.coverage_tasks(tickers, 0, 600, 60, fetches=2 * RUNS_OF_TASK)
+    assert tasks == 3
+    placed = op.run_coverage(op.expected_runs(tickers, 0, 600, 60, tasks), landed, failed, tasks)
+    spans = op.absences(placed, 60)
+    for frame in (placed, spans, op.coverage_counts(placed)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan[:plan.index("Generate explode")]  # printed top down
+    moved = op.run_coverage(op.expected_runs(tickers, 0, 600, 60), landed, failed)
+    assert triples(placed, *placed.columns) == triples(moved, *moved.columns)
+    assert triples(spans, *spans.columns) == triples(op.absences(moved, 60), *spans.columns)
+
+
+def tickers_and_events(spark, folder):
+    spark.range(25).selectExpr("concat('Customer#', id) as c_name", "cast(id as double) - 1 as c_acctbal").write.parquet(f"{folder}/customer.parquet")
+    spark.range(4).selectExpr(
+        "id as event_id", "'buy' as event_type", "cast(20 * (id - 1) as double) as value",
+        "timestamp_ntz'2024-01-01 00:10:00' + make_dt_interval(0, cast(id as int)) as ts",
+    ).write.parquet(f"{folder}/events.parquet")
+    return ["NSE:BUY-EQ", *sorted(f"NSE:Customer#{i}/X-EQ" for i in range(1, 25))]
+
+
+def test_absences_of_every_ticker(spark, tmp_path):
+    symbols = tickers_and_events(spark, tmp_path)
+    spans = QUERIES["run_absences"](spark, str(tmp_path))
+    assert sorted({r.symbol for r in spans.collect()}) == symbols
+    assert spans.where("symbol like '%Customer%'").agg(F.count("*"), F.sum("runs")).first()[:] == (24, 24 * 31 * 48)

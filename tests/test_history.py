@@ -160,3 +160,10 @@ def test_absences_of_every_ticker(spark, tmp_path):
     spans = QUERIES["run_absences"](spark, str(tmp_path))
     assert sorted({r.symbol for r in spans.collect()}) == symbols
     assert spans.where("symbol like '%Customer%'").agg(F.count("*"), F.sum("runs")).first()[:] == (24, 24 * 31 * 48)
+
+
+def test_coverage_of_every_ticker(spark, tmp_path):
+    symbols = tickers_and_events(spark, tmp_path)
+    coverage = QUERIES["run_coverage"](spark, str(tmp_path))
+    counts = {r.symbol: r["count"] for r in coverage.groupBy("symbol").count().collect()}
+    assert counts == dict.fromkeys(symbols, 31 * 48)

@@ -5,7 +5,7 @@ from barloom.operators.bars import (
     with_date_parts, with_interval,
 )
 from barloom.operators.branches import (
-    attach, bucket_aggregates, bucket_closes, bucket_opens, first_of_group, resample_by_joins,
+    attach, bucket_aggregates, bucket_closes, bucket_opens, first_of_group, home_keys, resample_by_joins,
     row_numbers,
 )
 from barloom.operators.candles import (
@@ -27,7 +27,7 @@ __all__ = [
     "absences", "all_timeframes", "as_bars", "as_of", "as_of_each", "attach", "base_rows", "bucket_aggregates", "bucket_closes",
     "bucket_opens", "cached", "candle_fields", "candle_versions", "changes_between", "clean_candles", "common_home",
     "complete_candles", "coverage_counts", "coverage_tasks", "dead_letters", "dedup_latest", "expected_runs", "explode_candles", "failure_reasons", "failures",
-    "first_of_group", "found_candles", "in_sessions", "judged", "judged_candles", "nested_candles", "ohlcv", "on_session",
+    "first_of_group", "found_candles", "home_keys", "in_sessions", "judged", "judged_candles", "nested_candles", "ohlcv", "on_session",
     "on_session_date", "outside_sessions", "placement_tasks", "rejected_candles", "resample", "resample_by_joins", "row_numbers",
     "run_coverage", "run_metrics", "run_of", "run_summary", "salvaged_rows", "session_bars", "session_counts", "successes", "symbol_counts",
     "triage_counts", "triage_raw", "union_timeframes", "usable_candles", "with_candles", "with_date_parts",

@@ -53,24 +53,36 @@ def attach(aggregates: DataFrame, values: DataFrame, keys: Sequence[str] = BUCKE
     return aggregates.join(values, list(keys), "left")
 
 
+def home_keys(home: Timeframe, zone: str = DEFAULT_ZONE) -> dict[str, Column]:
+    """The symbol and ``_home``, the start of the bucket of ``home``: rows that lie by them have those of a narrower bucket together."""
+    return {"symbol": F.col("symbol"), "_home": interval_epoch(F.col("ts"), home, zone)}
+
+
 def resample_by_joins(
     rows: DataFrame,
     timeframe: Timeframe,
     zone: str = DEFAULT_ZONE,
     tie_break: Sequence[str] = (),
     unique_ts: bool = False,
+    home: Timeframe | None = None,
 ) -> DataFrame:
     """The bars of ``bars.resample``, put together from three branches and two joins.
 
     ``unique_ts`` promises at most one row per series and second, as after ``dedup_latest``. Rows are
-    then placed by (symbol, local day) before the branches, which find them there and join without
-    another shuffle; every width that nests in days asks for the same placement, so bars of
-    several widths stacked into one frame share it. Without the promise each branch is reduced first.
+    then placed by (symbol, local day) before the branches, which find them there. Without the
+    promise each branch is reduced first.
+
+    Rows that have the ``home_keys`` of ``home`` and lie by them are not moved before the branches, so bars of several widths share
+    their place. The joins too find their sides there in a plan of
+    ``session.joined_in_place``; otherwise Spark moves both sides to lie by all keys.
     """
     keys = BUCKET
-    if unique_ts:
+    if home is not None and common_home((timeframe, home), zone) != home:
+        raise ValueError(f"{timeframe.label} does not nest in {home.label}")
+    if unique_ts and home is None:
         home = common_home((timeframe, Timeframe("1d", DAY_SECONDS)), zone) or timeframe
-        rows = rows.select(*SERIES, "ts", *VALUES).withColumn("_home", interval_epoch(F.col("ts"), home, zone)).repartition("symbol", "_home")
+        rows = rows.select(*SERIES, "ts", *VALUES).withColumns(home_keys(home, zone)).repartition("symbol", "_home")
+    if home is not None:
         keys = ("interval_start_epoch", "_home", *SERIES)
     bucketed = with_interval(rows, timeframe, zone)
     bars = attach(bucket_aggregates(bucketed, keys), bucket_opens(bucketed, tie_break, keys), keys)

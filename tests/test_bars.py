@@ -11,6 +11,7 @@ from barloom import TIMEFRAMES, Timeframe
 from barloom import operators as op
 from barloom.operators import bars as bar_operators, branches
 from barloom.plans.catalog import QUERIES
+from barloom.session import joined_in_place, written_in_buckets
 
 SCHEMA = (
     "symbol string, exchange string, ts bigint, open double, high double, low double, "
@@ -240,3 +241,25 @@ def test_joins_after_a_placement_give_the_bars_of_the_plain_ones(spark):
     frame = spark.createDataFrame(rows, SCHEMA)
     for t in TIMEFRAMES:
         assert collected(branches.resample_by_joins(frame, t, unique_ts=True)) == collected(branches.resample_by_joins(frame, t))
+
+
+def test_joins_find_their_sides_where_candles_lie(spark, tmp_path):
+    lineitem(spark, tmp_path)
+    before = dict(spark.sql("set").collect())
+    bars = QUERIES["all_timeframes_by_joins"](spark, str(tmp_path))
+    lineage = bars._jdf.queryExecution().toRdd().toDebugString()
+    assert "SortMerge" not in lineage and "ShuffledRowRDD" not in lineage and "FileScanRDD" in lineage
+    assert dict(spark.sql("set").collect()) == before and not spark.catalog.listTables()
+    assert collected(bars) == collected(QUERIES["all_timeframes_many_series"](spark, str(tmp_path)))
+
+
+def test_joins_of_placed_rows_give_the_bars_of_the_plain_ones(spark):
+    rows = make_rows(2000) + [(None, "NSE", START, *[1.0] * 5), ("A", None, START, *[2.0] * 5), ("B", "NSE", None, *[3.0] * 5)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    for some in (frame, frame.limit(0)):
+        placed = written_in_buckets(spark, some, "candles", 5, branches.home_keys(D1))
+        for t in TIMEFRAMES:
+            bars = joined_in_place(spark, branches.resample_by_joins(placed, t, unique_ts=True, home=D1))
+            assert collected(bars) == collected(branches.resample_by_joins(some, t))
+    with pytest.raises(ValueError, match="nest"):
+        branches.resample_by_joins(placed, D1, home=M15)

@@ -3,7 +3,9 @@ from types import SimpleNamespace
 
 import pytest
 
-from barloom.session import drop_scratch, scratch_folder, written
+from pyspark.sql import functions as F
+
+from barloom.session import CLEANUP, drop_scratch, joined_in_place, scratch_folder, written, written_in_buckets
 
 
 def fake(master, folder):
@@ -33,3 +35,26 @@ def test_written_rows_come_back(spark):
     assert Path(folder.removeprefix("file:")).is_dir()
     assert drop_scratch(spark) >= 1
     assert not Path(folder.removeprefix("file:")).exists()
+
+
+def test_buckets_are_read_without_a_shuffle(spark):
+    rows = spark.range(1000).selectExpr("id", "id % 10 as k")
+    part = F.expr("if(id % 7 = 0, null, id % 3)")
+    before = spark.conf.get(CLEANUP)
+    back = written_in_buckets(spark, rows, "ids", 6, {"k": F.col("k"), "part": part})
+    assert sorted(map(str, back.collect())) == sorted(map(str, rows.withColumn("part", part).collect()))
+    assert len(back.inputFiles()) <= 6 and not spark.catalog.listTables() and spark.conf.get(CLEANUP) == before
+    counts = back.groupBy("k", "part", "id").count()
+    assert "Exchange" not in counts._jdf.queryExecution().executedPlan().toString()
+
+
+def test_joins_in_place_leave_the_setting_as_it_was(spark):
+    rows = spark.range(1000).selectExpr("id", "id % 10 as k")
+    back = written_in_buckets(spark, rows, "ids", 6, {"k": F.col("k")})
+    joined = back.groupBy("k", "id").count().join(back.groupBy("k", "id").agg({"id": "max"}), ["k", "id"])
+    assert "Exchange" in joined._jdf.queryExecution().executedPlan().toString()
+    before = dict(spark.sql("set").collect())
+    again = joined_in_place(spark, back.groupBy("k", "id").count().join(back.groupBy("k", "id").agg({"id": "max"}), ["k", "id"]))
+    assert dict(spark.sql("set").collect()) == before
+    assert "ShuffledRowRDD" not in again._jdf.queryExecution().toRdd().toDebugString()
+    assert again.schema == joined.schema and sorted(again.collect()) == sorted(joined.collect())

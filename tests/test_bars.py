@@ -245,11 +245,11 @@ def test_joins_after_a_placement_give_the_bars_of_the_plain_ones(spark):
 
 def test_joins_find_their_sides_where_candles_lie(spark, tmp_path):
     lineitem(spark, tmp_path)
-    before = dict(spark.sql("set").collect())
+    before, tables = dict(spark.sql("set").collect()), spark.catalog.listTables()
     bars = QUERIES["all_timeframes_by_joins"](spark, str(tmp_path))
     lineage = bars._jdf.queryExecution().toRdd().toDebugString()
     assert "SortMerge" not in lineage and "ShuffledRowRDD" not in lineage and "FileScanRDD" in lineage
-    assert dict(spark.sql("set").collect()) == before and not spark.catalog.listTables()
+    assert dict(spark.sql("set").collect()) == before and spark.catalog.listTables() == tables
     assert collected(bars) == collected(QUERIES["all_timeframes_many_series"](spark, str(tmp_path)))
 
 
